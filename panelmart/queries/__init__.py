@@ -1,3 +1,4 @@
 """Registered queries (import side effect: fills ``panelmart.registry.REGISTRY``)."""
 
 from . import panel_q  # noqa: F401
+from . import aggregate_q  # noqa: F401
