@@ -2,3 +2,4 @@
 
 from . import panel_q  # noqa: F401
 from . import aggregate_q  # noqa: F401
+from . import merge_q  # noqa: F401
