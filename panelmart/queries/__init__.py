@@ -4,3 +4,4 @@ from . import panel_q  # noqa: F401
 from . import aggregate_q  # noqa: F401
 from . import merge_q  # noqa: F401
 from . import bridge_q  # noqa: F401
+from . import funnel_q  # noqa: F401

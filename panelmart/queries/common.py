@@ -11,7 +11,7 @@ from ..sources.tables import Catalog
 # Fixed parameters of the stand-in analyses.
 CUR, PREV = 2000, 1999
 KEYS = ["unit_id", "company"]
-PANEL_COLS = ["market_value", "policy_value", "valuation_type", "model", "region", "own_input",
+PANEL_COLS = ["market_value", "policy_value", "discount_value", "valuation_type", "model", "region", "own_input",
               "unit_type", "complex", "pct_full", "n_orders", "tax_value", "acctbal"]
 
 # Rounding digits per kind of double (see registry): always finer than the

@@ -15,7 +15,7 @@ from .common import CUR, MEAN, MONEY, NET, PREV, RATIO, TAX, UY, UY_PANEL, fact,
 _KIND = {"market_value": MONEY, "gross_value": MONEY, "acctbal": MONEY, "policy_value": NET,
          "discount_value": NET, "tax_value": TAX, "pct_full": RATIO}
 _PANEL_DIGITS = {**_KIND, **{p(c): d for c, d in _KIND.items() if c in
-                             ("market_value", "policy_value", "pct_full", "tax_value", "acctbal")}}
+                             ("market_value", "policy_value", "discount_value", "pct_full", "tax_value", "acctbal")}}
 
 
 @register("yoy_panel", UY_PANEL + "SELECT * FROM panel",
