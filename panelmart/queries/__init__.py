@@ -6,3 +6,4 @@ from . import merge_q  # noqa: F401
 from . import bridge_q  # noqa: F401
 from . import funnel_q  # noqa: F401
 from . import quality_q  # noqa: F401
+from . import ingest_q  # noqa: F401
