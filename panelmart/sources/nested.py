@@ -7,6 +7,7 @@ each record is expanded inside its own task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,16 @@ from ..operators.joins import MERGE_COL, indicator_merge
 
 
 # ---------------------------------------------------------------- A4 / A5
+def _opt(df: DataFrame, path: str) -> Column:
+    """``F.col(path)`` when the (nested) field exists in the schema, else a NULL (optional payload fields)."""
+    dtype: T.DataType = df.schema
+    for part in path.split("."):
+        if not isinstance(dtype, T.StructType) or part not in dtype.fieldNames():
+            return F.lit(None)
+        dtype = dtype[part].dataType
+    return F.col(path)
+
+
 def flatten_rounds(rounds: DataFrame, valuations: DataFrame, company: str = "company_id") -> DataFrame:
     """A4: rounds × valuations → flat rows; a round without valuations still gives one row.
 
@@ -35,17 +46,18 @@ def flatten_rounds(rounds: DataFrame, valuations: DataFrame, company: str = "com
         F.col("status").alias("round_status"),
         F.col("isFree").alias("round_is_free"),
     )
+    o = functools.partial(_opt, valuations)
     v = valuations.select(
         F.col("round_id").cast("long").alias("valuation_round_id"),
-        F.col("valuationId").cast("long").alias("valuation_id"),
-        F.col("dataSetId").cast("long").alias("valuation_data_set_id"),
-        F.col("name").alias("valuation_name"),
-        F.col("modelYear").cast("long").alias("model_year"),
-        F.col("archived"),
-        F.col("mainValuation").alias("main_valuation"),
-        F.coalesce(F.col("subPortfolio.id"), F.col("subPortfolio.subPortfolioId")).cast("long").alias("sub_portfolio_id"),
-        F.col("subPortfolio.name").alias("sub_portfolio_name"),
-        F.col("subPortfolio.valuationLevel").alias("sub_portfolio_valuation_level"),
+        o("valuationId").cast("long").alias("valuation_id"),
+        o("dataSetId").cast("long").alias("valuation_data_set_id"),
+        o("name").cast("string").alias("valuation_name"),
+        o("modelYear").cast("long").alias("model_year"),
+        o("archived").cast("boolean").alias("archived"),
+        o("mainValuation").cast("boolean").alias("main_valuation"),
+        F.coalesce(o("subPortfolio.id"), o("subPortfolio.subPortfolioId")).cast("long").alias("sub_portfolio_id"),
+        o("subPortfolio.name").cast("string").alias("sub_portfolio_name"),
+        o("subPortfolio.valuationLevel").cast("string").alias("sub_portfolio_valuation_level"),
     )
     return r.join(v, ["valuation_round_id"], "left")
 
