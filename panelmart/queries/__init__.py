@@ -7,3 +7,4 @@ from . import bridge_q  # noqa: F401
 from . import funnel_q  # noqa: F401
 from . import quality_q  # noqa: F401
 from . import ingest_q  # noqa: F401
+from . import harness_q  # noqa: F401

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
+MATERIALIZE_CONF = "spark.panelmart.materialize"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -42,10 +44,16 @@ class Catalog:
 
     __getitem__ = table
 
-    def model(self, name: str, build, materialize: bool = False, partition_by: list[str] | None = None) -> DataFrame:
-        """A2: ``ref(name)``: build once per catalog; optionally write it as a table."""
+    def model(self, name: str, build, materialize: bool | None = None, partition_by: list[str] | None = None) -> DataFrame:
+        """A2: ``ref(name)``: build once per catalog; optionally write it as a table.
+
+        ``materialize=None`` follows the session setting ``spark.panelmart.materialize``
+        (off by default: models stay lazy views).
+        """
         if name not in self._models:
             df = build(self)
+            if materialize is None:
+                materialize = self.spark.conf.get(MATERIALIZE_CONF, "false").lower() == "true"
             if materialize:
                 df = materialize_table(self.spark, df, f"{name}-{_digest(self.root)}", partition_by)
             self._models[name] = df
