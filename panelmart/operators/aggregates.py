@@ -3,10 +3,10 @@
 All aggregates are ``groupBy``/``groupingSets`` plans: Spark runs a partial
 aggregate before the shuffle, so only one row per group and partition crosses
 the network.  Totals are produced with GROUPING SETS (one scan, an Expand
-node) instead of a UNION of aggregates (R9).  Exact medians use
-``F.median``; note that an exact percentile keeps every value of a group in
-one task, so it is only applied to groups with a bounded population
-(segments, regions, companies) or over pre-aggregated rows (R16).
+node) instead of a UNION of aggregates (R9).  Exact medians and percentiles
+go through ``percentiles.percentile_table``: a bounded-memory, skew-safe plan
+that never buffers a whole group in one task (R16), with the same exact
+interpolated result as ``F.median``.
 """
 
 from __future__ import annotations
@@ -14,77 +14,167 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col
+from .percentiles import Pct, method, percentile_table
+from .percentiles import median as median_of  # noqa: F401  (re-exported)
+from .percentiles import percentile as percentile_of  # noqa: F401
 
 TOTAL = "Total"
 
 
+@dataclass
+class Derived:
+    """An output computed from other aggregates (e.g. a difference of medians)."""
+    parts: list
+    post: Column
+    hidden: list[str] = field(default_factory=list)
+
+
+def _split(aggs) -> tuple[list[Column], list[Pct], list[Column], list[str]]:
+    regular, pcts, posts, hidden = [], [], [], []
+
+    def add(a):
+        if isinstance(a, Pct):
+            pcts.append(a)
+        elif isinstance(a, Derived):
+            for part in a.parts:
+                add(part)
+            posts.append(a.post)
+            hidden.extend(a.hidden)
+        else:
+            regular.append(a)
+
+    for a in aggs:
+        add(a)
+    return regular, pcts, posts, hidden
+
+
+def _dims_of(sets: Sequence[Sequence[str]]) -> list[str]:
+    dims: list[str] = []
+    for s in sets:
+        for d in s:
+            if d not in dims:
+                dims.append(d)
+    return dims
+
+
+def aggregate(df: DataFrame, by: Sequence[str] = (), aggs: Sequence = (), sets: Sequence[Sequence[str]] | None = None,
+              labels: Mapping[str, str] | None = None, keep_levels: bool = False) -> DataFrame:
+    """GROUP BY (or GROUPING SETS) with ordinary aggregates, exact percentiles and derived outputs.
+
+    Ordinary aggregates run in one ``groupBy``/``groupingSets`` (partial
+    aggregation).  Percentiles (:class:`Pct`) run through the bounded
+    bracket plan of ``percentiles.percentile_table`` (or ``F.percentile`` when
+    ``spark.panelmart.percentiles=builtin``) and are joined back on the group
+    keys.  ``sets`` rolls dimensions up (GROUPING SETS); rolled-up
+    dimensions get a label (default 'Total'), real NULL groups stay NULL.
+    """
+    regular, pcts, posts, hidden = _split(aggs)
+    if pcts and method(df.sparkSession) == "builtin":
+        regular += [p.builtin() for p in pcts]
+        pcts = []
+    carrier = [] if regular else [F.count(F.lit(1)).alias("__cnt")]
+    if sets is None:
+        by = list(by)
+        keys = by or ["__all"]
+        src = df if by else df.withColumn("__all", F.lit(0))
+        g = src.groupBy(*keys).agg(*regular, *carrier)
+        if pcts:
+            pt = percentile_table(src, keys, pcts)
+            g = _join_keys(g, pt, keys)
+        out = g.drop("__all", "__cnt")
+    else:
+        dims = _dims_of(sets)
+        n = len(dims)
+        g = df.groupingSets([list(s) for s in sets], *dims).agg(
+            *regular, *carrier, F.grouping_id(*dims).alias("__gid"))
+        if pcts:
+            types = dict(df.dtypes)
+            structs = []
+            for s in sets:
+                gid = sum(1 << (n - 1 - i) for i, d in enumerate(dims) if d not in s)
+                structs.append(F.struct(F.lit(gid).cast("long").alias("__gid"), *[
+                    (F.col(d) if d in s else F.lit(None).cast(types[d])).alias(f"__k_{d}") for d in dims]))
+            exp = df.select("*", F.inline(F.array(*structs)))
+            kcols = ["__gid", *[f"__k_{d}" for d in dims]]
+            pt = percentile_table(exp, kcols, pcts).withColumnsRenamed({f"__k_{d}": d for d in dims})
+            g = _join_keys(g, pt, ["__gid", *dims])
+        labels = dict(labels or {}) or {d: TOTAL for d in dims}
+        out_dims = []
+        for i, d in enumerate(dims):
+            if d in labels:
+                rolled = F.shiftright(F.col("__gid"), n - 1 - i).bitwiseAND(F.lit(1)) == 1
+                out_dims.append(F.when(rolled, F.lit(labels[d])).otherwise(F.col(d).cast("string")).alias(d))
+            else:
+                out_dims.append(F.col(d))
+        rest = [c for c in g.columns if c not in dims and c not in ("__gid", "__cnt")]
+        extra = [F.col("__gid").alias("grouping_id")] if keep_levels else []
+        out = g.select(*out_dims, *[F.col(c) for c in rest], *extra)
+    if posts:
+        out = out.select("*", *posts)
+    return out.drop(*hidden) if hidden else out
+
+
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of two per-group tables on ``keys``, NULL-safe (rolled-up / NULL groups)."""
+    r = right.withColumnsRenamed({k: f"__pk_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"__pk_{k}")) for k in keys]
+    return left.join(r, cond, "left").drop(*[f"__pk_{k}" for k in keys])
+
+
 # ---------------------------------------------------------------- E1 / E2
-def summarise(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Avg / sum / count / max by 1–4 keys."""
-    return df.groupBy(*by).agg(*aggs)
+def summarise(df: DataFrame, by: Sequence[str], aggs: Sequence) -> DataFrame:
+    """Avg / sum / count / max by 1–4 keys (percentiles allowed)."""
+    return aggregate(df, by, aggs)
 
 
 def medians(df: DataFrame, by: Sequence[str], cols: Sequence[str], suffix: str = "_median",
             count_name: str | None = "n") -> DataFrame:
-    """Exact (interpolating) median of several measures by group."""
-    aggs = [F.median(c).alias(c + suffix) for c in cols]
+    """Exact (interpolating) median of several measures by group (bounded-memory plan)."""
+    aggs: list = [median_of(c, c + suffix) for c in cols]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
-    return df.groupBy(*by).agg(*aggs)
+    return aggregate(df, by, aggs)
 
 
 # ---------------------------------------------------------------- E3 / E4
-def median_change(cur: ColumnOrName, prev: ColumnOrName, how: str = "difference_of_medians") -> Column:
+def median_change(cur: ColumnOrName, prev: ColumnOrName, how: str, name: str) -> Pct | Derived:
     """``median(cur) - median(prev)`` or ``median(cur - prev)`` (both occur)."""
     if how == "difference_of_medians":
-        return F.median(col(cur)) - F.median(col(prev))
+        a, b = f"__{name}_c", f"__{name}_p"
+        return Derived([median_of(cur, a), median_of(prev, b)], (F.col(a) - F.col(b)).alias(name), [a, b])
     if how == "median_of_differences":
-        return F.median(col(cur) - col(prev))
+        return median_of(col(cur) - col(prev), name)
     raise ValueError(how)
 
 
-def ratio(num: ColumnOrName, den: ColumnOrName, how: str) -> Column:
+def ratio(num: ColumnOrName, den: ColumnOrName, how: str, name: str) -> Pct | Derived:
     """Ratio of medians, median of ratios, or ratio of means (all guarded)."""
     if how == "ratio_of_medians":
-        return F.median(col(num)) / F.nullif(F.median(col(den)), F.lit(0))
+        a, b = f"__{name}_n", f"__{name}_d"
+        return Derived([median_of(num, a), median_of(den, b)], (F.col(a) / F.nullif(F.col(b), F.lit(0))).alias(name), [a, b])
     if how == "median_of_ratios":
-        return F.median(col(num) / F.nullif(col(den), F.lit(0)))
+        return median_of(col(num) / F.nullif(col(den), F.lit(0)), name)
     if how == "ratio_of_means":
-        return F.avg(col(num)) / F.nullif(F.avg(col(den)), F.lit(0))
+        return (F.avg(col(num)) / F.nullif(F.avg(col(den)), F.lit(0))).alias(name)
     raise ValueError(how)
 
 
 # ---------------------------------------------------------------- E5–E8 / I9
-def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], aggs: Sequence[Column],
+def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], aggs: Sequence,
                   labels: Mapping[str, str] | None = None, keep_levels: bool = False) -> DataFrame:
     """Native GROUPING SETS; rolled-up dimensions get a label (default 'Total').
 
     ``labels`` maps a dimension to its total label.  A real NULL group value
-    stays NULL (``grouping()`` tells the two apart).  With ``keep_levels`` a
-    ``grouping_id`` column is kept.
+    stays NULL (the grouping id tells the two apart).  With ``keep_levels`` a
+    ``grouping_id`` column is kept.  ``aggs`` may hold exact percentiles.
     """
-    dims: list[str] = []
-    for s in sets:
-        for d in s:
-            if d not in dims:
-                dims.append(d)
-    labels = dict(labels or {})
-    g = df.groupingSets([list(s) for s in sets], *dims).agg(
-        *aggs, *[F.grouping(d).alias(f"__g_{d}") for d in dims], F.grouping_id(*dims).alias("grouping_id")
-    )
-    out_dims = [
-        F.when(F.col(f"__g_{d}") == 1, F.lit(labels.get(d, TOTAL))).otherwise(F.col(d).cast("string")).alias(d)
-        if d in labels or labels == {} else F.col(d)
-        for d in dims
-    ]
-    rest = [c for c in g.columns if c not in dims and not c.startswith("__g_") and c != "grouping_id"]
-    extra = ["grouping_id"] if keep_levels else []
-    return g.select(*out_dims, *rest, *extra)
+    return aggregate(df, aggs=aggs, sets=sets, labels=labels, keep_levels=keep_levels)
 
 
 def with_totals(df: DataFrame, by: Sequence[str], total_dims: Sequence[str], aggs: Sequence[Column],
@@ -164,14 +254,14 @@ def growth_gap(df: DataFrame, time: str, cur, prev, value: str, kind: str, a: st
 
 
 # ---------------------------------------------------------------- E17–E20
-def global_summary(df: DataFrame, aggs: Sequence[Column]) -> DataFrame:
-    """One summary row."""
-    return df.agg(*aggs)
+def global_summary(df: DataFrame, aggs: Sequence) -> DataFrame:
+    """One summary row (percentiles allowed)."""
+    return aggregate(df, [], aggs)
 
 
-def summary_with(df: DataFrame, by: Sequence[str], aggs: Sequence[Column], drivers: DataFrame) -> DataFrame:
+def summary_with(df: DataFrame, by: Sequence[str], aggs: Sequence, drivers: DataFrame) -> DataFrame:
     """Summary by type left-joined with a drivers table on the same keys."""
-    return df.groupBy(*by).agg(*aggs).join(drivers, list(by), "left")
+    return aggregate(df, by, aggs).join(drivers, list(by), "left")
 
 
 def region_detail(df: DataFrame, by: Sequence[str], cols: Sequence[str], count_name: str = "n") -> DataFrame:
@@ -188,13 +278,10 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     and outlier counts (the quartile table has one row per group).
     """
     v = F.col(value)
-    q = df.groupBy(*by).agg(
-        F.percentile(v, F.lit(0.25)).alias("q1"),
-        F.median(v).alias("median"),
-        F.percentile(v, F.lit(0.75)).alias("q3"),
-        F.avg(v).alias("mean"),
-        F.count(v).alias("n"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = aggregate(df, by, [
+        percentile_of(v, 0.25, "q1"), median_of(v, "median"), percentile_of(v, 0.75, "q3"),
+        F.avg(v).alias("mean"), F.count(v).alias("n"),
+    ]).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
     j = df.select(*by, value).join(q, list(by), "inner")

@@ -174,16 +174,18 @@ def realised_vs_expected(cur: DataFrame, prev: DataFrame, params: DataFrame, on:
     j = cur.join(prev, list(on), "inner").join(params, list(on), "inner")
     measured = (F.col(value) - F.col(prev_value)) / F.nullif(F.col(prev_value), F.lit(0))
     j = j.select(company, measured.alias("measured"), F.col(expected).alias("expected"))
+    from ..operators.aggregates import aggregate, median_of
+
     dev = F.col("measured") - F.col("expected")
-    return j.groupBy(company).agg(
-        F.median(dev).alias("median_deviation"),
+    return aggregate(j, [company], [
+        median_of(dev, "median_deviation"),
         F.avg(dev).alias("mean_deviation"),
         F.count(F.lit(1)).alias("n_units"),
         F.avg(equal_at("measured", "expected", 2).cast("double")).alias("share_equal"),
         F.count(F.when(within("measured", lo, hi), F.lit(1))).alias("n_within"),
         F.count(F.when(outside("measured", lo, hi), F.lit(1))).alias("n_outside"),
-        F.median((F.col("measured") - F.col("expected")) / F.nullif(F.col("expected"), F.lit(0))).alias("median_rel_error"),
-    )
+        median_of((F.col("measured") - F.col("expected")) / F.nullif(F.col("expected"), F.lit(0)), "median_rel_error"),
+    ])
 
 
 def plan_length(df: DataFrame, year_cols: Sequence[str], ranges: Sequence[tuple[float, float, str]], by: Sequence[str] = ()) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import abs_change, as_index, col, pct_text, rel_change
-from ..operators.aggregates import TOTAL, grouping_sets, with_totals
+from ..operators.aggregates import TOTAL, Derived, aggregate, grouping_sets, median_of, with_totals
 from ..operators.joins import MERGE_COL, compare_aggregates, indicator_merge
 from ..operators.reshape import to_long
 
@@ -100,13 +100,13 @@ def region_change(panel: DataFrame, by: Sequence[str], region: str, cur: str, pr
                   how: str = "difference_of_medians", total_label: str = TOTAL) -> DataFrame:
     """Medians of current, prior and their change by region, with total rows."""
     if how == "difference_of_medians":
-        change = F.median(col(cur)) - F.median(col(prev))
+        change = Derived([], (F.col("median_current") - F.col("median_prior")).alias("median_change"))
     else:
-        change = F.median(col(cur) - col(prev))
+        change = median_of(col(cur) - col(prev), "median_change")
     aggs = [
-        F.median(col(cur)).alias("median_current"),
-        F.median(col(prev)).alias("median_prior"),
-        change.alias("median_change"),
+        median_of(cur, "median_current"),
+        median_of(prev, "median_prior"),
+        change,
         F.count(F.lit(1)).alias("n_units"),
     ]
     return with_totals(panel, by, [region], aggs, total_label=total_label)
@@ -157,7 +157,7 @@ def scenario_share_yoy(df: DataFrame, by: Sequence[str], time: str, cur: int, fl
 
 def trend_lines(df: DataFrame, time: str, years: Sequence[int], kind: str, value: str, a: str, b: str) -> DataFrame:
     """Median per (year, kind) for the given years, plus the a − b gap per year."""
-    med = df.filter(F.col(time).isin(list(years))).groupBy(time, kind).agg(F.median(value).alias("median_value"))
+    med = aggregate(df.filter(F.col(time).isin(list(years))), [time, kind], [median_of(value, "median_value")])
     wide = med.groupBy(time).pivot(kind, [a, b]).agg(F.first("median_value"))
     return wide.select(time, F.col(a).alias(f"median_{a.lower()}"), F.col(b).alias(f"median_{b.lower()}"),
                        (F.col(a) - F.col(b)).alias("gap"))

@@ -41,8 +41,8 @@ FROM unit_year WHERE year = {CUR} GROUP BY GROUPING SETS ((unit_type), ())""",
           digits={"market_value_median": MONEY, "policy_value_median": NET}, ids=("I9", "E2", "E5", "E8"))
 def q_with_totals_median(cat):
     return A.with_totals(cur_fact(cat), [], ["unit_type"], [
-        F.median("market_value").alias("market_value_median"),
-        F.median("policy_value").alias("policy_value_median"),
+        A.median_of("market_value", "market_value_median"),
+        A.median_of("policy_value", "policy_value_median"),
         F.count(F.lit(1)).alias("n"),
     ])
 
@@ -109,14 +109,14 @@ FROM panel WHERE _merge = 'both' GROUP BY unit_type""",
                   "median_of_ratios": RATIO, "ratio_of_means": RATIO}, ids=("E3", "E4"))
 def q_median_forms(cat):
     m = matched(panel(cat))
-    return m.groupBy("unit_type").agg(
-        A.median_change("market_value", p("market_value"), "difference_of_medians").alias("diff_of_medians"),
-        A.median_change("market_value", p("market_value"), "median_of_differences").alias("median_of_diffs"),
-        A.ratio("policy_value", "market_value", "ratio_of_medians").alias("ratio_of_medians"),
-        A.ratio("policy_value", "market_value", "median_of_ratios").alias("median_of_ratios"),
-        A.ratio("policy_value", "market_value", "ratio_of_means").alias("ratio_of_means"),
+    return A.aggregate(m, ["unit_type"], [
+        A.median_change("market_value", p("market_value"), "difference_of_medians", "diff_of_medians"),
+        A.median_change("market_value", p("market_value"), "median_of_differences", "median_of_diffs"),
+        A.ratio("policy_value", "market_value", "ratio_of_medians", "ratio_of_medians"),
+        A.ratio("policy_value", "market_value", "median_of_ratios", "median_of_ratios"),
+        A.ratio("policy_value", "market_value", "ratio_of_means", "ratio_of_means"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ])
 
 
 # ---------------------------------------------------------------- I10
@@ -270,11 +270,11 @@ def q_kpi_summary(cat):
     drivers = m.groupBy("valuation_type").agg(
         F.avg(F.col("market_value") / F.nullif(F.col(p("market_value")), F.lit(0))).alias("mean_growth_factor"))
     s = A.summary_with(m, ["valuation_type"], [
-        F.median("market_value").alias("median_value"), F.sum("market_value").alias("total_value"),
+        A.median_of("market_value", "median_value"), F.sum("market_value").alias("total_value"),
         F.count(F.lit(1)).alias("n_units"),
         (F.sum("market_value") - F.sum(p("market_value"))).alias("total_change"),
     ], drivers)
-    overall = A.global_summary(m, [F.median("market_value").alias("overall_median"),
+    overall = A.global_summary(m, [A.median_of("market_value", "overall_median"),
                                    F.count(F.lit(1)).alias("overall_units")])
     return cross_scalar(s, overall)
 

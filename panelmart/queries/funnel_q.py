@@ -345,8 +345,10 @@ def q_coverage(cat):
 SELECT r.r_name AS region, v.median_value, v.n, v.region IS NULL AS no_data
 FROM region r LEFT JOIN v ON r.r_name = v.region""", digits={"median_value": MONEY}, ids=("I30", "D17"))
 def q_region_fill(cat):
-    v = (fact(cat).filter((F.col("year") == CUR) & (F.col("n_orders") >= 4)).groupBy("region")
-         .agg(F.median("market_value").alias("median_value"), F.count(F.lit(1)).alias("n")))
+    from ..operators.aggregates import aggregate, median_of
+
+    v = aggregate(fact(cat).filter((F.col("year") == CUR) & (F.col("n_orders") >= 4)), ["region"],
+                  [median_of("market_value", "median_value"), F.count(F.lit(1)).alias("n")])
     regions = cat["region"].select(F.col("r_name").alias("region"))
     return OV.region_fill(v, regions, ["region"])
 

@@ -77,8 +77,7 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                            ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1""", ids=("B9",))
 def q_dedupe_first(cat):
     li = cat["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    out = C.dedupe_first(li, ["l_orderkey", "l_linenumber"],
-                         [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice")])
+    out = C.dedupe_first(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
     return out.drop("l_extendedprice")
 
 

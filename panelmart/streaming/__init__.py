@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming path: loads are full replaces of one
+company's rows and incremental models were explicitly rejected, so there is
+no watermark, window-over-time or stateful operator to rebuild.  Batch loads
+use dynamic partition overwrite (``panelmart.sources.sinks.replace_partitions``);
+nothing is built here on purpose.
+"""

@@ -201,3 +201,43 @@ def test_cross_scalar_has_no_cartesian(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert {r.m for r in out.collect()} == {2}
+
+
+# ---------------------------------------------------------------- exact percentiles at scale
+@pytest.mark.parametrize("accuracy", [50, 100_000])
+def test_bracketed_percentiles_equal_builtin(spark, accuracy):
+    from panelmart.operators import percentiles as PC
+
+    rnd = random.Random(11)
+    # one hot group with a third of the rows, many ties, NULLs and a tiny group
+    data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
+    data += [(f"g{i % 7}", rnd.gauss(0, 100)) for i in range(6000)]
+    data += [("tiny", 1.0), ("tiny", None), (None, 5.0), (None, 7.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    pcts = [PC.median("v", "med"), PC.percentile("v", 0.25, "q1"), PC.percentile("v", 0.9, "p90"),
+            PC.median(F.col("v") * 2, "med2")]
+    got = PC.percentile_table(df, ["g"], pcts, accuracy=accuracy)
+    want = df.groupBy("g").agg(*[p.builtin() for p in pcts])
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    g = sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in got.select("g", "med", "q1", "p90", "med2").collect()), key=key)
+    w = sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in want.select("g", "med", "q1", "p90", "med2").collect()), key=key)
+    assert g == w
+
+
+def test_aggregate_grouping_sets_with_medians(spark):
+    from panelmart.operators import percentiles as PC
+
+    rnd = random.Random(5)
+    data = [(rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), float(rnd.randint(0, 50))) for _ in range(300)]
+    df = spark.createDataFrame(data, "d1 string, d2 string, v double")
+    aggs = [A.median_of("v", "m"), F.count(F.lit(1)).alias("n"),
+            A.median_change("v", F.col("v") / 2, "difference_of_medians", "dm")]
+    got = A.with_totals(df, [], ["d1", "d2"], aggs)
+    spark.conf.set(PC.METHOD_CONF, "builtin")
+    try:
+        want = A.with_totals(df, [], ["d1", "d2"], aggs)
+        key = lambda t: tuple((x is None, str(x)) for x in t)
+        cols = ["d1", "d2", "m", "n", "dm"]
+        assert sorted(map(tuple, got.select(*cols).collect()), key=key) == sorted(map(tuple, want.select(*cols).collect()), key=key)
+    finally:
+        spark.conf.unset(PC.METHOD_CONF)
