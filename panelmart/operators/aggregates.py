@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col
-from .percentiles import Pct, method, percentile_table
+from .percentiles import Pct, percentile_table, use_builtin
 from .percentiles import median as median_of  # noqa: F401  (re-exported)
 from .percentiles import percentile as percentile_of  # noqa: F401
 
@@ -69,13 +69,13 @@ def aggregate(df: DataFrame, by: Sequence[str] = (), aggs: Sequence = (), sets:
 
     Ordinary aggregates run in one ``groupBy``/``groupingSets`` (partial
     aggregation).  Percentiles (:class:`Pct`) run through the bounded
-    bracket plan of ``percentiles.percentile_table`` (or ``F.percentile`` when
-    ``spark.panelmart.percentiles=builtin``) and are joined back on the group
-    keys.  ``sets`` rolls dimensions up (GROUPING SETS); rolled-up
+    bracket plan of ``percentiles.percentile_table`` and are joined back on
+    the group keys; an input proven to hold fewer rows than the sketch
+    accuracy uses ``F.percentile`` directly (``percentiles.use_builtin``).  ``sets`` rolls dimensions up (GROUPING SETS); rolled-up
     dimensions get a label (default 'Total'), real NULL groups stay NULL.
     """
     regular, pcts, posts, hidden = _split(aggs)
-    if pcts and method(df.sparkSession) == "builtin":
+    if pcts and use_builtin(df):
         regular += [p.builtin() for p in pcts]
         pcts = []
     carrier = [] if regular else [F.count(F.lit(1)).alias("__cnt")]

@@ -19,8 +19,11 @@ The sketch's rank error is at most ``n/accuracy``; the bracket half-width
 with fewer than ``accuracy`` rows use ``[min, max]`` as the bracket (then the
 window sees the whole, small, group).  NULL values are ignored, as in SQL.
 
-``spark.panelmart.percentiles`` selects ``bracketed`` (default) or
-``builtin`` (``F.percentile``; exact, but unbounded per-group memory).
+``spark.panelmart.percentiles`` selects ``auto`` (default), ``bracketed`` or
+``builtin`` (``F.percentile``; exact, but per-group memory grows with the
+group).  ``auto`` proves with a bounded LIMIT count that the whole input has
+fewer than ``accuracy`` rows — then no group can exceed that many values and
+the one-pass builtin is used — and takes the bracketed plan otherwise.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col
-from .joins import small_dim
+from .joins import fits, small_dim
 
 METHOD_CONF = "spark.panelmart.percentiles"
 ACCURACY = 20_000
@@ -62,7 +65,17 @@ def percentile(x: ColumnOrName, p: float, name: str) -> Pct:
 
 
 def method(spark) -> str:
-    return spark.conf.get(METHOD_CONF, "bracketed").lower()
+    return spark.conf.get(METHOD_CONF, "auto").lower()
+
+
+def use_builtin(df: DataFrame, accuracy: int = ACCURACY) -> bool:
+    """True when percentiles of ``df`` may use the one-pass builtin (see module doc)."""
+    m = method(df.sparkSession)
+    if m == "builtin":
+        return True
+    if m == "bracketed":
+        return False
+    return fits(df, accuracy)
 
 
 def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],

@@ -232,9 +232,10 @@ def test_aggregate_grouping_sets_with_medians(spark):
     df = spark.createDataFrame(data, "d1 string, d2 string, v double")
     aggs = [A.median_of("v", "m"), F.count(F.lit(1)).alias("n"),
             A.median_change("v", F.col("v") / 2, "difference_of_medians", "dm")]
-    got = A.with_totals(df, [], ["d1", "d2"], aggs)
-    spark.conf.set(PC.METHOD_CONF, "builtin")
+    spark.conf.set(PC.METHOD_CONF, "bracketed")
     try:
+        got = A.with_totals(df, [], ["d1", "d2"], aggs)
+        spark.conf.set(PC.METHOD_CONF, "builtin")
         want = A.with_totals(df, [], ["d1", "d2"], aggs)
         key = lambda t: tuple((x is None, str(x)) for x in t)
         cols = ["d1", "d2", "m", "n", "dm"]
