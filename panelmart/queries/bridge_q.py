@@ -165,7 +165,7 @@ SELECT *, "index" / nullif(first_value("index") OVER (PARTITION BY valuation_typ
 FROM idx""",
           digits={"rate": RATIO, "index_change": RATIO, "index": 6, "index_base_first": 6,
                   **{f"index_base_{b}": 6 for b in INDEX_BASES}},
-          ids=("I14", "H7", "F7", "F8", "F9", "F12"))
+          ids=("I14", "H7", "F7", "F8", "F9", "F12", "H12"))
 def q_cumulative_index(cat):
     cur = (value_change_plan(cat).filter((F.col("value_kind") == "market") & (F.col("region") == "Total"))
            .select(F.col("value_type").alias("valuation_type"), "year", F.col("rel_change").alias("rate")))

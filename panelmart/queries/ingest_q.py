@@ -19,7 +19,7 @@ from .common import CUR, MONEY, PREV, UY, fact
 SELECT event_id, lpad(CAST(event_id AS VARCHAR), 8, '0') AS event_code, event_type,
        TRY_CAST(regexp_extract(props, ':\s*(\d+)', 1) AS DOUBLE) AS json_k,
        TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value_text
-FROM events""", digits={"value_text": MONEY}, ids=("B3", "B8"))
+FROM events""", digits={"value_text": MONEY}, ids=("B3", "B8", "H10"))
 def q_coerce_numeric(cat):
     e = cat["events"].select(
         "event_id", F.lpad(F.col("event_id").cast("string"), 8, "0").alias("event_code"), "event_type",
@@ -55,12 +55,13 @@ CONTRACT = T.StructType([
 
 @register("conform_schema", """
 SELECT event_id, user_id, event_type, value AS value_pct, ts, CAST(NULL AS VARCHAR) AS session FROM events""",
-          digits={"value_pct": MONEY}, ids=("B1", "B2", "B5", "B6"))
+          digits={"value_pct": MONEY}, ids=("B1", "B2", "B5", "B6", "B7"))
 def q_conform_schema(cat):
     raw = cat["events"].select(F.col("event_id").alias("eventId"), F.col("user_id").alias("userId"),
-                               F.col("event_type").alias("Event Type"), F.col("value").alias("Value %"), "ts")
+                               F.col("event_type").alias("Event Type"), F.col("value").alias("Value %"), "ts", "props")
     named = C.normalize_column_names(raw, types={"user_id": "int", "event_type": "str"})
-    return C.validate(named, CONTRACT)
+    known, _dropped = C.drop_unknown(named, CONTRACT.fieldNames())   # B7: 'props' is not in the contract
+    return C.validate(known, CONTRACT)
 
 
 # ---------------------------------------------------------------- A6 / H15
@@ -144,16 +145,20 @@ def q_stack_sheets(cat):
 # ---------------------------------------------------------------- A18
 @register("latest_dataset", """
 SELECT n_name AS company, CAST(year(o_orderdate) AS INTEGER) AS year,
-       coalesce(max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END), max(o_orderkey)) AS dataset_id
+       coalesce(max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END), max(o_orderkey)) AS dataset_id,
+       strftime(make_date(CAST(year(o_orderdate) AS INTEGER), 12, 31), '%Y-%m-%d') AS as_of
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY 1, 2""", ids=("A18",))
+GROUP BY 1, 2""", ids=("A18", "H13"))
 def q_latest_dataset(cat):
     o = cat["orders"].select("o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("year"))
     c = cat["customer"].select("c_custkey", "c_nationkey")
     n = cat["nation"].select("n_nationkey", F.col("n_name").alias("company"))
     j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     j = j.withColumn("given_id", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey")))
-    return FL.latest_dataset(j, ["company", "year"], "given_id", "o_orderkey")
+    from ..functions.columns import as_of
+
+    return FL.latest_dataset(j, ["company", "year"], "given_id", "o_orderkey").withColumn(
+        "as_of", F.date_format(as_of("year"), "yyyy-MM-dd"))
 
 
 # ---------------------------------------------------------------- A26

@@ -135,7 +135,7 @@ def q_geo_chain(cat):
 SELECT unit_id, company, complex, unit_type, market_value FROM unit_year t
 WHERE year = {CUR} AND NOT EXISTS (
   SELECT 1 FROM unit_year x WHERE x.year = {CUR} AND x.unit_type = 'negative'
-    AND x.company = t.company AND x.complex = t.complex)""", digits={"market_value": MONEY}, ids=("D8",))
+    AND x.company = t.company AND x.complex = t.complex)""", digits={"market_value": MONEY}, ids=("D8", "H5"))
 def q_group_anti(cat):
     f = fact(cat).filter(F.col("year") == CUR).select("unit_id", "company", "complex", "unit_type", "market_value")
     return J.exclude_groups(f, ["company", "complex"], F.col("unit_type") == "negative")

@@ -20,7 +20,7 @@ _PANEL_DIGITS = {**_KIND, **{p(c): d for c, d in _KIND.items() if c in
 
 @register("yoy_panel", UY_PANEL + "SELECT * FROM panel",
           digits=_PANEL_DIGITS,
-          ids=("I5", "D4", "D1"))
+          ids=("I5", "D4", "D1", "A1", "A2", "A25"))
 def q_yoy_panel(cat):
     return panel(cat)
 

@@ -99,6 +99,16 @@ def read_report(spark: SparkSession, book: str, wanted: Mapping[str, Sequence[st
     return out
 
 
+# ---------------------------------------------------------------- A3
+def read_seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A3: a seed CSV (e.g. measure, company, year exclusions) read with a declared schema.
+
+    Seeds are small reference tables; callers join them with ``small_dim``,
+    which broadcasts only after the row count is proven bounded.
+    """
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
 # ---------------------------------------------------------------- A14–A18
 def add_metadata(df: DataFrame, meta: Mapping[str, object]) -> DataFrame:
     """Constant metadata columns (company, year, as_of …)."""
