@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import pct_text
 from ..operators.aggregates import grouping_sets
+from ..operators.joins import small_dim
 from ..operators.reshape import to_long
 from ..operators.sets import prefer_current, top_n_union
 from ..operators.windows import cum_product, latest, ratio_to_first, rebase_at, rebase_first, running_sum
 
 
 def driver_bridge(effects: DataFrame, group: str, step: str, delta: str, base: DataFrame, base_col: str,
-                  total: DataFrame, total_col: str, top_n: int, remainder_label: str = "Other changes") -> DataFrame:
+                  total: DataFrame, total_col: str, top_n: int, remainder_label: str = "Other changes",
+                  max_effects: int = 1_000_000) -> DataFrame:
     """Ranked drivers of a change with a running total and a remainder row.
 
     ``effects`` has (group, step, delta) rows (summed here); ``base`` has one
@@ -34,6 +36,10 @@ def driver_bridge(effects: DataFrame, group: str, step: str, delta: str, base: D
     e = effects.groupBy(group, step).agg(F.sum(delta).alias("__delta"))
     e = e.join(base.select(group, F.col(base_col).alias("__base")), [group], "inner")
     e = e.select(group, step, (F.col("__delta") / F.nullif(F.col("__base"), F.lit(0))).alias("effect"))
+    # (group, step) effects are few; write them once to the shared checkpoint
+    # folder so the ranking, ordering, running total and remainder below read
+    # this small table instead of re-running the heavy input plan each time.
+    e = small_dim(e.checkpoint(eager=True), max_effects)
     order = top_n_union(e, [group], step, "effect", top_n).withColumnRenamed("item_order", "step_order")
     sel = e.join(order, [step], "inner")
     sel = sel.withColumn("cumulative", running_sum("effect", [group], "step_order"))

@@ -8,9 +8,10 @@ one join back), so the whole funnel is a linear plan; the per-step
 statistics are then one generator (a row alive at stage s counts for steps
 0..s) and one aggregate, instead of N recomputations of growing prefixes.
 
-Group tables have one row per group (company, complex); they are joined
-back with a plain equi join, so a hot company (a third of all rows) is a
-broadcast or an AQE-split join, never a single-task window.
+Group tables have one row per group (company, complex); each is written to
+the shared checkpoint folder (which also keeps the plan linear in the number
+of steps) and broadcast back behind a row-count proof, so a hot company (a
+third of all rows) never meets a single-task window or a skewed shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket, count_flags, fround
 from ..operators.aggregates import count_distinct_concat
+from ..operators.joins import small_dim
 
 STAGE = "funnel_stage"
 
@@ -59,7 +61,18 @@ class GroupCount:
     min_rows: int
 
 
-def validation_funnel(df: DataFrame, steps: Sequence) -> DataFrame:
+def _group_table(df: DataFrame, max_groups: int) -> DataFrame:
+    """Materialise a per-group step table (small: one row per group) in the shared
+    checkpoint folder and broadcast it when its row count is proven bounded.
+
+    Writing it cuts the lineage: step i's table is a leaf of step i+1's plan,
+    so the funnel plan grows linearly with the number of steps (each step
+    reads the rows once more) instead of doubling with every step.
+    """
+    return small_dim(df.checkpoint(eager=True), max_groups)
+
+
+def validation_funnel(df: DataFrame, steps: Sequence, max_groups: int = 1_000_000) -> DataFrame:
     """Annotate each row with the number of funnel steps it passes."""
     cur = df.withColumn(STAGE, F.lit(0))
     for i, step in enumerate(steps, start=1):
@@ -77,13 +90,13 @@ def validation_funnel(df: DataFrame, steps: Sequence) -> DataFrame:
         elif isinstance(step, ExcludeGroups):
             # Anti-join semantics: a row passes unless its group is listed as bad
             # (a NULL key never matches, so such rows pass, as in SQL).
-            bad = src.filter(step.pred).select(*keys).distinct().withColumn("__bad", F.lit(True))
+            bad = _group_table(src.filter(step.pred).select(*keys).distinct().withColumn("__bad", F.lit(True)), max_groups)
             cur = cur.join(bad, keys, "left")
             cur = cur.withColumn(STAGE, F.when(alive & F.col("__bad").isNull(), F.lit(i)).otherwise(F.col(STAGE))).drop("__bad")
             continue
         else:
             raise TypeError(step)
-        good = good.select(*keys).withColumn("__ok", F.lit(True))
+        good = _group_table(good.select(*keys).withColumn("__ok", F.lit(True)), max_groups)
         cur = cur.join(good, keys, "left")
         cur = cur.withColumn(STAGE, F.when(alive & F.col("__ok").isNotNull(), F.lit(i)).otherwise(F.col(STAGE))).drop("__ok")
     return cur
@@ -99,7 +112,8 @@ def funnel_stats(annotated: DataFrame, labels: Sequence[str], company: str, sub:
     """Per step, distinct companies, sub-companies, complexes, rows and value (in ``scale``).
 
     A row alive at stage s is counted for steps 0..s (``sequence`` +
-    ``explode``: at most len(labels) copies per row), then one aggregate.
+    ``explode``: at most len(labels) copies per row), then one aggregate; the
+    step list (a ``range``) is left-joined so empty steps still report.
     """
     names = F.array(*[F.lit(x) for x in labels])
     exploded = annotated.select(
@@ -111,8 +125,12 @@ def funnel_stats(annotated: DataFrame, labels: Sequence[str], company: str, sub:
         F.count(F.lit(1)).alias("n_units"),
         fround(F.sum(value) / F.lit(scale), digits).alias("value_bn"),
     )
-    return agg.select(names[F.col("step_no")].alias("step"), "step_no", "n_companies", "n_sub_companies",
-                      "n_complexes", "n_units", "value_bn")
+    # Every step has a row, also when no row survives it (counts 0, value NULL),
+    # like an aggregate without GROUP BY over an empty step relation.
+    steps = annotated.sparkSession.range(len(labels)).select(F.col("id").cast("int").alias("step_no"))
+    full = steps.join(agg, ["step_no"], "left").fillna(0, ["n_companies", "n_sub_companies", "n_complexes", "n_units"])
+    return full.select(names[F.col("step_no")].alias("step"), "step_no", "n_companies", "n_sub_companies",
+                       "n_complexes", "n_units", "value_bn")
 
 
 # ---------------------------------------------------------------- I8

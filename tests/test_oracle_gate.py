@@ -3,6 +3,7 @@
 import math
 import os
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -13,7 +14,7 @@ ORACLE = E.oracle_sql()
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
