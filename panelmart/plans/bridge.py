@@ -22,9 +22,9 @@ from ..operators.sets import prefer_current, top_n_union
 from ..operators.windows import cum_product, latest, ratio_to_first, rebase_at, rebase_first, running_sum
 
 
-def driver_bridge(effects: DataFrame, group: str, step: str, delta: str, base: DataFrame, base_col: str,
+def driver_bridge(effects: DataFrame, group: str | None, step: str, delta: str, base: DataFrame, base_col: str,
                   total: DataFrame, total_col: str, top_n: int, remainder_label: str = "Other changes",
-                  max_effects: int = 1_000_000) -> DataFrame:
+                  max_effects: int = 1_000_000, single_label: str = "all", group_name: str = "grp") -> DataFrame:
     """Ranked drivers of a change with a running total and a remainder row.
 
     ``effects`` has (group, step, delta) rows (summed here); ``base`` has one
@@ -32,26 +32,42 @@ def driver_bridge(effects: DataFrame, group: str, step: str, delta: str, base: D
     effect = delta / base; top-n steps by |effect| per group, union of the
     groups' sets, ordered by mean |effect| over groups; cumulative effect per
     group; remainder = total − last cumulative, placed after the last step.
+
+    ``group=None`` is the one-group variation: ``base`` and ``total`` are
+    one-row frames used as scalar subqueries (no join on a constant key), and
+    the output carries ``single_label`` in ``group_name``.
     """
-    e = effects.groupBy(group, step).agg(F.sum(delta).alias("__delta"))
-    e = e.join(base.select(group, F.col(base_col).alias("__base")), [group], "inner")
-    e = e.select(group, step, (F.col("__delta") / F.nullif(F.col("__base"), F.lit(0))).alias("effect"))
+    single = group is None
+    g = [] if single else [group]
+    e = effects.groupBy(*g, step).agg(F.sum(delta).alias("__delta"))
+    if single:
+        e = e.select(step, (F.col("__delta") / F.nullif(base.select(base_col).scalar(), F.lit(0))).alias("effect"))
+    else:
+        e = e.join(base.select(group, F.col(base_col).alias("__base")), [group], "inner")
+        e = e.select(group, step, (F.col("__delta") / F.nullif(F.col("__base"), F.lit(0))).alias("effect"))
     # (group, step) effects are few; write them once to the shared checkpoint
     # folder so the ranking, ordering, running total and remainder below read
     # this small table instead of re-running the heavy input plan each time.
     e = small_dim(e.checkpoint(eager=True), max_effects)
-    order = top_n_union(e, [group], step, "effect", top_n).withColumnRenamed("item_order", "step_order")
+    order = top_n_union(e, g, step, "effect", top_n).withColumnRenamed("item_order", "step_order")
     sel = e.join(order, [step], "inner")
-    sel = sel.withColumn("cumulative", running_sum("effect", [group], "step_order"))
-    last = latest(sel, [group], [F.col("step_order").desc()]).select(group, F.col("cumulative").alias("__last"))
+    sel = sel.withColumn("cumulative", running_sum("effect", g, "step_order"))
+    last = latest(sel, g, [F.col("step_order").desc()]).select(*g, F.col("cumulative").alias("__last"))
     max_order = order.agg(F.max("step_order") + 1).scalar()
-    rem = (
-        total.select(group, F.col(total_col).alias("__total"))
-        .join(last, [group], "inner")
-        .select(group, F.lit(remainder_label).alias(step), (F.col("__total") - F.col("__last")).alias("effect"),
-                max_order.alias("step_order"), F.col("__total").alias("cumulative"))
-    )
-    out = sel.select(group, step, "effect", "step_order", "cumulative").unionByName(rem)
+    if single:
+        tot = total.select(total_col).scalar()
+        rem = last.select(F.lit(remainder_label).alias(step), (tot - F.col("__last")).alias("effect"),
+                          max_order.alias("step_order"), tot.alias("cumulative"))
+        out = sel.select(step, "effect", "step_order", "cumulative").unionByName(rem)
+        out = out.select(F.lit(single_label).alias(group_name), "*")
+    else:
+        rem = (
+            total.select(group, F.col(total_col).alias("__total"))
+            .join(last, [group], "inner")
+            .select(group, F.lit(remainder_label).alias(step), (F.col("__total") - F.col("__last")).alias("effect"),
+                    max_order.alias("step_order"), F.col("__total").alias("cumulative"))
+        )
+        out = sel.select(group, step, "effect", "step_order", "cumulative").unionByName(rem)
     return out.select("*", pct_text("effect").alias("effect_text"), pct_text("cumulative").alias("cumulative_text"))
 
 

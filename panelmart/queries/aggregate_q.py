@@ -233,7 +233,6 @@ def q_growth_gap_history(cat):
     from ..operators.sets import prefer_current
 
     f = fact(cat)
-    cur = _growth_rows(f, CUR)
     yearly = f.groupBy("year").agg(
         F.sum(F.when(F.col("valuation_type") == "Basis", F.col("market_value"))).alias("sb"),
         F.sum(F.when(F.col("valuation_type") == "Full", F.col("market_value"))).alias("sf"),
@@ -243,6 +242,9 @@ def q_growth_gap_history(cat):
     gb = (F.col("sb") - F.col("pb")) / F.nullif(F.col("pb"), F.lit(0))
     gf = (F.col("sf") - F.col("pf")) / F.nullif(F.col("pf"), F.lit(0))
     history = h.select("year", gb.alias("growth_basis"), gf.alias("growth_full"), (gb - gf).alias("growth_gap"))
+    # The current row has the E16 definition; it is taken from the same yearly
+    # aggregate (year from the data, so the precedence join keeps a real key).
+    cur = history.filter(F.col("year") == CUR)
     del compare_years
     return prefer_current(cur, history, ["year"], "year", CUR)
 
