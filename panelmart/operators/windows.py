@@ -110,3 +110,18 @@ def pct_change(x: ColumnOrName, order: ColumnOrName, by: Sequence[str] = ()) ->
 def compare_previous(x: ColumnOrName, order: ColumnOrName, by: Sequence[str] = ()) -> Column:
     """previous value in order (for step n vs n−1 checks)."""
     return F.lag(col(x)).over(_w(by).orderBy(col(order).asc_nulls_last()))
+
+
+def last_by(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """F6 without a window: the row with the largest ``order`` values per group.
+
+    Same result as ``QUALIFY row_number() OVER (PARTITION BY by ORDER BY order
+    DESC) = 1`` (ties on every order column resolved by the remaining
+    columns), computed as ``max(struct(order…, rest…))``: a partial aggregate,
+    so a group holding a third of the rows is reduced map-side instead of
+    being sorted in one task.
+    """
+    rest = [c for c in df.columns if c not in by and c not in order]
+    best = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("__best")
+    out = df.groupBy(*by).agg(best)
+    return out.select(*by, *[F.col(f"__best.{c}").alias(c) for c in [*order, *rest]]).select(*df.columns)

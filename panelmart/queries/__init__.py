@@ -8,3 +8,4 @@ from . import funnel_q  # noqa: F401
 from . import quality_q  # noqa: F401
 from . import ingest_q  # noqa: F401
 from . import harness_q  # noqa: F401
+from . import charts_q  # noqa: F401
