@@ -32,7 +32,8 @@ PLAN_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelmart") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelmart",
+                  extra_conf: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (UI off, no extra ports)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -43,7 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.default.parallelism", str(shuffle_partitions))
     )
-    for k, v in PLAN_CONF.items():
+    for k, v in {**PLAN_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
