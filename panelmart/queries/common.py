@@ -21,7 +21,7 @@ MONEY, NET, TAX, MEAN, RATIO = 4, 6, 8, 6, 8
 
 
 def fact(cat: Catalog) -> DataFrame:
-    return cat.model("unit_year", unit_year, partition_by=["year"])
+    return cat.model("unit_year", unit_year, partition_by=["year"], bucket_by=KEYS)
 
 
 def steps(cat: Catalog) -> DataFrame:

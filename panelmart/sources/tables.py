@@ -44,7 +44,8 @@ class Catalog:
 
     __getitem__ = table
 
-    def model(self, name: str, build, materialize: bool | None = None, partition_by: list[str] | None = None) -> DataFrame:
+    def model(self, name: str, build, materialize: bool | None = None, partition_by: list[str] | None = None,
+              bucket_by: list[str] | None = None) -> DataFrame:
         """A2: ``ref(name)``: build once per catalog; optionally write it as a table.
 
         ``materialize=None`` follows the session setting ``spark.panelmart.materialize``
@@ -55,7 +56,7 @@ class Catalog:
             if materialize is None:
                 materialize = self.spark.conf.get(MATERIALIZE_CONF, "false").lower() == "true"
             if materialize:
-                df = materialize_table(self.spark, df, f"{name}-{_digest(self.root)}", partition_by)
+                df = materialize_table(self.spark, df, f"{name}-{_digest(self.root)}", partition_by, bucket_by)
             self._models[name] = df
         return self._models[name]
 
@@ -69,16 +70,31 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
-def materialize_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None,
+                      bucket_by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the re-read table.
 
     This is the lineage cut used for marts (never ``localCheckpoint``): the files
     live in the shared folder, so losing an executor later costs a re-read, not
-    a recomputation of the whole upstream plan.
+    a recomputation of the whole upstream plan.  ``partition_by`` gives folder
+    pruning (e.g. one folder per year).  ``bucket_by`` additionally writes the
+    table hash-bucketed and sorted on the join keys (registered in the session
+    catalog with its path in the shared folder), so later joins and
+    aggregations on exactly those keys need no shuffle; the bucket count
+    defaults to ``spark.sql.shuffle.partitions``.
     """
     target = f"{shared_dir(spark).rstrip('/')}/panelmart_models/{name}"
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:
+        # One task per bucket (same hash as the bucketing), so each task writes
+        # one file per bucket and partition instead of one per bucket *per task*.
+        df = df.repartition(n, *bucket_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
-    return spark.read.parquet(target)
+    if not bucket_by:
+        writer.parquet(target)
+        return spark.read.parquet(target)
+    table = "panelmart_" + "".join(ch if ch.isalnum() else "_" for ch in name)
+    writer.bucketBy(n, *bucket_by).sortBy(*bucket_by).format("parquet").option("path", target).saveAsTable(table)
+    return spark.table(table)
