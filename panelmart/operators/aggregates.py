@@ -19,8 +19,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions.columns import ColumnOrName, col
-from .percentiles import Pct, percentile_table, use_builtin
+from .joins import small_dim
+from .percentiles import Pct, _null_safe_join, percentile_table, use_builtin
 from .percentiles import median as median_of  # noqa: F401  (re-exported)
 from .percentiles import percentile as percentile_of  # noqa: F401
 
@@ -269,29 +272,33 @@ def region_detail(df: DataFrame, by: Sequence[str], cols: Sequence[str], count_n
     return medians(df, by, cols, count_name=count_name)
 
 
-def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def box_stats(df: DataFrame, by: Sequence[str], value: str, max_groups: int = 1_000_000) -> DataFrame:
     """Box-plot statistics per group.
 
     Quartiles are exact interpolating percentiles; whiskers are the most
     extreme values inside 1.5 IQR of the quartiles; outliers are counted.  Two
     passes: one aggregate for the quartiles, then a join back for whiskers
-    and outlier counts (the quartile table has one row per group).
+    and outlier counts.  The quartile table (one row per group) is written to
+    the shared checkpoint folder and broadcast behind a row-count proof, so a
+    hot group never meets a skewed shuffle join; joins are NULL-safe, so a
+    NULL group is kept like any other (E19).
     """
     v = F.col(value)
     q = aggregate(df, by, [
         percentile_of(v, 0.25, "q1"), median_of(v, "median"), percentile_of(v, 0.75, "q3"),
         F.avg(v).alias("mean"), F.count(v).alias("n"),
     ]).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = small_dim(checkpoint(q), max_groups)
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    j = df.select(*by, value).join(q, list(by), "inner")
+    j = _null_safe_join(df.select(*by, value), q, list(by))
     inside = v.between(lo, hi)
     w = j.groupBy(*by).agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count(F.when(~inside, F.lit(1))).alias("n_outliers"),
     )
-    return q.drop("iqr").join(w, list(by), "inner")
+    return _join_keys(q.drop("iqr"), w, list(by))
 
 
 def sum_cols(cols: Sequence[ColumnOrName]) -> Column:

@@ -34,6 +34,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions.columns import ColumnOrName, col
 from .joins import fits, small_dim
 
@@ -124,7 +126,7 @@ def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
     # the shared checkpoint folder (cuts the lineage, survives executor loss)
     # and broadcast only when its row count is proven small; otherwise the
     # join stays a shuffle join and AQE splits skewed partitions.
-    brk = small_dim(brk.checkpoint(eager=True), max_groups)
+    brk = small_dim(checkpoint(brk), max_groups)
 
     # every value meets the brackets of its group (one row per group and p)
     j = _null_safe_join(long, brk, gk)

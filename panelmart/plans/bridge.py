@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions.columns import pct_text
 from ..operators.aggregates import grouping_sets
 from ..operators.joins import small_dim
@@ -48,7 +50,7 @@ def driver_bridge(effects: DataFrame, group: str | None, step: str, delta: str,
     # (group, step) effects are few; write them once to the shared checkpoint
     # folder so the ranking, ordering, running total and remainder below read
     # this small table instead of re-running the heavy input plan each time.
-    e = small_dim(e.checkpoint(eager=True), max_effects)
+    e = small_dim(checkpoint(e), max_effects)
     order = top_n_union(e, g, step, "effect", top_n).withColumnRenamed("item_order", "step_order")
     sel = e.join(order, [step], "inner")
     sel = sel.withColumn("cumulative", running_sum("effect", g, "step_order"))

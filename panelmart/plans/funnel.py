@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions.columns import bucket, count_flags, fround
 from ..operators.aggregates import count_distinct_concat
 from ..operators.joins import small_dim
@@ -69,7 +71,7 @@ def _group_table(df: DataFrame, max_groups: int) -> DataFrame:
     so the funnel plan grows linearly with the number of steps (each step
     reads the rows once more) instead of doubling with every step.
     """
-    return small_dim(df.checkpoint(eager=True), max_groups)
+    return small_dim(checkpoint(df), max_groups)
 
 
 def validation_funnel(df: DataFrame, steps: Sequence, max_groups: int = 1_000_000) -> DataFrame:

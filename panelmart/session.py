@@ -63,3 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="panelmart-ckpt-", dir=os.environ.get("PANELMART_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
+
+
+def checkpoint(df):
+    """Reliable, eager checkpoint into the session's shared checkpoint folder.
+
+    Used to cut the lineage of small, reused intermediate tables; the folder
+    is the cluster's ``spark.checkpoint.dir`` (set here only when unset).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
