@@ -48,7 +48,7 @@ CONTRACT = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("value_pct", T.DoubleType()),
-    T.StructField("ts", T.TimestampType()),
+    T.StructField("ts", T.TimestampNTZType()),
     T.StructField("session", T.StringType()),
 ])
 

@@ -228,7 +228,7 @@ SELECT unit_id, n.n_name AS company, r.r_name AS region, segment, {", ".join(yco
        n_orders, market_value, policy_value,
        ({zero}) / {float(len(ycols))} AS mean_value_zero,
        ({strict}) / {float(len(ycols))} AS mean_value_strict,
-       CASE {rate} ELSE 0.04 END AS rate
+       CAST(CASE {rate} ELSE 0.04 END AS DOUBLE) AS rate
 FROM wide
 LEFT JOIN nation n ON 'GM' || lpad(CAST(wide.c_nationkey AS VARCHAR), 4, '0') = 'GM' || lpad(CAST(n.n_nationkey AS VARCHAR), 4, '0')
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
