@@ -9,11 +9,17 @@ would need tens of GB in one task.  This module computes the *same exact*
    ``percentile_approx(v, [p − δ, p + δ], accuracy)`` — a mergeable sketch, so
    the pass is a partial aggregate (map-side combine, skew-safe) whose buffer
    size depends on ``accuracy`` only;
-2. per group: the number of values strictly below the bracket (a count);
+2. per group: the number of values strictly below and inside the bracket
+   (counts);
 3. the values *inside* the bracket (about ``(2δ + 2/accuracy)·n`` rows per
    group) are ranked with a window; the rows with the two target ranks
    ``floor(p·(n−1))`` and ``ceil(p·(n−1))`` give the exact interpolated value.
 
+If a bracket still holds more than ``MAX_WINDOW`` values (groups beyond about
+a billion rows), refinement rounds narrow it with an equal-width histogram
+(``BINS`` rows per group, a partial aggregate) to the bins that hold the
+target ranks, until the window input is bounded.
+
 The sketch's rank error is at most ``n/accuracy``; the bracket half-width
 ``δ = slack/accuracy`` therefore always contains the target ranks.  Groups
 with fewer than ``accuracy`` rows use ``[min, max]`` as the bracket (then the
@@ -43,6 +49,8 @@ METHOD_CONF = "spark.panelmart.percentiles"
 ACCURACY = 20_000
 SLACK = 8
 MAX_BROADCAST_GROUPS = 1_000_000
+MAX_WINDOW = 1_000_000   # most values of one group a final ranking window may see
+BINS = 4096              # histogram bins per refinement round
 
 
 @dataclass
@@ -81,7 +89,8 @@ def use_builtin(df: DataFrame, accuracy: int = ACCURACY) -> bool:
 
 
 def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
-                     accuracy: int = ACCURACY, slack: int = SLACK, max_groups: int = MAX_BROADCAST_GROUPS) -> DataFrame:
+                     accuracy: int = ACCURACY, slack: int = SLACK, max_groups: int = MAX_BROADCAST_GROUPS,
+                     max_window: int = MAX_WINDOW, bins: int = BINS, max_rounds: int = 12) -> DataFrame:
     """One row per group of ``keys`` (NULL keys allowed) with one column per ``Pct``.
 
     ``df`` must already contain the key columns; measures are expressions
@@ -127,21 +136,35 @@ def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
     # and broadcast only when its row count is proven small; otherwise the
     # join stays a shuffle join and AQE splits skewed partitions.
     brk = small_dim(checkpoint(brk), max_groups)
+    keys_p = gk + ["__pi"]
 
-    # every value meets the brackets of its group (one row per group and p)
+    # pass 2: values below and inside each bracket (one partial aggregate)
     j = _null_safe_join(long, brk, gk)
-
-    # pass 2: values below each bracket
-    below = j.groupBy(*gk, "__pi").agg(F.count(F.when(F.col("__v") < F.col("__lo"), F.lit(1))).alias("__below"))
-
-    # pass 3: rank the values inside the bracket
+    inside = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+    counts = j.groupBy(*keys_p).agg(F.count(F.when(F.col("__v") < F.col("__lo"), F.lit(1))).alias("__below"),
+                                    F.count(F.when(inside, F.lit(1))).alias("__nin"))
+    state = small_dim(checkpoint(_null_safe_join(brk, counts, keys_p)), max_groups)
+
+    # refinement: while a bracket still holds more than ``max_window`` values,
+    # narrow it with an equal-width histogram of its values (a partial
+    # aggregate of at most ``bins`` rows per group) to the one or two bins
+    # holding the target ranks; so the final window never sees more than
+    # ``max_window`` values of one group, whatever the group's size.
+    for _ in range(max_rounds):
+        worst = state.agg(F.max(F.when(F.col("__lo") < F.col("__hi"), F.col("__nin")))).first()[0]
+        if worst is None or worst <= max_window:
+            break
+        state = _refine(long, state, gk, keys_p, bins, max_window, max_groups)
+
+    # pass 3: rank the values inside the (small) brackets
+    # (a bracket whose bounds are equal already is the answer: no ranking needed)
+    j = _null_safe_join(long, state.filter(F.col("__lo") < F.col("__hi")), gk)
     cand = j.filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-    w = Window.partitionBy(*gk, "__pi").orderBy(F.col("__v").asc())
-    cand = cand.select(*gk, "__pi", "__v", "__pos", F.row_number().over(w).alias("__rn"))
-    cand = _null_safe_join(cand, below, gk + ["__pi"])
+    w = Window.partitionBy(*keys_p).orderBy(F.col("__v").asc())
+    cand = cand.select(*keys_p, "__v", "__pos", "__below", F.row_number().over(w).alias("__rn"))
     rank = F.col("__below") + F.col("__rn") - F.lit(1)
     r0, r1 = F.floor(F.col("__pos")), F.ceil(F.col("__pos"))
-    picked = cand.filter((rank == r0) | (rank == r1)).groupBy(*gk, "__pi").agg(
+    picked = cand.filter((rank == r0) | (rank == r1)).groupBy(*keys_p).agg(
         F.max(F.when(rank == r0, F.col("__v"))).alias("__v0"),
         F.max(F.when(rank == r1, F.col("__v"))).alias("__v1"),
         F.first("__pos").alias("__pos"),
@@ -149,7 +172,8 @@ def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
     lo_r, hi_r = F.floor(F.col("__pos")), F.ceil(F.col("__pos"))
     value = F.when(lo_r == hi_r, F.col("__v0")).otherwise(
         (hi_r - F.col("__pos")) * F.col("__v0") + (F.col("__pos") - lo_r) * F.col("__v1"))
-    res = picked.select(*gk, "__pi", value.alias("__val"))
+    res = picked.select(*keys_p, value.alias("__val")).unionByName(
+        state.filter(F.col("__lo") == F.col("__hi")).select(*keys_p, F.col("__lo").alias("__val")))
 
     # wide: one column per requested percentile
     outs = []
@@ -161,6 +185,35 @@ def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
     return res.agg(*outs)
 
 
+def _refine(long: DataFrame, state: DataFrame, gk: list[str], keys_p: list[str], bins: int,
+            max_window: int, max_groups: int) -> DataFrame:
+    """One histogram round: shrink every over-full bracket to the bins holding its target ranks.
+
+    The bin of a value is a monotone function of the value, so the new
+    bracket ``[min, max]`` of the selected bins contains exactly their values;
+    ``__below`` grows by the counts of the bins before them.
+    """
+    big = (F.col("__nin") > F.lit(max_window)) & (F.col("__lo") < F.col("__hi"))
+    j = _null_safe_join(long, state.filter(big), gk)
+    j = j.filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+    width = F.col("__hi") - F.col("__lo")
+    b = F.least(F.floor((F.col("__v") - F.col("__lo")) / width * F.lit(float(bins))), F.lit(bins - 1))
+    hist = j.groupBy(*keys_p, b.alias("__bin")).agg(
+        F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax"))
+    w = Window.partitionBy(*keys_p).orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = _null_safe_join(hist, state.select(*keys_p, "__below", "__pos"), keys_p)
+    hist = hist.withColumn("__cum", F.sum("__c").over(w) + F.col("__below"))   # ranks < __cum are covered
+    # bins whose rank range [cum - c, cum - 1] meets [floor(pos), ceil(pos)]
+    first_rank = F.col("__cum") - F.col("__c")
+    hit = (first_rank <= F.ceil(F.col("__pos"))) & (F.col("__cum") - F.lit(1) >= F.floor(F.col("__pos")))
+    new = hist.filter(hit).groupBy(*keys_p).agg(
+        F.min("__bmin").alias("__lo"), F.max("__bmax").alias("__hi"),
+        F.min(first_rank).alias("__below"), F.sum("__c").alias("__nin"))
+    kept = state.filter(~big)
+    upd = _null_safe_join(state.filter(big).select(*keys_p, "__pos"), new, keys_p)
+    return small_dim(checkpoint(kept.unionByName(upd.select(*kept.columns))), max_groups)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner equi join on ``keys`` treating NULL = NULL (grouping keys may be NULL)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],

@@ -204,8 +204,9 @@ def test_cross_scalar_has_no_cartesian(spark):
 
 
 # ---------------------------------------------------------------- exact percentiles at scale
-@pytest.mark.parametrize("accuracy", [50, 100_000])
-def test_bracketed_percentiles_equal_builtin(spark, accuracy):
+@pytest.mark.parametrize("accuracy,max_window,bins", [(50, 1_000_000, 4096), (100_000, 1_000_000, 4096),
+                                                      (50, 40, 8), (100_000, 25, 4)])
+def test_bracketed_percentiles_equal_builtin(spark, accuracy, max_window, bins):
     from panelmart.operators import percentiles as PC
 
     rnd = random.Random(11)
@@ -213,10 +214,11 @@ def test_bracketed_percentiles_equal_builtin(spark, accuracy):
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
     data += [(f"g{i % 7}", rnd.gauss(0, 100)) for i in range(6000)]
     data += [("tiny", 1.0), ("tiny", None), (None, 5.0), (None, 7.0)]
+    data += [("same", 3.0) for _ in range(200)]  # one value repeated: a degenerate bracket
     df = spark.createDataFrame(data, "g string, v double")
     pcts = [PC.median("v", "med"), PC.percentile("v", 0.25, "q1"), PC.percentile("v", 0.9, "p90"),
             PC.median(F.col("v") * 2, "med2")]
-    got = PC.percentile_table(df, ["g"], pcts, accuracy=accuracy)
+    got = PC.percentile_table(df, ["g"], pcts, accuracy=accuracy, max_window=max_window, bins=bins)
     want = df.groupBy("g").agg(*[p.builtin() for p in pcts])
     key = lambda t: tuple((x is None, str(x)) for x in t)
     g = sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in got.select("g", "med", "q1", "p90", "med2").collect()), key=key)
