@@ -52,6 +52,8 @@ def main():
     import __spark_entry__ as E
 
     spark = local_session(8)
+    if os.environ.get("PANELMART_PERCENTILES"):
+        spark.conf.set("spark.panelmart.percentiles", os.environ["PANELMART_PERCENTILES"])
     if os.environ.get("PANELMART_MATERIALIZE"):
         spark.conf.set("spark.panelmart.materialize", "true")
     qs, sqls = E.queries(), E.oracle_sql()

@@ -49,3 +49,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert gc == wc
     assert len(gr) == len(wr)
     assert gr == wr
+
+
+MEDIAN_QUERIES = ["with_totals_median", "region_change", "median_forms", "kpi_summary", "box_stats",
+                  "trend_lines", "realised_expected", "median_value_excl"]
+
+
+@pytest.mark.parametrize("name", MEDIAN_QUERIES)
+def test_median_queries_bracketed_path(spark, duck, name):
+    """The bounded percentile plan gives the oracle's exact medians too."""
+    spark.conf.set("spark.panelmart.percentiles", "bracketed")
+    try:
+        got = QUERIES[name](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.panelmart.percentiles")
+    want = duck.execute(ORACLE[name]).df()
+    assert _rows(got) == _rows(want)
