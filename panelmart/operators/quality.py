@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, rel_change
+from ..functions.columns import rel_change
 from ..operators.windows import compare_previous
 
 
@@ -148,5 +148,3 @@ def run_report(checks: Sequence[Check]) -> DataFrame:
             F.when(F.col("violations") >= F.lit(limit), F.lit(bad_status)).otherwise(F.lit("pass")).alias("status")))
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
-
-__all__ = ["col"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
@@ -128,4 +128,4 @@ def series_with_history(current: DataFrame, history: DataFrame, keys: Sequence[s
 
 
 __all__ = ["driver_bridge", "waterfall", "waterfall_by_company", "waterfall_steps", "cumulative_index",
-           "series_with_history", "Window"]
+           "series_with_history"]

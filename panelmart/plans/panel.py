@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import abs_change, as_index, col, pct_text, rel_change
-from ..operators.aggregates import TOTAL, Derived, aggregate, grouping_sets, median_of, with_totals
-from ..operators.joins import MERGE_COL, compare_aggregates, indicator_merge
+from ..operators.aggregates import TOTAL, Derived, aggregate, median_of, with_totals
+from ..operators.joins import MERGE_COL, indicator_merge
 from ..operators.reshape import to_long
 
 
@@ -165,6 +165,5 @@ def trend_lines(df: DataFrame, time: str, years: Sequence[int], kind: str, value
 
 __all__ = [
     "yoy_panel", "matched", "value_change", "add_change_columns", "region_change", "category_mix",
-    "category_mix_yoy", "scenario_share", "scenario_share_yoy", "trend_lines", "compare_aggregates",
-    "grouping_sets",
+    "category_mix_yoy", "scenario_share", "scenario_share_yoy", "trend_lines",
 ]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import sql_pct_text, year_of
+from ..functions.columns import sql_pct_text
 from ..operators.reshape import unpivot
 from ..operators.sets import prefer_current
 from ..operators.windows import pct_change, rank_label
 from ..plans.bridge import cumulative_index, driver_bridge, waterfall, waterfall_by_company, waterfall_steps
 from ..registry import register
-from ..sources.standin import LINE_STEPS_SQL, UNIT_YEAR_SQL, with_sql
+from ..sources.standin import UNIT_YEAR_SQL, with_sql
 from .common import CUR, MEAN, MONEY, PREV, RATIO, STEPS, UY, fact, steps
 from .merge_q import _YEARS
 from .panel_q import VALUE_CHANGE_SQL, value_change_plan
@@ -237,5 +237,3 @@ def q_price_yoy(cat):
     monthly = o.groupBy(period.alias("period")).agg(F.avg("o_totalprice").alias("price_index"))
     return price_index_yoy(monthly, "period", "price_index", "december")
 
-
-__all__ = ["MONEY", "year_of", "LINE_STEPS_SQL"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import register
-from ..sources.standin import ORDER_VALUES_SQL, UNIT_YEAR_SQL, with_sql
+from ..sources.standin import ORDER_VALUES_SQL, with_sql
 from .common import MEAN, MONEY, UY, UY_PANEL, fact, panel
 from .funnel_q import FUNNEL_CTES, FUNNEL_LABELS, funnel_annotated
 from .merge_q import _build_fact_sql, build_fact_plan, q_indicator_merge
@@ -79,5 +79,3 @@ def q_complex_having(cat):
                                                     F.avg("market_value").alias("avg_value"))
     return g.filter(F.col("n") > 1)
 
-
-__all__ = ["UNIT_YEAR_SQL"]

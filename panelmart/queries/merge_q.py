@@ -8,7 +8,7 @@ from ..functions.columns import geo_key, mean_cols, rate_by
 from ..operators import joins as J
 from ..registry import register
 from ..sources.standin import ORDER_VALUES_SQL, order_values, with_sql
-from .common import CUR, MEAN, MONEY, NET, RATIO, TAX, UY, fact
+from .common import CUR, MEAN, MONEY, NET, TAX, UY, fact
 
 _MERGE_CASE = """CASE WHEN {l} IS NOT NULL AND {r} IS NOT NULL THEN 'both'
                 WHEN {l} IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge"""
@@ -241,5 +241,3 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
 def q_build_fact(cat):
     return build_fact_plan(cat)
 
-
-__all__ = ["RATIO"]

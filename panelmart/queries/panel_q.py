@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import sql_pct_text
-from ..operators.aggregates import growth_gap, ratio, with_totals
-from ..plans.panel import (
-    category_mix_yoy, matched, region_change, scenario_share, scenario_share_yoy, trend_lines, value_change,
-)
+from ..plans.panel import matched, value_change
 from ..registry import register
-from .common import CUR, MEAN, MONEY, NET, PREV, RATIO, TAX, UY, UY_PANEL, fact, p, panel
+from .common import CUR, MEAN, MONEY, NET, RATIO, TAX, UY, UY_PANEL, fact, p, panel
 
 _KIND = {"market_value": MONEY, "gross_value": MONEY, "acctbal": MONEY, "policy_value": NET,
          "discount_value": NET, "tax_value": TAX, "pct_full": RATIO}

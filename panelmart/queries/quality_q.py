@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..registry import register
-from .common import CUR, MONEY, NET, PREV, RATIO, TAX, UY, UY_PANEL, fact, p, panel
+from .common import CUR, MONEY, NET, RATIO, UY, UY_PANEL, fact, p, panel
 from .funnel_q import FUNNEL_CTES, FUNNEL_LABELS, funnel_annotated
 from .merge_q import geo_chain_plan
 from ..plans.funnel import funnel_result, funnel_stats
@@ -221,5 +221,3 @@ def _report_sql() -> str:
 def q_dq_report(cat):
     return Q.run_report(dq_checks(cat))
 
-
-__all__ = ["PREV", "RATIO", "TAX", "funnel_stats"]
