@@ -148,3 +148,45 @@ def q_median_value_excl(cat):
     f = exclude(fact(cat).filter(F.col("year") == CUR), "company", _exclusions(cat))
     long = to_long(f, ["unit_type"], [("market", F.col("market_value")), ("policy", F.col("policy_value"))], ["kind", "amount"])
     return A.with_totals(long, ["kind"], ["unit_type"], [A.median_of("amount", "median_value"), F.count("amount").alias("n")])
+
+
+# ---------------------------------------------------------------- C3 / C5 (any-of flags -> class)
+FLAG_COLS = ["valuation_type", "unit_type", "model"]
+FLAG_HITS = ["Full", "high", "Other"]
+
+
+@register("flag_class", UY + f"""
+SELECT CASE WHEN {" OR ".join(f"coalesce({c} IN ({', '.join(repr(h) for h in FLAG_HITS)}), false)" for c in FLAG_COLS)}
+            THEN 'override' ELSE 'standard' END AS flag_class,
+       CASE WHEN complex = 'AUTOMOBILE' THEN 'AUTO' ELSE complex END AS complex_label,
+       count(*) AS n_units
+FROM unit_year WHERE year = {CUR} GROUP BY 1, 2""", ids=("C5", "C3"))
+def q_flag_class(cat):
+    from ..functions.columns import any_flag, relabel
+
+    f = fact(cat).filter(F.col("year") == CUR)
+    cls = F.when(any_flag(FLAG_COLS, FLAG_HITS), F.lit("override")).otherwise(F.lit("standard"))
+    return f.groupBy(cls.alias("flag_class"), relabel("complex", {"AUTOMOBILE": "AUTO"}).alias("complex_label")).agg(
+        F.count(F.lit(1)).alias("n_units"))
+
+
+# ---------------------------------------------------------------- E1 / H1 / C14 (usage per type, business order)
+TYPE_ORDER = ["low", "mid", "high"]
+
+
+@register("usage_by_type", UY + f"""
+SELECT unit_type, type_order, n_units, share_full, {sql_pct_text('share_full')} AS share_text
+FROM (SELECT unit_type,
+             CASE {" ".join(f"WHEN unit_type = '{t}' THEN {i}" for i, t in enumerate(TYPE_ORDER, start=1))} END AS type_order,
+             count(*) AS n_units, avg(CASE WHEN valuation_type = 'Full' THEN 1.0 ELSE 0.0 END) AS share_full
+      FROM unit_year WHERE year = {CUR} GROUP BY unit_type) t
+WHERE type_order IS NOT NULL""", digits={"share_full": RATIO}, ids=("E1", "H1", "C14"))
+def q_usage_by_type(cat):
+    from ..functions.columns import order_by_map, pct_text
+
+    f = fact(cat).filter(F.col("year") == CUR)
+    g = f.groupBy("unit_type").agg(
+        F.count(F.lit(1)).alias("n_units"),
+        F.avg(F.when(F.col("valuation_type") == "Full", F.lit(1.0)).otherwise(F.lit(0.0))).alias("share_full"))
+    g = g.withColumn("type_order", order_by_map("unit_type", TYPE_ORDER)).filter(F.col("type_order").isNotNull())
+    return g.withColumn("share_text", pct_text("share_full"))
