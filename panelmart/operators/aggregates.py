@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
-from ..functions.columns import ColumnOrName, col
+from ..functions.columns import ColumnOrName, col, fround
 from .joins import small_dim
 from .percentiles import Pct, _null_safe_join, percentile_table, use_builtin
 from .percentiles import median as median_of  # noqa: F401  (re-exported)
@@ -246,14 +246,19 @@ def share_where(pred: Column) -> Column:
 
 
 def growth_gap(df: DataFrame, time: str, cur, prev, value: str, kind: str, a: str, b: str, digits: int = 3) -> DataFrame:
-    """One global row: growth of kind ``a`` minus growth of kind ``b`` between two years."""
+    """One global row: growth of kind ``a`` minus growth of kind ``b`` between two years.
+
+    The gap is rounded half up to ``digits`` decimals (the reference rounds it
+    to 3; ``digits=None`` keeps it unrounded).
+    """
     def s(k, y):
         return F.sum(F.when((F.col(kind) == F.lit(k)) & (F.col(time) == F.lit(y)), F.col(value)))
 
     ga = (s(a, cur) - s(a, prev)) / F.nullif(s(a, prev), F.lit(0))
     gb = (s(b, cur) - s(b, prev)) / F.nullif(s(b, prev), F.lit(0))
+    gap = ga - gb if digits is None else fround(ga - gb, digits)
     return df.agg(F.lit(cur).alias(time), ga.alias(f"growth_{a.lower()}"), gb.alias(f"growth_{b.lower()}"),
-                  (ga - gb).alias("growth_gap"))
+                  gap.alias("growth_gap"))
 
 
 # ---------------------------------------------------------------- E17–E20

@@ -26,7 +26,8 @@ from ..operators.windows import cum_product, latest, ratio_to_first, rebase_at,
 
 def driver_bridge(effects: DataFrame, group: str | None, step: str, delta: str, base: DataFrame, base_col: str,
                   total: DataFrame, total_col: str, top_n: int, remainder_label: str = "Other changes",
-                  max_effects: int = 1_000_000, single_label: str = "all", group_name: str = "grp") -> DataFrame:
+                  max_effects: int = 1_000_000, single_label: str = "all", group_name: str = "grp",
+                  zero: Sequence[tuple] = ()) -> DataFrame:
     """Ranked drivers of a change with a running total and a remainder row.
 
     ``effects`` has (group, step, delta) rows (summed here); ``base`` has one
@@ -37,7 +38,10 @@ def driver_bridge(effects: DataFrame, group: str | None, step: str, delta: str,
 
     ``group=None`` is the one-group variation: ``base`` and ``total`` are
     one-row frames used as scalar subqueries (no join on a constant key), and
-    the output carries ``single_label`` in ``group_name``.
+    the output carries ``single_label`` in ``group_name``.  ``zero`` lists
+    (group value, step) pairs whose effect is shown as 0 (after the steps are
+    selected and ordered, before the running total), as the reference does
+    for a step that does not apply to one valuation type.
     """
     single = group is None
     g = [] if single else [group]
@@ -53,6 +57,12 @@ def driver_bridge(effects: DataFrame, group: str | None, step: str, delta: str,
     e = small_dim(checkpoint(e), max_effects)
     order = top_n_union(e, g, step, "effect", top_n).withColumnRenamed("item_order", "step_order")
     sel = e.join(order, [step], "inner")
+    if zero and not single:
+        hit = None
+        for gv, sv in zero:
+            c = (F.col(group) == F.lit(gv)) & (F.col(step) == F.lit(sv))
+            hit = c if hit is None else hit | c
+        sel = sel.withColumn("effect", F.when(hit, F.lit(0.0)).otherwise(F.col("effect")))
     sel = sel.withColumn("cumulative", running_sum("effect", g, "step_order"))
     last = latest(sel, g, [F.col("step_order").desc()]).select(*g, F.col("cumulative").alias("__last"))
     max_order = order.agg(F.max("step_order") + 1).scalar()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import fround, sql_fround
 from ..operators import aggregates as A
 from ..plans.panel import (
     category_mix_yoy, matched, region_change, scenario_share, scenario_share_yoy, trend_lines,
@@ -206,17 +207,19 @@ FROM unit_year"""
 
 
 @register("growth_gap", UY + f"""
-SELECT year, growth_basis, growth_full, growth_basis - growth_full AS growth_gap FROM ({_GROWTH_SQL.format(y=CUR)}) g""",
+SELECT year, growth_basis, growth_full, {sql_fround("growth_basis - growth_full", 3)} AS growth_gap
+FROM ({_GROWTH_SQL.format(y=CUR)}) g""",
           digits={"growth_basis": RATIO, "growth_full": RATIO, "growth_gap": RATIO}, ids=("E16", "I25"))
 def q_growth_gap(cat):
     return _growth_rows(fact(cat), CUR)
 
 
 @register("growth_gap_history", UY + f"""
-, cur AS (SELECT year, growth_basis, growth_full, growth_basis - growth_full AS growth_gap FROM ({_GROWTH_SQL.format(y=CUR)}) g),
+, cur AS (SELECT year, growth_basis, growth_full, {sql_fround("growth_basis - growth_full", 3)} AS growth_gap
+        FROM ({_GROWTH_SQL.format(y=CUR)}) g),
 hist AS (
   SELECT y.year, (sb - pb) / nullif(pb, 0) AS growth_basis, (sf - pf) / nullif(pf, 0) AS growth_full,
-         (sb - pb) / nullif(pb, 0) - (sf - pf) / nullif(pf, 0) AS growth_gap
+         {sql_fround("(sb - pb) / nullif(pb, 0) - (sf - pf) / nullif(pf, 0)", 3)} AS growth_gap
   FROM (SELECT year, sum(market_value) FILTER (WHERE valuation_type = 'Basis') AS sb,
                sum(market_value) FILTER (WHERE valuation_type = 'Full') AS sf
         FROM unit_year GROUP BY year) y
@@ -241,7 +244,7 @@ def q_growth_gap_history(cat):
     h = yearly.join(prev, ["year"], "inner")
     gb = (F.col("sb") - F.col("pb")) / F.nullif(F.col("pb"), F.lit(0))
     gf = (F.col("sf") - F.col("pf")) / F.nullif(F.col("pf"), F.lit(0))
-    history = h.select("year", gb.alias("growth_basis"), gf.alias("growth_full"), (gb - gf).alias("growth_gap"))
+    history = h.select("year", gb.alias("growth_basis"), gf.alias("growth_full"), fround(gb - gf, 3).alias("growth_gap"))
     # The current row has the E16 definition; it is taken from the same yearly
     # aggregate (year from the data, so the precedence join keeps a real key).
     cur = history.filter(F.col("year") == CUR)

@@ -244,3 +244,20 @@ def test_aggregate_grouping_sets_with_medians(spark):
         assert sorted(map(tuple, got.select(*cols).collect()), key=key) == sorted(map(tuple, want.select(*cols).collect()), key=key)
     finally:
         spark.conf.unset(PC.METHOD_CONF)
+
+
+def test_driver_bridge_ranks_unions_orders_and_remainder(spark):
+    from panelmart.plans.bridge import driver_bridge
+
+    eff = spark.createDataFrame([("A", "s1", 10.0), ("A", "s2", -30.0), ("A", "s3", 5.0),
+                                 ("B", "s1", 40.0), ("B", "s2", 1.0), ("B", "s3", -2.0)], "g string, step string, d double")
+    base = spark.createDataFrame([("A", 100.0), ("B", 100.0)], "g string, b double")
+    total = spark.createDataFrame([("A", -0.10), ("B", 0.50)], "g string, t double")
+    out = {(r.g, r.step): r for r in driver_bridge(eff, "g", "step", "d", base, "b", total, "t", 1,
+                                                   zero=[("B", "s2")]).collect()}
+    # top-1 per group: A -> s2 (|-0.30|), B -> s1 (0.40); union {s1, s2} ordered by mean |effect|
+    assert out[("A", "s1")].step_order == 1 and out[("A", "s2")].step_order == 2
+    assert round(out[("A", "s2")].cumulative, 9) == round(0.10 - 0.30, 9)
+    assert out[("B", "s2")].effect == 0.0                       # zeroed after ordering
+    assert out[("A", "Other changes")].step_order == 3
+    assert round(out[("A", "Other changes")].effect, 9) == round(-0.10 - (0.10 - 0.30), 9)
