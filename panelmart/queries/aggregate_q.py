@@ -14,7 +14,7 @@ from .common import CUR, MEAN, MONEY, NET, PREV, RATIO, UY, UY_PANEL, fact, p, p
 
 
 def cur_fact(cat):
-    return fact(cat).filter(F.col("year") == CUR)
+    return fact(cat, [CUR])
 
 
 def _tot(d: str) -> str:
@@ -328,7 +328,7 @@ SELECT coalesce(c.unit_type, pr.unit_type) AS unit_type, n_current, share_curren
 FROM c FULL OUTER JOIN pr ON c.unit_type = pr.unit_type""",
           digits={"share_current": RATIO, "share_prior": RATIO, "share_change": RATIO}, ids=("I21", "F1", "D11"))
 def q_category_mix_yoy(cat):
-    return category_mix_yoy(fact(cat), "year", CUR, "unit_type")
+    return category_mix_yoy(fact(cat, [CUR, PREV]), "year", CUR, "unit_type")
 
 
 # ---------------------------------------------------------------- I24
@@ -351,7 +351,7 @@ FROM s c JOIN s pr ON c.unit_type = pr.unit_type AND c.region = pr.region AND c.
 """,
           digits={"share_current": RATIO, "share_prior": RATIO, "share_change": RATIO}, ids=("I24", "D12"))
 def q_scenario_share_yoy(cat):
-    return scenario_share_yoy(fact(cat), ["unit_type", "region"], "year", CUR, F.col("own_input") == 1)
+    return scenario_share_yoy(fact(cat, [CUR, PREV]), ["unit_type", "region"], "year", CUR, F.col("own_input") == 1)
 
 
 # ---------------------------------------------------------------- I27 / G5
@@ -364,4 +364,4 @@ LEFT JOIN med b ON b.year = y.year AND b.valuation_type = 'Basis'
 LEFT JOIN med f ON f.year = y.year AND f.valuation_type = 'Full'""",
           digits={"median_basis": MONEY, "median_full": MONEY, "gap": MONEY}, ids=("I27", "G5", "E2"))
 def q_trend_lines(cat):
-    return trend_lines(fact(cat), "year", [PREV, CUR], "valuation_type", "market_value", "Basis", "Full")
+    return trend_lines(fact(cat, [PREV, CUR]), "year", [PREV, CUR], "valuation_type", "market_value", "Basis", "Full")

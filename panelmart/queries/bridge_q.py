@@ -94,7 +94,7 @@ SELECT unit_type, step, value, percent, {sql_pct_text('percent')} AS text, step_
        CASE WHEN step_order = 1 THEN 'absolute' WHEN step_order = {len(WATERFALL_STEPS)} THEN 'total' ELSE 'relative' END AS measure
 FROM pct""", digits={"value": MEAN, "percent": RATIO}, ids=("I12", "G1", "F10", "E8"))
 def q_waterfall(cat):
-    df = fact(cat).filter((F.col("year") == CUR) & F.col("policy_value").isNotNull())
+    df = fact(cat, [CUR]).filter(F.col("policy_value").isNotNull())
     return waterfall(df, "unit_type", WATERFALL_LISTED, WATERFALL_STEPS)
 
 
@@ -103,7 +103,7 @@ _WF_PARTS = ["gross_value", "discount_value", "tax_value"]
 
 
 def _wf_company(cat):
-    df = fact(cat).filter((F.col("year") == CUR) & F.col("policy_value").isNotNull())
+    df = fact(cat, [CUR]).filter(F.col("policy_value").isNotNull())
     return waterfall_by_company(df, "company", "market_value", _WF_PARTS, "policy_value")
 
 

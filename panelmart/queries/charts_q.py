@@ -34,7 +34,7 @@ SELECT c.company, c.median_value, pr.median_value AS median_value_{PREV},
 FROM m c JOIN m pr ON c.company = pr.company AND c.year = {CUR} AND pr.year = {PREV}""",
           digits={"median_value": MONEY, f"median_value_{PREV}": MONEY}, ids=("E2", "D12"))
 def q_median_by_company_yoy(cat):
-    f = fact(cat).filter(F.col("year").isin(CUR, PREV) & F.col("unit_type").isin("low", "mid")
+    f = fact(cat, [CUR, PREV]).filter(F.col("unit_type").isin("low", "mid")
                          & (F.col("model") == "Residential"))
     med = A.aggregate(f, ["year", "company"], [A.median_of("market_value", "median_value")])
     out = compare_years(med, ["company"], "year", CUR, PREV, ["median_value"])
@@ -96,7 +96,7 @@ SELECT region,
 FROM unit_year WHERE year IN ({CUR}, {PREV}) GROUP BY region""",
           digits={"share_current": RATIO, "share_prior": RATIO, "share_change": RATIO}, ids=("I28", "E9", "E15"))
 def q_energy_share_yoy(cat):
-    f = fact(cat).filter(F.col("year").isin(CUR, PREV))
+    f = fact(cat, [CUR, PREV])
     hit = F.col("n_orders") > 1
 
     def share(y):
@@ -131,7 +131,7 @@ FROM unit_year WHERE year = {CUR} GROUP BY GROUPING SETS ((region), ())""",
 def q_basis_full_gap(cat):
     b = A.avg_where("market_value", F.col("valuation_type") == "Basis")
     f = A.avg_where("market_value", F.col("valuation_type") == "Full")
-    return A.grouping_sets(fact(cat).filter(F.col("year") == CUR), [["region"], []],
+    return A.grouping_sets(fact(cat, [CUR]), [["region"], []],
                            [b.alias("mean_basis"), f.alias("mean_full"), (b - f).alias("gap")])
 
 
@@ -145,7 +145,7 @@ SELECT kind, CASE WHEN grouping(unit_type) = 1 THEN 'Total' ELSE unit_type END A
 FROM long GROUP BY GROUPING SETS ((kind, unit_type), (kind))""",
           digits={"median_value": NET}, ids=("C21", "G1", "E8", "E2"))
 def q_median_value_excl(cat):
-    f = exclude(fact(cat).filter(F.col("year") == CUR), "company", _exclusions(cat))
+    f = exclude(fact(cat, [CUR]), "company", _exclusions(cat))
     long = to_long(f, ["unit_type"], [("market", F.col("market_value")), ("policy", F.col("policy_value"))], ["kind", "amount"])
     return A.with_totals(long, ["kind"], ["unit_type"], [A.median_of("amount", "median_value"), F.count("amount").alias("n")])
 
@@ -164,7 +164,7 @@ FROM unit_year WHERE year = {CUR} GROUP BY 1, 2""", ids=("C5", "C3"))
 def q_flag_class(cat):
     from ..functions.columns import any_flag, relabel
 
-    f = fact(cat).filter(F.col("year") == CUR)
+    f = fact(cat, [CUR])
     cls = F.when(any_flag(FLAG_COLS, FLAG_HITS), F.lit("override")).otherwise(F.lit("standard"))
     return f.groupBy(cls.alias("flag_class"), relabel("complex", {"AUTOMOBILE": "AUTO"}).alias("complex_label")).agg(
         F.count(F.lit(1)).alias("n_units"))
@@ -184,7 +184,7 @@ WHERE type_order IS NOT NULL""", digits={"share_full": RATIO}, ids=("E1", "H1",
 def q_usage_by_type(cat):
     from ..functions.columns import order_by_map, pct_text
 
-    f = fact(cat).filter(F.col("year") == CUR)
+    f = fact(cat, [CUR])
     g = f.groupBy("unit_type").agg(
         F.count(F.lit(1)).alias("n_units"),
         F.avg(F.when(F.col("valuation_type") == "Full", F.lit(1.0)).otherwise(F.lit(0.0))).alias("share_full"))

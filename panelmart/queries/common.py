@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..plans.panel import prior_name, yoy_panel
 from ..sources.standin import LINE_STEPS_SQL, UNIT_YEAR_SQL, line_steps, unit_year, with_sql
-from ..sources.tables import Catalog
+from ..sources.tables import MATERIALIZE_CONF, Catalog
 
 # Fixed parameters of the stand-in analyses.
 CUR, PREV = 2000, 1999
@@ -20,8 +21,17 @@ PANEL_COLS = ["market_value", "policy_value", "discount_value", "valuation_type"
 MONEY, NET, TAX, MEAN, RATIO = 4, 6, 8, 6, 8
 
 
-def fact(cat: Catalog) -> DataFrame:
-    return cat.model("unit_year", unit_year, partition_by=["year"], bucket_by=KEYS)
+def fact(cat: Catalog, years: list[int] | None = None) -> DataFrame:
+    """The unit-year fact, optionally only some years.
+
+    Materialised: one table partitioned by year (the filter prunes folders).
+    Lazy: a years-restricted build whose date range is pushed into the scan.
+    """
+    if years is None or cat.spark.conf.get(MATERIALIZE_CONF, "false").lower() == "true":
+        f = cat.model("unit_year", unit_year, partition_by=["year"], bucket_by=KEYS)
+        return f if years is None else f.filter(F.col("year").isin(list(years)))
+    ys = sorted(set(years))
+    return cat.model("unit_year_" + "_".join(map(str, ys)), lambda c: unit_year(c, ys))
 
 
 def steps(cat: Catalog) -> DataFrame:
@@ -29,7 +39,7 @@ def steps(cat: Catalog) -> DataFrame:
 
 
 def panel(cat: Catalog) -> DataFrame:
-    return cat.model("panel", lambda c: yoy_panel(fact(c), KEYS, "year", CUR, PANEL_COLS))
+    return cat.model("panel", lambda c: yoy_panel(fact(c, [PREV, CUR]), KEYS, "year", CUR, PANEL_COLS))
 
 
 def p(c: str) -> str:

@@ -30,7 +30,7 @@ def funnel_steps():
 
 def funnel_annotated(cat):
     def build(c):
-        base = fact(c).filter((F.col("year") == CUR) & (F.col("model") == "Residential"))
+        base = fact(c, [CUR]).filter(F.col("model") == "Residential")
         return FN.validation_funnel(base, funnel_steps())
     return cat.model("funnel", build)
 
@@ -84,7 +84,7 @@ BUCKET_LABELS = [_bucket_label(i) for i in range(len(BUCKET_EDGES) + 1)]
 
 
 def _company_growth(cat):
-    f = fact(cat).filter(F.col("year").isin(CUR, PREV))
+    f = fact(cat, [CUR, PREV])
     cur = F.sum(F.when(F.col("year") == CUR, F.col("market_value")))
     prev = F.sum(F.when(F.col("year") == PREV, F.col("market_value")))
     return f.groupBy("company").agg((cur / F.nullif(prev, F.lit(0)) - F.lit(1)).alias("deviation"),
@@ -261,7 +261,7 @@ SELECT unit_type, n, v.override, v.share_own_input FROM g CROSS JOIN LATERAL (VA
 def q_override_usage(cat):
     flags = [("own_input", F.col("own_input") == 1), ("full_valued", F.col("valuation_type") == "Full"),
              ("multi_order", F.col("n_orders") > 1)]
-    return OV.override_usage(fact(cat).filter(F.col("year") == CUR), "unit_type", flags)
+    return OV.override_usage(fact(cat, [CUR]), "unit_type", flags)
 
 
 # ---------------------------------------------------------------- I20 / D13 / C22 / C24
@@ -286,7 +286,7 @@ FROM j GROUP BY company""",
           digits={"median_deviation": RATIO, "mean_deviation": RATIO, "share_equal": RATIO, "median_rel_error": RATIO},
           ids=("I20", "D13", "C22", "C24", "E2"))
 def q_realised_expected(cat):
-    f = fact(cat)
+    f = fact(cat, [PREV - 1, PREV, CUR])
     cur = f.filter(F.col("year") == CUR).select("unit_id", "company", "market_value")
     prev = f.filter(F.col("year") == PREV).select("unit_id", "company", F.col("market_value").alias("prev_value"))
     a = f.filter(F.col("year") == PREV).select("unit_id", "company", F.col("market_value").alias("a"))
@@ -328,7 +328,7 @@ FROM s FULL OUTER JOIN pop ON s.region = pop.region""", digits={"coverage": RATI
 def q_coverage(cat):
     from ..operators.joins import small_dim
 
-    sample = fact(cat).filter(F.col("year") == CUR).groupBy("region").agg(F.count(F.lit(1)).alias("n_sample"))
+    sample = fact(cat, [CUR]).groupBy("region").agg(F.count(F.lit(1)).alias("n_sample"))
     nation = small_dim(cat["nation"].select("n_nationkey", "n_regionkey"), 10_000)
     region = small_dim(cat["region"].select("r_regionkey", F.col("r_name").alias("region")), 10_000)
     pop = (cat["customer"].select("c_nationkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -346,7 +346,7 @@ FROM region r LEFT JOIN v ON r.r_name = v.region""", digits={"median_value": MON
 def q_region_fill(cat):
     from ..operators.aggregates import aggregate, median_of
 
-    v = aggregate(fact(cat).filter((F.col("year") == CUR) & (F.col("n_orders") >= 4)), ["region"],
+    v = aggregate(fact(cat, [CUR]).filter(F.col("n_orders") >= 4), ["region"],
                   [median_of("market_value", "median_value"), F.count(F.lit(1)).alias("n")])
     regions = cat["region"].select(F.col("r_name").alias("region"))
     return OV.region_fill(v, regions, ["region"])

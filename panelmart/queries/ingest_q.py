@@ -97,7 +97,7 @@ SELECT *, CASE WHEN expected AND found AND active THEN 'ok'
                WHEN found AND NOT active THEN 'inactive' ELSE 'other' END AS category
 FROM j""", ids=("B10",))
 def q_entity_coverage(cat):
-    f = fact(cat)
+    f = fact(cat, [CUR, PREV])
     expected = cat["nation"].select(F.col("n_name").alias("company"))
     found = f.filter((F.col("year") == CUR) & (F.col("n_orders") >= 4)).select("company")
     active = f.filter((F.col("year") == PREV) & (F.col("n_orders") >= 4)).select("company")

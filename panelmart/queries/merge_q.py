@@ -137,7 +137,7 @@ WHERE year = {CUR} AND NOT EXISTS (
   SELECT 1 FROM unit_year x WHERE x.year = {CUR} AND x.unit_type = 'negative'
     AND x.company = t.company AND x.complex = t.complex)""", digits={"market_value": MONEY}, ids=("D8", "H5"))
 def q_group_anti(cat):
-    f = fact(cat).filter(F.col("year") == CUR).select("unit_id", "company", "complex", "unit_type", "market_value")
+    f = fact(cat, [CUR]).select("unit_id", "company", "complex", "unit_type", "market_value")
     return J.exclude_groups(f, ["company", "complex"], F.col("unit_type") == "negative")
 
 
@@ -147,7 +147,7 @@ SELECT unit_id, company, market_value FROM unit_year
 WHERE year = {CUR} AND company NOT IN (SELECT n_name FROM nation WHERE n_regionkey = 1)""",
           digits={"market_value": MONEY}, ids=("D9", "C21"))
 def q_exclude_not_in(cat):
-    f = fact(cat).filter(F.col("year") == CUR).select("unit_id", "company", "market_value")
+    f = fact(cat, [CUR]).select("unit_id", "company", "market_value")
     return J.exclude_listed(f, "company", cat["nation"], "n_name", F.col("n_regionkey") == 1)
 
 
@@ -157,7 +157,7 @@ SELECT unit_id, company, market_value FROM unit_year
 WHERE year = {CUR} AND company IN (SELECT company FROM unit_year WHERE year = {CUR} GROUP BY company HAVING count(*) > 45)""",
           digits={"market_value": MONEY}, ids=("D10", "E12"))
 def q_keep_groups(cat):
-    f = fact(cat).filter(F.col("year") == CUR).select("unit_id", "company", "market_value")
+    f = fact(cat, [CUR]).select("unit_id", "company", "market_value")
     return J.keep_groups(f, ["company"], F.col("n") > 45, [F.count(F.lit(1)).alias("n")])
 
 

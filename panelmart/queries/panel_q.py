@@ -139,7 +139,7 @@ def q_share_per_model(cat):
     from ..operators.reshape import to_long
     from ..operators.windows import share
 
-    f = fact(cat).filter(F.col("year") == CUR).withColumn("type_label", relabel("unit_type", TYPE_LABELS))
+    f = fact(cat, [CUR]).withColumn("type_label", relabel("unit_type", TYPE_LABELS))
     long = to_long(f, ["year", "type_label"], [("market", F.col("market_value")), ("policy", F.col("policy_value"))],
                    ["value_kind", "amount"]).filter(F.col("amount").isNotNull())
     g = long.groupBy("value_kind", "year", "type_label").agg(F.sum("amount").alias("amount"))
@@ -168,7 +168,7 @@ GROUP BY 1""", digits={"corrected_value": MEAN}, ids=("C4", "C11", "C23", "H8"))
 def q_area_values(cat):
     from ..functions.columns import area_label, corrected, norm_text
 
-    f = fact(cat).filter(F.col("year") == CUR)
+    f = fact(cat, [CUR])
     if CUR == 2000:  # C23: a predicate compiled into the plan for one year only
         f = f.filter(~norm_text("company").isin(EXCLUDE_IN_CURRENT_YEAR))
     f = f.withColumn("own_flag", F.col("own_input").cast("string"))

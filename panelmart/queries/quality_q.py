@@ -138,7 +138,7 @@ SELECT s.unit_id, s.company FROM step_5 s LEFT JOIN (SELECT * FROM unit_year WHE
 WHERE NOT coalesce(u.model = 'Residential', false)""", ids=("K11",))
 def q_dq_subset_of(cat):
     sub = funnel_result(funnel_annotated(cat), len(FUNNEL_LABELS) - 1).select("unit_id", "company")
-    sup = fact(cat).filter(F.col("year") == CUR)
+    sup = fact(cat, [CUR])
     a = Q.subset_of(sub, sup, ["unit_id", "company"])
     b = Q.attribute_check(sub, sup.select("unit_id", "company", "model"), ["unit_id", "company"],
                           F.col("model") == "Residential").select("unit_id", "company")

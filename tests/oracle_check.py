@@ -51,7 +51,7 @@ def main():
     names = [a for a in args if not a.startswith("/")]
     import __spark_entry__ as E
 
-    spark = local_session(8)
+    spark = local_session(8, int(os.environ.get("PANELMART_SHUFFLE_PARTITIONS", "8")))
     if os.environ.get("PANELMART_PERCENTILES"):
         spark.conf.set("spark.panelmart.percentiles", os.environ["PANELMART_PERCENTILES"])
     if os.environ.get("PANELMART_MATERIALIZE"):
