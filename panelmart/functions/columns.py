@@ -42,6 +42,37 @@ def sql_fround(expr: str, digits: int) -> str:
     return f"CAST(floor(({expr}) * {float(10**digits)!r} + 0.5) / {float(10**digits)!r} AS DOUBLE)"
 
 
+class Bits(int):
+    """A rounding grid of ``2**-bits`` (see :func:`bround`)."""
+
+
+def bround(c: ColumnOrName, bits: int) -> Column:
+    """Round to the nearest multiple of ``2**-bits`` (half up).
+
+    For computed (non-decimal) values such as means and ratios: scaling by a
+    power of two is exact, so the result is bit-identical in every engine for
+    identical inputs, and — unlike decimal rounding — a decimal midpoint such
+    as x.xxxxx5 is never a tie, so two engines whose sums differ only in the
+    last bit do not round a mean of many prices to different decimals.
+    """
+    scale = float(2**bits)
+    return (F.floor(col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+
+
+def sql_bround(expr: str, bits: int) -> str:
+    scale = float(2**bits)
+    return f"CAST(floor(({expr}) * {scale!r} + 0.5) / {scale!r} AS DOUBLE)"
+
+
+def round_for_compare(c: ColumnOrName, digits: int) -> Column:
+    """:func:`bround` for :class:`Bits`, else :func:`fround`."""
+    return bround(c, int(digits)) if isinstance(digits, Bits) else fround(c, digits)
+
+
+def sql_round_for_compare(expr: str, digits: int) -> str:
+    return sql_bround(expr, int(digits)) if isinstance(digits, Bits) else sql_fround(expr, digits)
+
+
 # ---------------------------------------------------------------- C3 / C4
 def relabel(c: ColumnOrName, mapping: Mapping[str, str], default: ColumnOrName | None = None) -> Column:
     """CASE-style label normalisation; unmapped values keep ``default`` (the input)."""

@@ -11,7 +11,7 @@ from ..operators.windows import pct_change, rank_label
 from ..plans.bridge import cumulative_index, driver_bridge, waterfall, waterfall_by_company, waterfall_steps
 from ..registry import register
 from ..sources.standin import UNIT_YEAR_SQL, with_sql
-from .common import CUR, MEAN, MONEY, PREV, RATIO, STEPS, UY, fact, steps
+from .common import CUR, INDEX, MEAN, MONEY, PREV, RATIO, STEPS, UY, fact, steps
 from .merge_q import _YEARS
 from .panel_q import VALUE_CHANGE_SQL, value_change_plan
 
@@ -166,8 +166,8 @@ SELECT *, "index" / nullif(first_value("index") OVER (PARTITION BY valuation_typ
            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) * 100 AS index_base_first,
        {", ".join(f'"index" / nullif(max(CASE WHEN year = {b} THEN "index" END) OVER (PARTITION BY valuation_type), 0) * 100 AS index_base_{b}' for b in INDEX_BASES)}
 FROM idx""",
-          digits={"rate": RATIO, "index_change": RATIO, "index": 6, "index_base_first": 6,
-                  **{f"index_base_{b}": 6 for b in INDEX_BASES}},
+          digits={"rate": RATIO, "index_change": RATIO, "index": INDEX, "index_base_first": INDEX,
+                  **{f"index_base_{b}": INDEX for b in INDEX_BASES}},
           ids=("I14", "H7", "F7", "F8", "F9", "F12", "H12"))
 def q_cumulative_index(cat):
     cur = (value_change_plan(cat).filter((F.col("value_kind") == "market") & (F.col("region") == "Total"))

@@ -11,7 +11,7 @@ from ..operators.joins import compare_years
 from ..operators.reshape import to_long
 from ..plans.panel import add_change_columns, matched
 from ..registry import register
-from .common import CUR, MEAN, MONEY, NET, PREV, RATIO, UY, UY_PANEL, fact, p, panel
+from .common import CUR, INDEX, MEAN, MONEY, NET, PREV, RATIO, UY, UY_PANEL, fact, p, panel
 
 EXCLUDED_REGION_KEY = 4
 
@@ -53,7 +53,7 @@ SELECT *, policy_value - {p('policy_value')} AS abs_change,
        (policy_value - {p('policy_value')}) / nullif({p('policy_value')}, 0) * 100 + 100 AS index_change,
        {sql_pct_text(f"(policy_value - {p('policy_value')}) / nullif({p('policy_value')}, 0)")} AS change_text
 FROM g""", digits={"policy_value": NET, p("policy_value"): NET, "abs_change": NET, "rel_change": RATIO,
-                   "index_change": 6}, ids=("C21", "E1", "C12", "C13", "C14"))
+                   "index_change": INDEX}, ids=("C21", "E1", "C12", "C13", "C14"))
 def q_spread_by_company(cat):
     m = matched(panel(cat), pred=F.col("policy_value").isNotNull() & F.col(p("policy_value")).isNotNull())
     m = exclude(m, "company", _exclusions(cat))
@@ -75,7 +75,7 @@ SELECT *, value_current - value_prior AS abs_change,
        (value_current - value_prior) / nullif(value_prior, 0) * 100 + 100 AS index_change,
        {sql_pct_text('(value_current - value_prior) / nullif(value_prior, 0)')} AS change_text
 FROM g""", digits={"value_current": MEAN, "value_prior": MEAN, "abs_change": MEAN, "rel_change": RATIO,
-                   "index_change": 6}, ids=("G2", "I9", "C12"))
+                   "index_change": INDEX}, ids=("G2", "I9", "C12"))
 def q_region_value_change(cat):
     m = matched(panel(cat))
     long = to_long(m, ["region"], [("market", F.col("market_value"), F.col(p("market_value"))),

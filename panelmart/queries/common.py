@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import Bits
 from ..plans.panel import prior_name, yoy_panel
 from ..sources.standin import LINE_STEPS_SQL, UNIT_YEAR_SQL, line_steps, unit_year, with_sql
 from ..sources.tables import MATERIALIZE_CONF, Catalog
@@ -15,10 +16,14 @@ KEYS = ["unit_id", "company"]
 PANEL_COLS = ["market_value", "policy_value", "discount_value", "valuation_type", "model", "region", "own_input",
               "unit_type", "complex", "pct_full", "n_orders", "tax_value", "acctbal"]
 
-# Rounding digits per kind of double (see registry): always finer than the
-# exact decimals of the inputs (prices 2, net values 4, taxed values 6), so a
-# rounding tie cannot come from the data itself.
-MONEY, NET, TAX, MEAN, RATIO = 4, 6, 8, 6, 8
+# Rounding of doubles for the oracle compare (see registry).  Sums of prices,
+# net values and taxed values are exact decimals (2, 4, 6 places): they are
+# rounded on a decimal grid finer than that, so no tie can come from the data.
+# Means, ratios and other computed values go on a binary grid (no decimal
+# midpoint ties), coarse enough that last-bit summation differences between
+# engines practically never cross a grid line.
+MONEY, NET, TAX = 4, 6, 8
+MEAN, INDEX, RATIO = Bits(16), Bits(24), Bits(32)
 
 
 def fact(cat: Catalog, years: list[int] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..plans import funnel as FN
 from ..plans import overrides as OV
 from ..registry import register
-from .common import CUR, MONEY, PREV, RATIO, TAX, UY, UY_PANEL, fact, p, panel
+from .common import CUR, MEAN, MONEY, PREV, RATIO, UY, UY_PANEL, fact, p, panel
 
 # ---------------------------------------------------------------- I6 / I7
 FUNNEL_LABELS = ["start", "company full share", "no busy complexes", "no excluded regions",
@@ -201,7 +201,7 @@ CROSS JOIN LATERAL (VALUES ('Basis', {_chg('bc', 'bp', cfg.diff)}), ('Full', {_c
 
 
 @register("override_change", _PREP_SQL + "\nUNION ALL\n".join(_i16_arm(c) for c in _configs(False)),
-          digits={"value": TAX}, ids=("I16", "G3", "G6", "E10", "C17", "C18", "C19", "D9", "R7"))
+          digits={"value": MEAN}, ids=("I16", "G3", "G6", "E10", "C17", "C18", "C19", "D9", "R7"))
 def q_override_change(cat):
     return OV.override_change(_prepared(cat, False), "region", "valuation_type", _configs(False))
 
@@ -215,7 +215,7 @@ CROSS JOIN LATERAL (VALUES ('level', lv), ('change', ch)) AS v(calc_type, value)
 
 
 @register("override_level", _PREP_SQL + "\nUNION ALL\n".join(_i17_arm(c) for c in _configs(True)),
-          digits={"value": TAX}, ids=("I17", "G3", "G6"))
+          digits={"value": MEAN}, ids=("I17", "G3", "G6"))
 def q_override_level(cat):
     return OV.override_level_and_change(_prepared(cat, True), "company", "valuation_type", _configs(True))
 
@@ -242,7 +242,7 @@ WHERE v.row_count > 0"""
 
 
 @register("override_box", _PREP_SQL + "\nUNION ALL\n".join(_i18_arm(c) for c in _configs(False)),
-          digits={"value": TAX}, ids=("I18", "E9", "G3"))
+          digits={"value": MEAN}, ids=("I18", "E9", "G3"))
 def q_override_box(cat):
     return OV.override_box(_prepared(cat, False), "company", "valuation_type", _configs(False))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import sql_pct_text
 from ..plans.panel import matched, value_change
 from ..registry import register
-from .common import CUR, MEAN, MONEY, NET, RATIO, TAX, UY, UY_PANEL, fact, p, panel
+from .common import CUR, INDEX, MEAN, MONEY, NET, RATIO, TAX, UY, UY_PANEL, fact, p, panel
 
 _KIND = {"market_value": MONEY, "gross_value": MONEY, "acctbal": MONEY, "policy_value": NET,
          "discount_value": NET, "tax_value": TAX, "pct_full": RATIO}
@@ -28,7 +28,7 @@ VALUE_SPECS = [
     ("policy", "policy", "policy_value", p("policy_value"), False),
     ("policy_split", "valuation_type", "policy_value", p("policy_value"), True),
 ]
-_CHANGE_DIGITS = {"value_current": MEAN, "value_prior": MEAN, "abs_change": MEAN, "rel_change": RATIO, "index_change": 6}
+_CHANGE_DIGITS = {"value_current": MEAN, "value_prior": MEAN, "abs_change": MEAN, "rel_change": RATIO, "index_change": INDEX}
 
 
 def value_change_plan(cat):
@@ -104,7 +104,7 @@ SELECT type_label, market_value, {p('market_value')}, n_units,
        {sql_pct_text(f"CASE WHEN market_value != 0 THEN (market_value - {p('market_value')}) / nullif({p('market_value')}, 0) END")} AS change_text,
        CASE {" ".join(f"WHEN type_label = '{v}' THEN {i}" for i, v in enumerate(TYPE_ORDER, start=1))} END AS type_order
 FROM g""", digits={"market_value": MEAN, p("market_value"): MEAN, "abs_change": MEAN, "rel_change": RATIO,
-                   "index_change": 6}, ids=("C3", "C12", "C13", "C14", "H1", "H9"))
+                   "index_change": INDEX}, ids=("C3", "C12", "C13", "C14", "H1", "H9"))
 def q_model_change(cat):
     from ..functions.columns import abs_change, as_index, order_by_map, pct_text, rel_change, relabel
 

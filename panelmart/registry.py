@@ -3,8 +3,10 @@
 Each registered query takes a :class:`Catalog` over the driver's tables and
 returns a DataFrame; ``oracle`` is the equal SQL text over the same tables
 (or ``None`` where SQL cannot express the operator).  ``digits`` names the
-double columns that are rounded with the engine-independent ``fround`` on
-both sides, so the value hash does not depend on summation order.
+double columns that are rounded identically on both sides, so the value hash
+does not depend on summation order: exact decimal sums on a decimal grid
+finer than their decimals (``fround``), computed means and ratios on a binary
+grid (``bround``, no decimal midpoint ties).
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .functions.columns import fround, sql_fround
+from .functions.columns import round_for_compare, sql_round_for_compare
 from .sources.tables import Catalog
 
 
@@ -29,7 +31,8 @@ class Query:
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(catalog_for(spark, sf_dir))
         if self.digits:
-            df = df.select(*[fround(c, self.digits[c]).alias(c) if c in self.digits else c for c in df.columns])
+            df = df.select(*[round_for_compare(c, self.digits[c]).alias(c) if c in self.digits else c
+                             for c in df.columns])
         return df
 
     def oracle(self) -> str | None:
@@ -37,7 +40,7 @@ class Query:
             return None
         if not self.digits:
             return self.sql
-        repl = ", ".join(f"{sql_fround(c, d)} AS {c}" for c, d in self.digits.items())
+        repl = ", ".join(f"{sql_round_for_compare(c, d)} AS {c}" for c, d in self.digits.items())
         return f"SELECT * REPLACE ({repl}) FROM (\n{self.sql}\n) AS q"
 
 
