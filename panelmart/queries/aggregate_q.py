@@ -284,6 +284,38 @@ def q_kpi_summary(cat):
     return cross_scalar(s, overall)
 
 
+@register("kpi_summary_policy", UY_PANEL + f"""
+, m AS (SELECT * FROM panel WHERE _merge = 'both' AND policy_value IS NOT NULL AND {p('policy_value')} IS NOT NULL),
+seg AS (
+  SELECT unit_type, median(policy_value) AS median_policy, median({p('policy_value')}) AS median_policy_prior,
+         median(policy_value / nullif(market_value, 0)) AS median_policy_ratio, count(*) AS n_units
+  FROM m GROUP BY unit_type
+)
+SELECT seg.*,
+       (SELECT median(policy_value) FROM m) AS overall_median_policy,
+       (SELECT (sum(policy_value) - sum({p('policy_value')})) / nullif(sum({p('policy_value')}), 0) FROM m) AS overall_policy_change
+FROM seg""",
+          digits={"median_policy": NET, "median_policy_prior": NET, "median_policy_ratio": RATIO,
+                  "overall_median_policy": NET, "overall_policy_change": RATIO}, ids=("I26", "E17", "D14", "E4"))
+def q_kpi_summary_policy(cat):
+    """I26, policy variant: per-segment medians with the overall KPIs attached (separate frames joined
+    by scalar subqueries, not the reference's segments × drivers product, Q12)."""
+    from ..operators.joins import cross_scalar
+
+    m = matched(panel(cat), pred=F.col("policy_value").isNotNull() & F.col(p("policy_value")).isNotNull())
+    seg = A.aggregate(m, ["unit_type"], [
+        A.median_of("policy_value", "median_policy"), A.median_of(p("policy_value"), "median_policy_prior"),
+        A.ratio("policy_value", "market_value", "median_of_ratios", "median_policy_ratio"),
+        F.count(F.lit(1)).alias("n_units"),
+    ])
+    overall = A.global_summary(m, [
+        A.median_of("policy_value", "overall_median_policy"),
+        ((F.sum("policy_value") - F.sum(p("policy_value"))) / F.nullif(F.sum(p("policy_value")), F.lit(0)))
+        .alias("overall_policy_change"),
+    ])
+    return cross_scalar(seg, overall)
+
+
 # ---------------------------------------------------------------- E19 / I29
 @register("region_detail", UY + f"""
 , summary AS (SELECT company FROM unit_year WHERE year = {CUR} GROUP BY company HAVING count(*) >= 30)
