@@ -20,15 +20,22 @@ _SIZE_CACHE: dict[tuple[int, int], bool] = {}
 
 
 # ---------------------------------------------------------------- broadcast guard
-def fits(df: DataFrame, max_rows: int) -> bool:
+def fits(df: DataFrame, max_rows: int, incremental: bool = False) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check itself is
-    bounded.  Memoised per logical plan.
+    The check never counts more than ``max_rows + 1`` rows.  With
+    ``incremental`` it is a ``take`` of that many one-column rows: Spark scans
+    partitions incrementally (one, then more) and stops once it has enough,
+    so a huge scan answers after a few partitions.  Otherwise it is a
+    ``LIMIT`` count (every partition stops after ``max_rows + 1`` rows), the
+    cheaper form for small or materialised tables.  Memoised per logical plan.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), max_rows, incremental)
     if key not in _SIZE_CACHE:
-        _SIZE_CACHE[key] = df.limit(max_rows + 1).count() <= max_rows
+        if incremental:
+            _SIZE_CACHE[key] = len(df.select(F.lit(1).alias("x")).limit(max_rows + 1).collect()) <= max_rows
+        else:
+            _SIZE_CACHE[key] = df.limit(max_rows + 1).count() <= max_rows
     return _SIZE_CACHE[key]
 
 

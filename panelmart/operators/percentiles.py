@@ -27,8 +27,8 @@ window sees the whole, small, group).  NULL values are ignored, as in SQL.
 
 ``spark.panelmart.percentiles`` selects ``auto`` (default), ``bracketed`` or
 ``builtin`` (``F.percentile``; exact, but per-group memory grows with the
-group).  ``auto`` proves with a bounded LIMIT count that the whole input has
-fewer than ``accuracy`` rows — then no group can exceed that many values and
+group).  ``auto`` proves with a bounded, incremental ``take`` that the whole input
+has fewer than ``accuracy`` rows — then no group can exceed that many values and
 the one-pass builtin is used — and takes the bracketed plan otherwise.
 """
 
@@ -85,7 +85,7 @@ def use_builtin(df: DataFrame, accuracy: int = ACCURACY) -> bool:
         return True
     if m == "bracketed":
         return False
-    return fits(df, accuracy)
+    return fits(df, accuracy, incremental=True)
 
 
 def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
