@@ -190,3 +190,70 @@ def q_usage_by_type(cat):
         F.avg(F.when(F.col("valuation_type") == "Full", F.lit(1.0)).otherwise(F.lit(0.0))).alias("share_full"))
     g = g.withColumn("type_order", order_by_map("unit_type", TYPE_ORDER)).filter(F.col("type_order").isNotNull())
     return g.withColumn("share_text", pct_text("share_full"))
+
+
+# ---------------------------------------------------------------- F1 / F2 / C14 (shares of a total)
+@register("share_of_total", UY + f"""
+, g AS (SELECT region, unit_type, sum(market_value) AS total_value FROM unit_year WHERE year = {CUR} GROUP BY region, unit_type)
+SELECT region, unit_type, total_value,
+       total_value / nullif((SELECT sum(total_value) FROM g), 0) AS share_total,
+       total_value / nullif(sum(total_value) OVER (PARTITION BY region), 0) AS share_region,
+       {sql_pct_text('total_value / nullif(sum(total_value) OVER (PARTITION BY region), 0)')} AS share_region_text
+FROM g""", digits={"total_value": MONEY, "share_total": RATIO, "share_region": RATIO}, ids=("F1", "F2", "C14"))
+def q_share_of_total(cat):
+    from ..functions.columns import pct_text
+    from ..operators.windows import share
+
+    g = fact(cat, [CUR]).groupBy("region", "unit_type").agg(F.sum("market_value").alias("total_value"))
+    out = share(share(g, "total_value", name="share_total"), "total_value", ["region"], name="share_region")
+    return out.withColumn("share_region_text", pct_text("share_region"))
+
+
+# ---------------------------------------------------------------- H7 (source precedence)
+@register("source_precedence", UY_PANEL + f"""
+, cur AS (SELECT valuation_type, year, avg(market_value) AS value, 'current' AS source
+          FROM panel WHERE _merge = 'both' AND valuation_type = {p('valuation_type')} GROUP BY valuation_type, year),
+hist AS (SELECT valuation_type, year, avg(market_value) AS value, 'history' AS source FROM unit_year GROUP BY valuation_type, year)
+SELECT * FROM cur
+UNION ALL
+SELECT * FROM hist h WHERE year < {CUR}
+  AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.valuation_type = h.valuation_type AND c.year = h.year)""",
+          digits={"value": MEAN}, ids=("H7", "H4", "H6"))
+def q_source_precedence(cat):
+    from ..operators.sets import prefer_current
+
+    m = matched(panel(cat), same=[("valuation_type", p("valuation_type"))])
+    cur = m.groupBy("valuation_type", "year").agg(F.avg("market_value").alias("value")).withColumn("source", F.lit("current"))
+    hist = fact(cat).groupBy("valuation_type", "year").agg(F.avg("market_value").alias("value")).withColumn(
+        "source", F.lit("history"))
+    return prefer_current(cur, hist, ["valuation_type", "year"], "year", CUR)
+
+
+# ---------------------------------------------------------------- G5 (long -> wide by type, gap)
+@register("pivot_gap", UY + f"""
+, g AS (SELECT region, year, valuation_type, avg(market_value) AS v FROM unit_year
+        WHERE year IN ({PREV}, {CUR}) GROUP BY region, year, valuation_type)
+SELECT k.region, k.year, b.v AS Basis, f.v AS "Full", b.v - f.v AS gap
+FROM (SELECT DISTINCT region, year FROM g) k
+LEFT JOIN g b ON b.region = k.region AND b.year = k.year AND b.valuation_type = 'Basis'
+LEFT JOIN g f ON f.region = k.region AND f.year = k.year AND f.valuation_type = 'Full'""",
+          digits={"Basis": MEAN, "Full": MEAN, "gap": MEAN}, ids=("G5",))
+def q_pivot_gap(cat):
+    from ..operators.reshape import pivot_gap
+
+    g = fact(cat, [PREV, CUR]).groupBy("region", "year", "valuation_type").agg(F.avg("market_value").alias("v"))
+    return pivot_gap(g, ["region", "year"], "valuation_type", "v", "Basis", "Full")
+
+
+# ---------------------------------------------------------------- E8 / I28 (native grouping sets, share)
+@register("grouping_sets_share", UY + f"""
+SELECT CASE WHEN grouping(region) = 1 THEN 'Total' ELSE region END AS region,
+       CASE WHEN grouping(valuation_type) = 1 THEN 'Total' ELSE valuation_type END AS valuation_type,
+       count(*) FILTER (WHERE own_input = 1) / count(*) AS share_own_input, count(*) AS n
+FROM unit_year WHERE year = {CUR}
+GROUP BY GROUPING SETS ((region, valuation_type), (region), ())""",
+          digits={"share_own_input": RATIO}, ids=("E8", "I28", "E9"))
+def q_grouping_sets_share(cat):
+    return A.grouping_sets(fact(cat, [CUR]), [["region", "valuation_type"], ["region"], []], [
+        (A.count_where(F.col("own_input") == 1) / F.count(F.lit(1))).alias("share_own_input"),
+        F.count(F.lit(1)).alias("n")])

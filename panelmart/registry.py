@@ -40,7 +40,8 @@ class Query:
             return None
         if not self.digits:
             return self.sql
-        repl = ", ".join(f"{sql_round_for_compare(c, d)} AS {c}" for c, d in self.digits.items())
+        quoted = {c: '"' + c + '"' for c in self.digits}   # names such as "Full" are SQL keywords
+        repl = ", ".join(f"{sql_round_for_compare(quoted[c], d)} AS {quoted[c]}" for c, d in self.digits.items())
         return f"SELECT * REPLACE ({repl}) FROM (\n{self.sql}\n) AS q"
 
 
