@@ -136,15 +136,44 @@ class Check:
     error_if: int = 1           # violations >= error_if make an error-severity check FAIL
 
 
-def run_report(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, severity, violations, status (pass / warn / fail)."""
+@dataclass
+class RowCheck:
+    """A row-level check on ``table``: a row violates it when ``violation`` is TRUE (NULL passes)."""
+    name: str
+    table: DataFrame
+    violation: Column
+    severity: str = "error"
+    warn_if: int = 1
+    error_if: int = 1
+
+
+def _status(name: str, severity: str, limit: int, violations: Column) -> list[Column]:
+    bad = "fail" if severity == "error" else "warn"
+    return [F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), violations.alias("violations"),
+            F.when(violations >= F.lit(limit), F.lit(bad)).otherwise(F.lit("pass")).alias("status")]
+
+
+def run_report(checks: Sequence[Check | RowCheck]) -> DataFrame:
+    """One row per check: name, severity, violations, status (pass / warn / fail).
+
+    A :class:`Check` is counted by its own partial aggregate.  All
+    :class:`RowCheck` s on the same table share **one** scan: one aggregate of
+    ``count(CASE WHEN violation …)`` per check, then a generator emits one row
+    per check (so five row rules on the fact read the fact once).
+    """
     parts = []
+    by_table: dict[int, list[RowCheck]] = {}
     for chk in checks:
-        n = chk.rows.agg(F.count(F.lit(1)).alias("violations"))
+        if isinstance(chk, RowCheck):
+            by_table.setdefault(id(chk.table), []).append(chk)
+            continue
         limit = chk.error_if if chk.severity == "error" else chk.warn_if
-        bad_status = "fail" if chk.severity == "error" else "warn"
-        parts.append(n.select(
-            F.lit(chk.name).alias("check_name"), F.lit(chk.severity).alias("severity"), "violations",
-            F.when(F.col("violations") >= F.lit(limit), F.lit(bad_status)).otherwise(F.lit("pass")).alias("status")))
+        n = chk.rows.agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(n.select(*_status(chk.name, chk.severity, limit, F.col("violations"))))
+    for group in by_table.values():
+        counts = group[0].table.agg(*[F.count(F.when(c.violation, F.lit(1))).alias(f"__v{i}") for i, c in enumerate(group)])
+        rows = [F.struct(*_status(c.name, c.severity, c.error_if if c.severity == "error" else c.warn_if,
+                                  F.col(f"__v{i}"))) for i, c in enumerate(group)]
+        parts.append(counts.select(F.inline(F.array(*rows))))
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 

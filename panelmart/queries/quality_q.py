@@ -198,11 +198,34 @@ _REPORT = [("fact_not_null", "dq_not_null", "error", 1), ("lineitem_unique", "dq
            ("yoy_bounds", "dq_yoy_bounds", "warn", 5), ("geo_chain_complete", "dq_chain_complete", "error", 1)]
 
 
+def _row_rules(f):
+    """Row-level rules on the fact (checked in one scan by ``run_report``); each
+    violation predicate is the negation of the rule used by its ``dq_*`` query."""
+    return {
+        "fact_not_null": F.col("unit_id").isNull() | F.col("company").isNull() | F.col("year").isNull()
+        | F.col("region").isNull(),
+        "policy_le_market": ~(F.col("policy_value") <= F.col("market_value") * F.lit(1 + POLICY_TOLERANCE)),
+        "components_sum": F.abs(F.col("policy_value") - (F.coalesce(F.col("gross_value"), F.lit(0.0))
+                                                        - F.coalesce(F.col("discount_value"), F.lit(0.0))))
+        > F.lit(COMPONENT_TOLERANCE),
+        "type_implies_full": ((F.col("valuation_type") == "Full") & ~(F.col("n_full") > 0))
+        | ((F.col("n_full") > 0) & ~(F.col("valuation_type") == "Full")),
+    }
+
+
 def dq_checks(cat):
-    """The suite run by ``dq_report`` (name, violating rows, severity, threshold)."""
+    """The suite run by ``dq_report`` (name, violating rows or a row rule, severity, threshold)."""
     from ..registry import REGISTRY
 
-    return [Q.Check(name, REGISTRY[q].build(cat), sev, warn_if=lim, error_if=lim) for name, q, sev, lim in _REPORT]
+    f = fact(cat)
+    rules = _row_rules(f)
+    out = []
+    for name, q, sev, lim in _REPORT:
+        if name in rules:
+            out.append(Q.RowCheck(name, f, rules[name], sev, warn_if=lim, error_if=lim))
+        else:
+            out.append(Q.Check(name, REGISTRY[q].build(cat), sev, warn_if=lim, error_if=lim))
+    return out
 
 
 def _report_sql() -> str:

@@ -64,3 +64,18 @@ def test_run_report_statuses(spark):
     ])
     got = {r.check_name: (r.violations, r.status) for r in report.collect()}
     assert got == {"names": (1, "fail"), "keys": (1, "pass"), "status": (1, "warn"), "clean": (0, "pass")}
+
+
+def test_row_checks_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _df(spark).write.parquet(path)
+    df = spark.read.parquet(path)
+    report = Q.run_report([
+        Q.RowCheck("rate_range", df, (F.col("rate") < 0) | (F.col("rate") > 1)),
+        Q.RowCheck("policy_rule", df, ~(F.col("policy") <= F.col("market")), "warn"),
+        Q.Check("names", Q.not_null(df, ["name"])),
+    ])
+    got = {r.check_name: (r.violations, r.status) for r in report.collect()}
+    assert got == {"rate_range": (2, "fail"), "policy_rule": (1, "warn"), "names": (1, "fail")}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2   # one scan for both row rules, one for the Check
