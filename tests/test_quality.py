@@ -75,7 +75,7 @@ def test_row_checks_share_one_scan(spark, tmp_path):
         Q.RowCheck("policy_rule", df, ~(F.col("policy") <= F.col("market")), "warn"),
         Q.Check("names", Q.not_null(df, ["name"])),
     ])
+    plan = report._jdf.queryExecution().executedPlan().toString()   # before execution: the initial plan only
+    assert plan.count("FileScan") == 2   # one scan for both row rules, one for the Check
     got = {r.check_name: (r.violations, r.status) for r in report.collect()}
     assert got == {"rate_range": (2, "fail"), "policy_rule": (1, "warn"), "names": (1, "fail")}
-    plan = report._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 2   # one scan for both row rules, one for the Check
