@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bin_between, count_positive, equal_at
 from ..functions.predicates import drop_sentinel, outside, same_flag, scenario_ok, within
-from ..operators.joins import exclude_listed
 from ..operators.reshape import to_long
 
 
@@ -67,17 +66,24 @@ def with_exclusions(df: DataFrame, company: str, exclusions: DataFrame, configs:
                     measure: str = "measure", ex_company: str = "company", year: str = "year", cur_year=None) -> DataFrame:
     """D9 per configuration: add ``__ok_<name>`` = company NOT IN (listed for that measure and year).
 
-    Each configuration's list is applied with the null-aware NOT IN rule of
-    ``exclude_listed``; the flags are computed by joins, so the rows stay on
-    the executors.
+    SQL's null-aware NOT IN: an empty list lets every row pass; a list with a
+    NULL lets none pass; a NULL company passes only an empty list.  The
+    (small) list is left-joined to the rows once per configuration and its
+    emptiness / NULL flags are scalar subqueries, so the rows are read once
+    and stay on the executors.
     """
     out = df
     for cfg in configs:
         filt = F.col(measure) == F.lit(cfg.value)
         if cur_year is not None:
             filt = filt & (F.col(year) == F.lit(cur_year))
-        kept = exclude_listed(df.select(company).distinct(), company, exclusions, ex_company, filt)
-        out = out.join(kept.withColumn(f"__ok_{cfg.name}", F.lit(True)), [company], "left").fillna({f"__ok_{cfg.name}": False})
+        lst = exclusions.filter(filt).select(F.col(ex_company).alias("__nk"))
+        has_rows = lst.agg((F.count(F.lit(1)) > 0).alias("r")).scalar()
+        has_null = lst.agg((F.count(F.lit(1)) > F.count("__nk")).alias("n")).scalar()
+        hits = lst.filter(F.col("__nk").isNotNull()).distinct().withColumn("__hit", F.lit(True))
+        out = out.join(hits, F.col(company) == F.col("__nk"), "left")
+        ok = (~has_rows) | (~has_null & F.col(company).isNotNull() & F.col("__hit").isNull())
+        out = out.withColumn(f"__ok_{cfg.name}", F.coalesce(ok, F.lit(False))).drop("__nk", "__hit")
     return out
 
 

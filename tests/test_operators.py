@@ -261,3 +261,22 @@ def test_driver_bridge_ranks_unions_orders_and_remainder(spark):
     assert out[("B", "s2")].effect == 0.0                       # zeroed after ordering
     assert out[("A", "Other changes")].step_order == 3
     assert round(out[("A", "Other changes")].effect, 9) == round(-0.10 - (0.10 - 0.30), 9)
+
+
+@pytest.mark.parametrize("listed", [[("m", "x")], [("m", "x"), ("m", None)], [], [("other", "x")]])
+def test_with_exclusions_not_in_semantics(spark, listed):
+    from panelmart.plans.overrides import OverrideConfig, with_exclusions
+
+    df = spark.createDataFrame([("x",), ("y",), (None,)], "company string")
+    ex = spark.createDataFrame(listed, "measure string, company string")
+    out = with_exclusions(df, "company", ex, [OverrideConfig("c", "m", "m_prev")])
+    got = sorted(((r["company"], r["__ok_c"]) for r in out.collect()), key=lambda t: (t[0] is None, t[0] or ""))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d(company VARCHAR)")
+    con.execute("INSERT INTO d VALUES ('x'), ('y'), (NULL)")
+    con.execute("CREATE TABLE l(measure VARCHAR, company VARCHAR)")
+    for m, c in listed:
+        con.execute("INSERT INTO l VALUES (?, ?)", [m, c])
+    want = con.execute("SELECT company, coalesce(company NOT IN (SELECT company FROM l WHERE measure = 'm'), false) "
+                       "FROM d").fetchall()
+    assert got == sorted(want, key=lambda t: (t[0] is None, t[0] or ""))
