@@ -280,3 +280,18 @@ def test_with_exclusions_not_in_semantics(spark, listed):
     want = con.execute("SELECT company, coalesce(company NOT IN (SELECT company FROM l WHERE measure = 'm'), false) "
                        "FROM d").fetchall()
     assert got == sorted(want, key=lambda t: (t[0] is None, t[0] or ""))
+
+
+def test_small_dim_broadcasts_only_behind_the_row_bound(spark):
+    big = spark.range(5000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert J.fits(small, 10) and not J.fits(big, 100)
+    assert J.fits(small, 10, incremental=True) and not J.fits(big, 100, incremental=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(J.small_dim(small, 100), ["k"])
+        plain = big.join(J.small_dim(big.select("k"), 100), ["k"])
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
