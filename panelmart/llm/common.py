@@ -17,13 +17,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the shared folder (``spark.checkpoint.dir``)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared folder (``spark.checkpoint.dir``) and reread it.
+    """Write ``df`` below the shared folder and reread it.
 
     Cuts the lineage: a lost executor costs a re-read of the files, never a
     recomputation of the plan above them.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Memo:
+    """Values of frequent keys in two generations of at most ``size`` entries each.
+
+    A full generation becomes the old one; what is still asked for moves over, the
+    rest is forgotten, so memory stays bounded for any vocabulary.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.now, self.old = size, {}, {}
+
+    def missing(self, keys: list) -> list:
+        """Keys (once each) without a value; afterwards all others are in ``now``."""
+        absent = set(keys).difference(self.now)
+        if absent and len(self.now) + len(absent) > self.size:
+            self.old, self.now, absent = self.now, {}, set(keys)
+        out = []
+        for key in absent:
+            value = self.old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.now[key] = value
+        return out

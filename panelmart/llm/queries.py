@@ -6,7 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelmart.llm.common import table
+from panelmart.llm.common import scratch_path, table
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of every document."""
+    from panelmart.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, written and read back."""
+    from panelmart.llm.tokenbin import TOKENIZER, read_digests, write_tokens
+
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file(TOKENIZER))
+    return read_digests(spark, path)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +55,19 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document and the text they decode to."""
+    from panelmart.llm.spm import MODEL, encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op4_token_ids": op4_token_ids,
     "op6_quality": op6_quality,
     "op8_url_filters": op8_url_filters,
     "op9_licenses": op9_licenses,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLES: dict[str, str] = {}
