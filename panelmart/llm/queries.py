@@ -32,6 +32,13 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    from panelmart.llm.decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over every document."""
     from panelmart.llm.quality import judge
@@ -65,6 +72,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_token_ids": op4_token_ids,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op8_url_filters": op8_url_filters,
     "op9_licenses": op9_licenses,
