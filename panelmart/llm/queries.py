@@ -23,6 +23,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from panelmart.llm.html import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, written and read back."""
     from panelmart.llm.tokenbin import TOKENIZER, read_digests, write_tokens
@@ -71,6 +78,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_html_text": op3_html_text,
     "op4_token_ids": op4_token_ids,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
