@@ -55,6 +55,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "char_distance", "word_distance")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its PII replaced by surrogates."""
+    from panelmart.llm.pii import replace_pii
+
+    return replace_pii(table(spark, sf_dir, "documents"), count_col="n_entities").select("doc_id", "text", "n_entities")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL rules and boosted trees over every page."""
     from panelmart.llm.urls import filter_urls
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_ids": op4_token_ids,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
+    "op7_pii": op7_pii,
     "op8_url_filters": op8_url_filters,
     "op9_licenses": op9_licenses,
     "op10_sentencepiece": op10_sentencepiece,
