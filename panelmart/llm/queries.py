@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelmart.llm.common import scratch_path, table
 
@@ -23,6 +24,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-word passages removed from every document."""
+    from panelmart.llm.substring import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     from panelmart.llm.html import extract_text
@@ -85,6 +94,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substring": op2_substring,
     "op3_html_text": op3_html_text,
     "op4_token_ids": op4_token_ids,
     "op5_decontamination": op5_decontamination,
