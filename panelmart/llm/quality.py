@@ -85,6 +85,11 @@ def _forms(words: list[str]) -> list[tuple[bytes, int]]:
             for w in dict.fromkeys((word, word.capitalize())) for end in ("", ".", ",", ";", ":", "!", "?")]
 
 
+def _pooled(common_words: dict[str, list[str]]) -> list[str]:
+    """Bins of the languages without a list of their own: the most common words of all."""
+    return list(dict.fromkeys(w for i in range(N_COMMON) for ws in common_words.values() for w in ws[i:i + 1]))[:N_COMMON]
+
+
 def count_text(text: str | None, forms: list[tuple[bytes, int]]) -> list:
     """Base counts, then the character-class and common-word histograms."""
     data = (text or "").encode()
@@ -111,16 +116,39 @@ def count_text(text: str | None, forms: list[tuple[bytes, int]]) -> list:
             hist.tolist(), common.tolist()]
 
 
+def js_distance(counts: list, shares: np.ndarray) -> float:
+    """Jensen-Shannon distance (base 2) between a count histogram and reference shares."""
+    p = np.asarray(counts, dtype=float)
+    if not p.sum():
+        return 0.0
+    p = p / p.sum()
+    middle = (p + shares) / 2
+    terms = [x[x > 0] * np.log2(x[x > 0] / middle[x > 0]) for x in (p, shares)]
+    return float(np.sqrt(max(0.0, (terms[0].sum() + terms[1].sum()) / 2)))
+
+
+def verdict(counted: list, reference: tuple[np.ndarray, np.ndarray] | None,
+            char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT) -> bool:
+    """Whether a counted text stays, by the base rules and the distances."""
+    n, repeated, chars, common = counted[0], counted[4], counted[5], counted[6]
+    if n < 10 or 100 * repeated > 20 * n:
+        return False
+    if reference is None:
+        return True
+    slack = 1 / np.sqrt(n)
+    if sum(chars) >= MIN_CHARS and js_distance(chars, reference[0]) > char_limit + CHAR_SLACK * slack:
+        return False
+    return n < MIN_WORDS or js_distance(common, reference[1]) <= word_limit + WORD_SLACK * slack
+
+
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
             common_words: dict[str, list[str]] = COMMON_WORDS) -> DataFrame:
     """``id_col``, text key, language, base counts and both histograms of every row."""
     schema = (f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, text_key long, language string, "
               + ", ".join(f"{c} long" for c in BASE) + ", chars array<long>, common array<long>")
-    pooled = list(dict.fromkeys(w for i in range(N_COMMON) for ws in common_words.values() for w in ws[i:i + 1]))[:N_COMMON]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = {lang: _forms(ws) for lang, ws in common_words.items()}
-        rest = _forms(pooled)
+        rest = _forms(_pooled(common_words))
         kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
         for batch in batches:
             langs = [x if x in forms else "" for x in batch.column(3).to_pylist()]
@@ -195,3 +223,26 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     odd_words = (n >= MIN_WORDS) & (F.col("word_distance") > word_limit + WORD_SLACK / F.sqrt(F.greatest(n, F.lit(1)).cast("double")))
     return measured.select(id_col, "text_key", *BASE, "char_distance", "word_distance",
                            base_failed.alias("base_failed"), (~base_failed & ~odd_chars & ~odd_words).alias("kept"))
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+              common_words: dict[str, list[str]] = COMMON_WORDS) -> DataFrame:
+    """The rows of ``docs`` (all columns) that ``judge`` keeps; same rules.
+
+    The verdict is recomputed beside the text once the references are known (a
+    second pass over the text), so no row is shuffled or joined.
+    """
+    at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
+    id_free = docs.select(F.lit(0).alias("__row"), F.col(text_col), F.col(lang_col))
+    refs = {lang: tuple(np.array(h, dtype=float) / (sum(h) or 1) for h in pair)
+            for lang, pair in references(measure(id_free, "__row", text_col, lang_col, common_words), common_words).items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms = {lang: _forms(ws) for lang, ws in common_words.items()}
+        rest = _forms(_pooled(common_words))
+        for batch in batches:
+            langs = [x if x in forms else "" for x in batch.column(lang_at).to_pylist()]
+            keep = [verdict(count_text(t.as_py(), forms.get(g, rest)), refs.get(g)) for t, g in zip(batch.column(at), langs)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
