@@ -26,6 +26,22 @@ def lit_or_col(v) -> Column:
 
 
 # ---------------------------------------------------------------- rounding
+# From 2^52 on a double has no fraction left, so there is nothing to round; it is
+# also far below 2^63, where Spark's floor (a 64-bit integer) would saturate.
+_WHOLE = float(2**52)
+
+
+def _on_grid(c: ColumnOrName, scale: float) -> Column:
+    x = col(c).cast("double")
+    scaled = x * F.lit(scale)
+    return F.when(F.abs(scaled) < F.lit(_WHOLE), F.floor(scaled + F.lit(0.5)) / F.lit(scale)).otherwise(x).cast("double")
+
+
+def _sql_on_grid(expr: str, scale: float) -> str:
+    x = f"CAST(({expr}) AS DOUBLE)"
+    return f"CASE WHEN abs({x} * {scale!r}) < {_WHOLE!r} THEN floor({x} * {scale!r} + 0.5) / {scale!r} ELSE {x} END"
+
+
 def fround(c: ColumnOrName, digits: int) -> Column:
     """Round half up as ``floor(x * 10^d + 0.5) / 10^d``.
 
@@ -33,13 +49,12 @@ def fround(c: ColumnOrName, digits: int) -> Column:
     oracle (both do the same IEEE multiply, add and floor), while ``round`` on
     doubles differs between engines at decimal ties (SURVEY §7.3 S5).
     """
-    scale = float(10**digits)
-    return (F.floor(col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    return _on_grid(c, float(10**digits))
 
 
 def sql_fround(expr: str, digits: int) -> str:
     """SQL text of :func:`fround` for the oracle side."""
-    return f"CAST(floor(({expr}) * {float(10**digits)!r} + 0.5) / {float(10**digits)!r} AS DOUBLE)"
+    return _sql_on_grid(expr, float(10**digits))
 
 
 class Bits(int):
@@ -55,13 +70,11 @@ def bround(c: ColumnOrName, bits: int) -> Column:
     as x.xxxxx5 is never a tie, so two engines whose sums differ only in the
     last bit do not round a mean of many prices to different decimals.
     """
-    scale = float(2**bits)
-    return (F.floor(col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    return _on_grid(c, float(2**bits))
 
 
 def sql_bround(expr: str, bits: int) -> str:
-    scale = float(2**bits)
-    return f"CAST(floor(({expr}) * {scale!r} + 0.5) / {scale!r} AS DOUBLE)"
+    return _sql_on_grid(expr, float(2**bits))
 
 
 def round_for_compare(c: ColumnOrName, digits: int) -> Column:

@@ -16,32 +16,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MERGE_COL = "_merge"
-_SIZE_CACHE: dict[tuple[int, int], bool] = {}
+MAX_BROADCAST_BYTES = 64 << 20   # widest table (rows x estimated row size) that gets a broadcast hint
 
 
 # ---------------------------------------------------------------- broadcast guard
 def fits(df: DataFrame, max_rows: int, incremental: bool = False) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    The check never counts more than ``max_rows + 1`` rows.  With
-    ``incremental`` it is a ``take`` of that many one-column rows: Spark scans
-    partitions incrementally (one, then more) and stops once it has enough,
-    so a huge scan answers after a few partitions.  Otherwise it is a
-    ``LIMIT`` count (every partition stops after ``max_rows + 1`` rows), the
-    cheaper form for small or materialised tables.  Memoised per logical plan.
+    With ``incremental`` the check is a ``take`` of ``max_rows + 1`` one-column
+    rows: Spark scans partitions incrementally (one, then more) and stops once it
+    has enough, so a huge scan answers after a few partitions.  Otherwise it is a
+    count: every partition counts its own rows and one number per partition meets
+    in the last task.  Nothing is remembered: the data may change between calls.
     """
-    key = (df.semanticHash(), max_rows, incremental)
-    if key not in _SIZE_CACHE:
-        if incremental:
-            _SIZE_CACHE[key] = len(df.select(F.lit(1).alias("x")).limit(max_rows + 1).collect()) <= max_rows
-        else:
-            _SIZE_CACHE[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _SIZE_CACHE[key]
+    if incremental:
+        return len(df.select(F.lit(1).alias("x")).limit(max_rows + 1).collect()) <= max_rows
+    return df.agg(F.count(F.lit(1)).alias("n")).first().n <= max_rows
 
 
 def small_dim(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast-hint a dimension only after proving its row count is bounded."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    """Broadcast-hint a dimension only after proving its rows and bytes are bounded.
+
+    Bytes: the measured row count times the row size of the schema (strings at 64
+    bytes), a bound that does not depend on how well the files are compressed.
+    """
+    width = sum(_WIDTHS.get(f.dataType.typeName(), 64) for f in df.schema.fields) or 1
+    return F.broadcast(df) if fits(df, min(max_rows, MAX_BROADCAST_BYTES // width)) else df
+
+
+_WIDTHS = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8, "date": 4, "timestamp": 8}
 
 
 # ---------------------------------------------------------------- C1 / C2
@@ -72,11 +75,14 @@ def indicator_merge(left: DataFrame, right: DataFrame, on: Sequence[str], drop_r
     ``keys='coalesce'`` returns one unified key column per key (C2);
     ``keys='left'`` keeps the left side's keys only (NULL on right-only rows,
     as the reference's ``l.*`` does, Q3/Q4).  Columns named in ``drop_right``
-    are removed from the right side first (C1), as are right columns that
-    clash with left non-key columns (SURVEY S7: one column, no ``_1`` twin).
+    are removed from the right side first (C1); any other right column that
+    clashes with a left one raises (nothing is dropped that was not named).
     """
     on = list(on)
-    rcols = [c for c in right.columns if c not in on and c not in drop_right and c not in left.columns]
+    rcols = [c for c in right.columns if c not in on and c not in drop_right]
+    clash = sorted(set(rcols) & set(left.columns))
+    if clash:
+        raise ValueError(f"columns on both sides: {clash}; rename them or name them in drop_right")
     l = _prefixed(left, on, "__l_").withColumn("__lhit", F.lit(True))
     r = _prefixed(right.select(*on, *rcols), on, "__r_").withColumn("__rhit", F.lit(True))
     j = l.join(r, _key_cond(on, "__l_", "__r_"), "full_outer")

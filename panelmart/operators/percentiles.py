@@ -11,9 +11,10 @@ would need tens of GB in one task.  This module computes the *same exact*
    size depends on ``accuracy`` only;
 2. per group: the number of values strictly below and inside the bracket
    (counts);
-3. the values *inside* the bracket (about ``(2δ + 2/accuracy)·n`` rows per
-   group) are ranked with a window; the rows with the two target ranks
-   ``floor(p·(n−1))`` and ``ceil(p·(n−1))`` give the exact interpolated value.
+3. the distinct values *inside* the bracket (at most about
+   ``(2δ + 2/accuracy)·n`` per group) are counted and ranked with a window; the
+   values at the two target ranks ``floor(p·(n−1))`` and ``ceil(p·(n−1))`` give
+   the exact interpolated value.
 
 If a bracket still holds more than ``MAX_WINDOW`` values (groups beyond about
 a billion rows), refinement rounds narrow it with an equal-width histogram
@@ -150,23 +151,29 @@ def percentile_table(df: DataFrame, keys: Sequence[str], pcts: Sequence[Pct],
     # aggregate of at most ``bins`` rows per group) to the one or two bins
     # holding the target ranks; so the final window never sees more than
     # ``max_window`` values of one group, whatever the group's size.
+    before = None
     for _ in range(max_rounds):
-        worst = state.agg(F.max(F.when(F.col("__lo") < F.col("__hi"), F.col("__nin")))).first()[0]
-        if worst is None or worst <= max_window:
-            break
+        row = state.agg(F.max(F.when(F.col("__lo") < F.col("__hi"), F.col("__nin"))).alias("worst"),
+                        F.sum(F.when(F.col("__lo") < F.col("__hi"), F.col("__nin"))).alias("total")).first()
+        if row.worst is None or row.worst <= max_window or row.total == before:
+            break  # a round that narrows nothing: few distinct values, which pass 3 counts
+        before = row.total
         state = _refine(long, state, gk, keys_p, bins, max_window, max_groups)
 
-    # pass 3: rank the values inside the (small) brackets
+    # pass 3: rank the values inside the (small) brackets.  Equal values are counted
+    # first (a partial aggregate), so the window sees each distinct value once.
     # (a bracket whose bounds are equal already is the answer: no ranking needed)
     j = _null_safe_join(long, state.filter(F.col("__lo") < F.col("__hi")), gk)
     cand = j.filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
     w = Window.partitionBy(*keys_p).orderBy(F.col("__v").asc())
-    cand = cand.select(*keys_p, "__v", "__pos", "__below", F.row_number().over(w).alias("__rn"))
-    rank = F.col("__below") + F.col("__rn") - F.lit(1)
+    cand = cand.groupBy(*keys_p, "__v", "__pos", "__below").agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cand = cand.select(*keys_p, "__v", "__pos", (F.col("__below") + upto).alias("__next"), "__c")
     r0, r1 = F.floor(F.col("__pos")), F.ceil(F.col("__pos"))
-    picked = cand.filter((rank == r0) | (rank == r1)).groupBy(*keys_p).agg(
-        F.max(F.when(rank == r0, F.col("__v"))).alias("__v0"),
-        F.max(F.when(rank == r1, F.col("__v"))).alias("__v1"),
+    holds = lambda r: (r < F.col("__next")) & (r >= F.col("__next") - F.col("__c"))
+    picked = cand.filter(holds(r0) | holds(r1)).groupBy(*keys_p).agg(
+        F.max(F.when(holds(r0), F.col("__v"))).alias("__v0"),
+        F.max(F.when(holds(r1), F.col("__v"))).alias("__v1"),
         F.first("__pos").alias("__pos"),
     )
     lo_r, hi_r = F.floor(F.col("__pos")), F.ceil(F.col("__pos"))

@@ -54,7 +54,7 @@ def with_history(cur: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def prefer_current(cur: DataFrame, history: DataFrame, keys: Sequence[str], time: str, cur_time) -> DataFrame:
-    """H7: history before the current year, only for keys absent from the current source."""
-    hist = history.filter(F.col(time) < F.lit(cur_time))
+    """H7: history up to and with the current year, only for keys absent from the current source."""
+    hist = history.filter(F.col(time) <= F.lit(cur_time))
     hist = hist.join(cur.select(*keys).distinct(), list(keys), "left_anti")
     return cur.unionByName(hist, allowMissingColumns=True)

@@ -74,12 +74,14 @@ def running_sum(x: ColumnOrName, by: Sequence[str], order: ColumnOrName) -> Colu
 def cum_product(rate: ColumnOrName, by: Sequence[str], order: ColumnOrName) -> Column:
     """``exp(sum(ln(1 + r)))`` over ROWS UNBOUNDED PRECEDING; NULL rate counts as 0.
 
-    ``ln`` of a non-positive factor (rate <= -1) is NULL in Spark; the sum
-    skips NULLs, so such a year contributes factor 1 (SURVEY S6: documented).
+    A rate of -1 makes the product 0 from there on; below -1 there is no index
+    (a negative value level has no meaning), so it is NULL from there on.
     """
     w = _w(by).orderBy(col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     factor = F.when(col(rate).isNull(), F.lit(1.0)).otherwise(col(rate) + F.lit(1.0))
-    return F.exp(F.sum(F.ln(factor)).over(w))
+    product = F.exp(F.sum(F.when(factor > 0, F.ln(factor))).over(w))
+    least = F.min(factor).over(w)
+    return F.when(least > 0, product).when(least == 0, F.lit(0.0))
 
 
 def rebase_first(x: ColumnOrName, by: Sequence[str], order: ColumnOrName) -> Column:

@@ -9,3 +9,4 @@ from . import quality_q  # noqa: F401
 from . import ingest_q  # noqa: F401
 from . import harness_q  # noqa: F401
 from . import charts_q  # noqa: F401
+from . import sources_q  # noqa: F401

@@ -229,10 +229,9 @@ hist AS (
 )
 SELECT * FROM cur
 UNION ALL
-SELECT * FROM hist WHERE year < {CUR} AND year NOT IN (SELECT year FROM cur)""",
-          digits={"growth_basis": RATIO, "growth_full": RATIO, "growth_gap": RATIO}, ids=("I25", "H6", "H7", "D12"))
+SELECT * FROM hist WHERE year <= {CUR} AND year NOT IN (SELECT year FROM cur)""",
+          digits={"growth_basis": RATIO, "growth_full": RATIO, "growth_gap": RATIO}, ids=("I25", "H6", "H7"))
 def q_growth_gap_history(cat):
-    from ..operators.joins import compare_years
     from ..operators.sets import prefer_current
 
     f = fact(cat)
@@ -248,7 +247,6 @@ def q_growth_gap_history(cat):
     # The current row has the E16 definition; it is taken from the same yearly
     # aggregate (year from the data, so the precedence join keeps a real key).
     cur = history.filter(F.col("year") == CUR)
-    del compare_years
     return prefer_current(cur, history, ["year"], "year", CUR)
 
 

@@ -153,7 +153,7 @@ INDEX_BASES = (1997, 1999)
 ), allr AS (
   SELECT * FROM cur
   UNION ALL
-  SELECT * FROM hist h WHERE year < {CUR}
+  SELECT * FROM hist h WHERE year <= {CUR}
     AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.valuation_type = h.valuation_type AND c.year = h.year)
 ), idx AS (
   SELECT valuation_type, year, rate, rate + 1 AS index_change,

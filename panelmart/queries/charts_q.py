@@ -216,7 +216,7 @@ def q_share_of_total(cat):
 hist AS (SELECT valuation_type, year, avg(market_value) AS value, 'history' AS source FROM unit_year GROUP BY valuation_type, year)
 SELECT * FROM cur
 UNION ALL
-SELECT * FROM hist h WHERE year < {CUR}
+SELECT * FROM hist h WHERE year <= {CUR}
   AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.valuation_type = h.valuation_type AND c.year = h.year)""",
           digits={"value": MEAN}, ids=("H7", "H4", "H6"))
 def q_source_precedence(cat):

@@ -93,8 +93,9 @@ j AS (SELECT coalesce(e.company, f.company, a.company) AS company,
       FULL OUTER JOIN a ON coalesce(e.company, f.company) = a.company)
 SELECT *, CASE WHEN expected AND found AND active THEN 'ok'
                WHEN expected AND NOT found THEN 'missing'
-               WHEN NOT expected AND found THEN 'unexpected'
-               WHEN found AND NOT active THEN 'inactive' ELSE 'other' END AS category
+               WHEN expected THEN 'inactive'
+               WHEN found AND active THEN 'unexpected'
+               WHEN found THEN 'ignored' ELSE 'other' END AS category
 FROM j""", ids=("B10",))
 def q_entity_coverage(cat):
     f = fact(cat, [CUR, PREV])

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.columns import round_for_compare, sql_round_for_compare
-from .sources.tables import Catalog
+from .sources.tables import MATERIALIZE_CONF, Catalog
 
 
 @dataclass
@@ -46,11 +46,18 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-_CATALOGS: dict[tuple[int, str], Catalog] = {}
+_CATALOGS: dict[tuple[str, str], Catalog] = {}
 
 
 def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
-    key = (id(spark), sf_dir)
+    """A fresh catalog per query; with materialised marts one per application and folder.
+
+    Lazy models are cheap to declare and must see the data as it is now; marts are
+    written once on purpose (``spark.panelmart.materialize``).
+    """
+    if spark.conf.get(MATERIALIZE_CONF, "false").lower() != "true":
+        return Catalog(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CATALOGS:
         _CATALOGS[key] = Catalog(spark, sf_dir)
     return _CATALOGS[key]

@@ -11,6 +11,7 @@ do we pick a scratch folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,7 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    # Unset: this is a local test session, so a scratch folder is acceptable.
+    master = spark.conf.get("spark.master", "") or ""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share (master {master!r})")
+    # Unset in a local test session: a scratch folder is acceptable.
     path = tempfile.mkdtemp(prefix="panelmart-ckpt-", dir=os.environ.get("PANELMART_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path

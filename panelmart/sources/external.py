@@ -46,45 +46,47 @@ def stack_sheets(frames: Mapping[str, DataFrame], label: str = "_sheet") -> Data
     return out
 
 
-def read_sections(spark: SparkSession, path: str, section: str, fields6: Sequence[str], fields7: Sequence[str],
-                  comment: str = ";", checksum_prefix: str = "checksum") -> DataFrame:
+def read_sections(spark: SparkSession, path: str, section: str, layouts: Sequence[tuple[int, Mapping[str, int]]],
+                  header_prefix: str, comment: str = "#", checksum_prefix: str = "Checksum") -> DataFrame:
     """One ``[section]`` of INI-style text files → a table.
 
-    Each file is one row (``wholetext``); the section body is cut out with a
-    regex, split into lines and exploded; comment, header and checksum lines
-    are dropped; a line splits on whitespace into a 6- or a 7-field layout.
-    Output: the 7-field names (6-field lines leave the last one NULL) plus
-    the source file.
+    Blank, comment, header (``header_prefix``) and checksum lines are dropped.  A line
+    splits on white space; the first layout ``(n, {column: position})`` whose ``n`` it
+    reaches gives its columns (longer lines are no error), lines too short for any
+    layout are dropped.  Lines are read one by one: a line belongs to the section if
+    the last ``[...]`` line before it in its file names it.
     """
     raw = spark.read.text(path, wholetext=True).select(F.col("value"), F.input_file_name().alias("source_file"))
-    pat = r"(?s)\[" + section + r"\]\s*\n(.*?)(?:\n\s*\[|$)"
-    body = raw.select("source_file", F.regexp_extract("value", pat, 1).alias("body"))
-    lines = body.select("source_file", F.explode(F.split("body", r"\r?\n")).alias("line"))
-    lines = lines.select("source_file", F.trim("line").alias("line")).filter(
-        (F.col("line") != "") & ~F.col("line").startswith(comment) & ~F.col("line").startswith("#")
-        & ~F.lower(F.col("line")).startswith(checksum_prefix) & ~F.col("line").startswith("[")
-    )
-    parts = lines.select("source_file", F.split("line", r"\s+").alias("p"))
-    n = F.size("p")
-    parts = parts.filter(n.isin(len(fields6), len(fields7)))
+    body = F.regexp_extract("value", rf"(?s)(?:^|\n)[ \t]*\[{section}\][ \t]*\r?\n(.*?)(?:\n[ \t]*\[|\z)", 1)
+    lines = raw.select("source_file", F.explode(F.split(body, r"\r?\n")).alias("line"))
+    line = F.col("line")
+    lines = lines.select("source_file", F.trim(F.regexp_replace(line, r"\s+", " ")).alias("line")).filter(
+        (line != "") & ~line.startswith(comment) & ~line.startswith(header_prefix) & ~line.startswith(checksum_prefix))
+    parts = lines.select("source_file", F.split("line", " ").alias("p"))
+    fits = [(F.size("p") >= n, fields) for n, fields in layouts]
+    names = list(dict.fromkeys(name for _, fields in layouts for name in fields))
     cols = []
-    for i, name in enumerate(fields7):
-        if i < len(fields6) - 1:
-            cols.append(F.col("p")[i].alias(name))
-        else:
-            # 6-field lines have one field fewer at the end of the layout.
-            cols.append(F.when(n == len(fields7), F.col("p")[i]).otherwise(
-                F.col("p")[i] if i == len(fields6) - 1 else F.lit(None)).alias(name))
-    return parts.select(*cols, "source_file")
+    for name in names:
+        value = F.lit(None).cast("string")
+        for cond, fields in reversed(fits):
+            value = F.when(cond, F.get("p", F.lit(fields[name])) if name in fields else F.lit(None)).otherwise(value)
+        cols.append(value.alias(name))
+    return parts.filter(F.size("p") >= min(n for n, _ in layouts)).select(*cols, "source_file")
 
 
 def read_geojson(spark: SparkSession, path: str, props: Sequence[str]) -> DataFrame:
-    """FeatureCollection files → one row per feature, geometry kept as JSON text."""
-    raw = spark.read.option("multiLine", True).json(path).select(
+    """FeatureCollection files → one row per feature, geometry kept as JSON text.
+
+    A property that no feature has, or that this one lacks, is NULL.
+    """
+    schema = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
+    raw = spark.read.schema(schema).option("multiLine", True).json(path).select(
         F.explode("features").alias("f"), F.input_file_name().alias("source_file"))
+    geometry = F.concat(F.lit('{"type":'), F.to_json(F.array("f.geometry.type")).substr(F.lit(2), F.length(F.to_json(F.array("f.geometry.type"))) - 2),
+                        F.lit(',"coordinates":'), F.coalesce("f.geometry.coordinates", F.lit("null")), F.lit("}"))
     return raw.select(
         "source_file",
-        *[F.col(f"f.properties.{p}").cast("string").alias(p) for p in props],
+        *[F.try_element_at("f.properties", F.lit(p)).alias(p) for p in props],
         F.col("f.geometry.type").alias("geometry_type"),
-        F.to_json(F.col("f.geometry")).alias("geometry_json"),
+        F.when(F.col("f.geometry").isNotNull(), geometry).alias("geometry_json"),
     )

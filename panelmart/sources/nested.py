@@ -8,7 +8,7 @@ each record is expanded inside its own task.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,50 +28,57 @@ def _opt(df: DataFrame, path: str) -> Column:
     return F.col(path)
 
 
+# The payload's fields, our column names, their types.
+ROUND_FIELDS = [("id", "valuation_round_id", "long"), ("dataSetId", "round_data_set_id", "long"),
+                ("issueDate.year", "issue_year", "long"), ("issueDate.quarter", "issue_quarter", "string"),
+                ("status", "round_status", "string"), ("isFree", "round_is_free", "boolean")]
+VALUATION_FIELDS = [("valuationId", "valuation_id", "long"), ("dataSetId", "valuation_data_set_id", "long"),
+                    ("name", "valuation_name", "string"), ("modelYear", "model_year", "long"), ("archived", "archived", "boolean"),
+                    ("archivedDateTime", "archived_date_time", "string"), ("creationDateTime", "creation_date_time", "string"),
+                    ("dataSetUpdateDateTime", "data_set_update_date_time", "string"), ("avmIssueDate", "avm_issue_date", "string"),
+                    ("isOldDataSet", "is_old_data_set", "boolean"), ("hasChangedParameters", "has_changed_parameters", "boolean"),
+                    ("isNewCalculationRules", "is_new_calculation_rules", "boolean"), ("mainValuation", "main_valuation", "boolean"),
+                    ("subPortfolio.name", "sub_portfolio_name", "string"),
+                    ("subPortfolio.valuationLevel", "sub_portfolio_valuation_level", "string")]
+
+
+def _round_columns(df: DataFrame, prefix: str = "") -> list[Column]:
+    o = functools.partial(_opt, df)
+    cols = [o(prefix + path).cast(kind).alias(name) for path, name, kind in ROUND_FIELDS]
+    year = o(prefix + "issueDate.year").cast("long").cast("string")
+    iso = F.when(o(prefix + "issueDate.quarter") == "Q4", F.concat(year, F.lit("-12-31"))).alias("issue_date")
+    return [*cols[:4], iso, *cols[4:]]
+
+
+def _valuation_columns(df: DataFrame, prefix: str = "") -> list[Column]:
+    o = functools.partial(_opt, df)
+    sub = F.coalesce(o(prefix + "subPortfolio.id").cast("long"), o(prefix + "subPortfolio.subPortfolioId").cast("long"))
+    return [*[o(prefix + path).cast(kind).alias(name) for path, name, kind in VALUATION_FIELDS], sub.alias("sub_portfolio_id")]
+
+
 def flatten_rounds(rounds: DataFrame, valuations: DataFrame, company: str = "company_id") -> DataFrame:
-    """A4: rounds × valuations → flat rows; a round without valuations still gives one row.
+    """A4 from two tables: rounds × their valuations → flat rows; a round without valuations still gives one row.
 
-    ``rounds`` has (company, round struct fields: id, dataSetId, issueDate
-    {year, quarter}, status, isFree); ``valuations`` has (round_id, valuation
-    struct fields).  A Q4 issue date becomes ISO ``YYYY-12-31``, others NULL.
+    ``rounds`` has the company and the round's fields; ``valuations`` has the company,
+    ``round_id`` and the valuation's fields.  Round ids are only unique within a
+    company, so both are join keys.  A Q4 issue date becomes ISO ``YYYY-12-31``.
     """
-    r = rounds.select(
-        F.col(company).alias("company_id"),
-        F.col("id").cast("long").alias("valuation_round_id"),
-        F.col("dataSetId").cast("long").alias("round_data_set_id"),
-        F.col("issueDate.year").cast("long").alias("issue_year"),
-        F.col("issueDate.quarter").alias("issue_quarter"),
-        F.when(F.col("issueDate.quarter") == "Q4",
-               F.concat(F.col("issueDate.year").cast("long").cast("string"), F.lit("-12-31"))).alias("issue_date"),
-        F.col("status").alias("round_status"),
-        F.col("isFree").alias("round_is_free"),
-    )
-    o = functools.partial(_opt, valuations)
-    v = valuations.select(
-        F.col("round_id").cast("long").alias("valuation_round_id"),
-        o("valuationId").cast("long").alias("valuation_id"),
-        o("dataSetId").cast("long").alias("valuation_data_set_id"),
-        o("name").cast("string").alias("valuation_name"),
-        o("modelYear").cast("long").alias("model_year"),
-        o("archived").cast("boolean").alias("archived"),
-        o("mainValuation").cast("boolean").alias("main_valuation"),
-        F.coalesce(o("subPortfolio.id"), o("subPortfolio.subPortfolioId")).cast("long").alias("sub_portfolio_id"),
-        o("subPortfolio.name").cast("string").alias("sub_portfolio_name"),
-        o("subPortfolio.valuationLevel").cast("string").alias("sub_portfolio_valuation_level"),
-    )
-    return r.join(v, ["valuation_round_id"], "left")
+    r = rounds.select(F.col(company).alias("company_id"), *_round_columns(rounds))
+    v = valuations.select(F.col(company).alias("company_id"), F.col("round_id").cast("long").alias("valuation_round_id"),
+                          *_valuation_columns(valuations))
+    return r.join(v, ["company_id", "valuation_round_id"], "left")
 
 
 def flatten_rounds_json(df: DataFrame, company: str = "company_id") -> DataFrame:
     """A4 from one nested payload per company: ``rounds: array<struct>`` with nested ``valuations``.
 
-    ``explode_outer`` keeps a round with an empty or missing valuation list.
+    Two outer explodes of data that is already nested: no join, no shuffle; a round
+    with an empty or missing valuation list keeps one row.
     """
-    r = df.select(F.col(company).alias("company_id"), F.explode_outer("rounds").alias("r"))
-    r = r.select("company_id", "r.*")
-    rounds = r.drop("valuations")
-    vals = r.select(F.col("id").alias("round_id"), F.explode("valuations").alias("v")).select("round_id", "v.*")
-    return flatten_rounds(rounds.withColumnRenamed("company_id", company), vals, company)
+    r = df.select(F.col(company).alias("company_id"), F.explode_outer("rounds").alias("r")).filter(F.col("r").isNotNull())
+    nested = "valuations" in r.schema["r"].dataType.fieldNames()
+    r = r.select("*", F.explode_outer("r.valuations").alias("v")) if nested else r.withColumn("v", F.lit(None).cast("struct<valuationId: long>"))
+    return r.select("company_id", *_round_columns(r, "r."), *_valuation_columns(r, "v."))
 
 
 def main_valuations(df: DataFrame) -> DataFrame:
@@ -119,12 +126,18 @@ def split_branches(df: DataFrame, branches: dict[str, str], keep: Sequence[str])
 
 
 # ---------------------------------------------------------------- A8 / A9 / A10
-def union_unit_arrays(df: DataFrame, arrays: Sequence[str], id_col: str, number_cols: tuple[str, str],
-                      keys: Sequence[str]) -> DataFrame:
-    """Concat several arrays of structs, explode, first non-NULL of two alternatives, drop incomplete, dedupe."""
-    arr = F.concat(*[F.coalesce(F.col(a), F.array()) for a in arrays])
-    rows = df.select(F.explode(arr).alias("u")).select("u.*")
-    rows = rows.withColumn("unit_number", F.coalesce(F.col(number_cols[0]), F.col(number_cols[1])))
+def union_unit_arrays(df: DataFrame, arrays: Sequence[str], id_col: str, number_cols: Sequence[str], keys: Sequence[str],
+                      alternatives: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Several arrays of structs as one table; incomplete units dropped, first of each key kept.
+
+    ``number_cols`` and every list in ``alternatives`` (output name → fields) give the
+    first non-blank of several fields.  Fields an array lacks are NULL.
+    """
+    parts = [df.select(F.explode(F.col(a)).alias("u")).select("u.*") for a in arrays]
+    rows = functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    for name, fields in {"unit_number": number_cols, **(alternatives or {})}.items():
+        given = [F.nullif(F.col(f).cast("string"), F.lit("")) for f in fields if f in rows.columns]
+        rows = rows.withColumn(name, F.coalesce(*given) if given else F.lit(None).cast("string"))
     rows = rows.filter(F.col(id_col).isNotNull() & F.col("unit_number").isNotNull())
     return rows.dropDuplicates(list(keys))
 

@@ -66,13 +66,15 @@ def test_validate_collects_all_errors(spark):
 
 
 def test_align_and_drop_unknown(spark):
-    schema = T.StructType([T.StructField("existing", T.StringType()), T.StructField("missing_str", T.StringType()),
-                           T.StructField("missing_float", T.DoubleType())])
-    df = spark.createDataFrame([("a", 1)], "existing string, extra int")
-    assert C.align(df, schema).columns == ["existing", "missing_str", "missing_float"]
-    assert C.align(df, schema, keep_extra=True).columns == ["existing", "missing_str", "missing_float", "extra"]
-    kept, dropped = C.drop_unknown(df, ["existing"])
-    assert kept.columns == ["existing"] and dropped == ["extra"]
+    contract = T.StructType([T.StructField("depot", T.StringType()), T.StructField("opened", T.DateType()),
+                             T.StructField("litres", T.DoubleType())])
+    df = spark.createDataFrame([(7, "north"), (8, None)], "pump int, depot string")
+    assert C.align(df, contract).columns == ["depot", "opened", "litres"]
+    wide = C.align(df, contract, keep_extra=True)
+    assert wide.columns == ["depot", "opened", "litres", "pump"]
+    assert [tuple(r) for r in wide.orderBy("pump").collect()] == [("north", None, None, 7), (None, None, None, 8)]
+    kept, dropped = C.drop_unknown(df, ["depot"])
+    assert kept.columns == ["depot"] and dropped == ["pump"]
 
 
 # ---------------------------------------------------------------- A4 / A5 / A17
@@ -103,7 +105,52 @@ def test_flatten_rounds(spark, tmp_path):
     assert [r.valuation_id for r in main.collect()] == [100]
     meta = FL.round_metadata(flat)
     assert meta.count() == 2
-    assert FL.round_metadata(spark.createDataFrame([(1,)], "other_column long")).count() == 0
+    assert FL.round_metadata(spark.createDataFrame([(1,)], "depot long")).count() == 0
+
+
+def test_rounds_of_two_companies_stay_apart(spark):
+    """Round ids are only unique within a company."""
+    raw = spark.createDataFrame([("a", [(1, [(10,)])]), ("b", [(1, [(20,)]), (2, None)])],
+                                "company_id string, rounds array<struct<id: long, valuations: array<struct<valuationId: long>>>>")
+    want = [("a", 1, 10), ("b", 1, 20), ("b", 2, None)]
+    assert sorted((r.company_id, r.valuation_round_id, r.valuation_id) for r in N.flatten_rounds_json(raw).collect()) == want
+    r = raw.select("company_id", F.explode("rounds").alias("r")).select("company_id", "r.*")
+    v = r.select("company_id", F.col("id").alias("round_id"), F.explode("valuations").alias("v")).select("company_id", "round_id", "v.*")
+    joined = N.flatten_rounds(r.drop("valuations"), v)
+    assert sorted((x.company_id, x.valuation_round_id, x.valuation_id) for x in joined.collect()) == want
+    assert {"archived_date_time", "avm_issue_date", "has_changed_parameters", "is_new_calculation_rules"} <= set(joined.columns)
+
+
+def test_round_metadata_blank_date_and_data_set(spark):
+    df = spark.createDataFrame([("a", 1, 2024, " ", "9", 5), ("a", 2, 2023, "2023-06-30", "", 5), ("a", 2, 2023, "2023-06-30", "nan", 5)],
+                               "company_id string, valuation_round_id long, issue_year long, issue_date string, data_set_id string, round_data_set_id long")
+    got = sorted(tuple(r) for r in FL.round_metadata(df).collect())
+    assert got == [("a", 1, "2024-12-31", 9), ("a", 2, "2023-06-30", None)]
+
+
+def test_headers_of_every_file(spark, tmp_path):
+    for name, lines in {"a.csv": ["title", "id,net value %,name", '1,"2.5",x'], "b.csv": ["title", "name,id", '"y, z",2']}.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    out = FL.read_sheet(spark, str(tmp_path), skip_rows=1)
+    got = sorted((r["id"], r["name"], r["net value %"]) for r in out.collect())
+    assert got == [("1", "x", "2.5"), ("2", "y, z", None)]
+
+
+def test_numbers_in_text(spark):
+    df = spark.createDataFrame([("12D", "1", "1.7"), ("3f", "nan", "2"), ("4", "2", " 3 "), ("5x", "None", "1e3")], "code string, mostly string, whole string")
+    out = C.coerce_numeric(df)
+    assert dict(out.dtypes) == {"code": "string", "mostly": "double", "whole": "double"}   # only one code is a number
+    assert [r.mostly for r in out.collect()] == [1.0, None, 2.0, None]
+    ints = C.enforce_column_types(df.select("whole"), {"whole": "int"})
+    assert [r.whole for r in ints.collect()] == [None, 2, 3, 1000]
+
+
+def test_json_root_type(spark, tmp_path):
+    (tmp_path / "a.json").write_text('\n {"x": 1}')
+    assert FL.require_root(spark, str(tmp_path)).count() == 1
+    (tmp_path / "b.json").write_text("[1]")
+    with pytest.raises(ValueError, match="b.json"):
+        FL.require_root(spark, str(tmp_path))
 
 
 def test_main_valuations_fails_when_empty(spark):
@@ -199,13 +246,14 @@ def test_seed_exclusions(spark, tmp_path):
 # ---------------------------------------------------------------- A19 / A21 / A22 / A23
 def test_read_sections(spark, tmp_path):
     text = "\n".join(["[other]", "a b c", "[data]", "; comment", "code name lat lon x y", "checksum 123",
-                      "1 A 1.0 2.0 3 4", "2 B 1.5 2.5 3 4 extra", "bad line", "[tail]", "z"])
+                      "1 A 1.0 2.0 3 4", "2 B mid 1.5 2.5 3 4", "3 C mid 1.5 2.5 3 4 more", "bad line", "[tail]", "z"])
     p = tmp_path / "f.ini"
     p.write_text(text)
-    out = X.read_sections(spark, str(p), "data", ["code", "name", "lat", "lon", "x", "y"],
-                          ["code", "name", "lat", "lon", "x", "y", "z"])
-    got = sorted((r.code, r.y, r.z) for r in out.collect())
-    assert got == [("1", "4", None), ("2", "4", "extra"), ("code", "y", None)]
+    wide = {"code": 0, "name": 1, "lat": 3, "lon": 4, "x": 5, "y": 6}   # the extra field stands in the middle
+    narrow = {"code": 0, "name": 1, "lat": 2, "lon": 3, "x": 4, "y": 5}
+    out = X.read_sections(spark, str(p), "data", [(7, wide), (6, narrow)], header_prefix="code", comment=";", checksum_prefix="checksum")
+    got = sorted((r.code, r.lat, r.y) for r in out.collect())
+    assert got == [("1", "1.0", "4"), ("2", "1.5", "4"), ("3", "1.5", "4")]   # no header, no checksum, longer lines kept
 
 
 def test_read_geojson_and_region_fill(spark, tmp_path):
@@ -215,7 +263,9 @@ def test_read_geojson_and_region_fill(spark, tmp_path):
         {"type": "Feature", "properties": {"statcode": "PV21", "name": "South"}, "geometry": None}]}
     p = tmp_path / "p.geojson"
     p.write_text(json.dumps(fc))
+    assert X.read_geojson(spark, str(p), ["nowhere"]).filter("nowhere IS NULL").count() == 2
     g = X.read_geojson(spark, str(p), ["statcode", "name"])
+    assert [json.loads(r.geometry_json)["coordinates"][0][1] for r in g.filter("statcode = 'PV20'").collect()] == [[1, 0]]
     rows = sorted((r.statcode, r.geometry_type) for r in g.collect())
     assert rows == [("PV20", "Polygon"), ("PV21", None)]
     from panelmart.plans.overrides import region_fill
@@ -261,7 +311,10 @@ def test_dedupe_and_entity_coverage(spark):
     f = spark.createDataFrame([("a",), ("c",), ("d",)], "c string")
     a = spark.createDataFrame([("a",)], "c string")
     cats = {r.c: r.category for r in C.entity_coverage(e, f, a, "c").collect()}
-    assert cats == {"a": "ok", "b": "missing", "c": "inactive", "d": "unexpected"}
+    assert cats == {"a": "ok", "b": "missing", "c": "inactive", "d": "ignored"}
+    blank = spark.createDataFrame([(" a ",), ("",), ("e",)], "c string")
+    cats = {r.c: r.category for r in C.entity_coverage(a, blank, blank, "c").collect()}
+    assert cats == {"a": "ok", "e": "unexpected"}
     ds = FL.latest_dataset(spark.createDataFrame([("x", None, 3), ("x", None, 5), ("y", 2, 9)],
                                                  "c string, given long, id long"), ["c"], "given", "id")
     assert sorted((r.c, r.dataset_id) for r in ds.collect()) == [("x", 5), ("y", 2)]

@@ -282,6 +282,64 @@ def test_with_exclusions_not_in_semantics(spark, listed):
     assert got == sorted(want, key=lambda t: (t[0] is None, t[0] or ""))
 
 
+def test_rounding_does_not_saturate(spark):
+    import duckdb
+
+    from panelmart.functions.columns import bround, fround, sql_bround, sql_fround
+
+    values = [1.25, -3.75, 1e9 + 0.1, 1e13, 3e9, 2.0e15, 9.3e18, 1e20, -1e25, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 4, 8):
+        got = [tuple(r) for r in df.select(fround("v", digits), bround("v", 4 * digits)).collect()]
+        con = duckdb.connect()
+        con.execute("CREATE TABLE t(i INTEGER, v DOUBLE)")
+        con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+        want = con.execute(f"SELECT {sql_fround('v', digits)}, {sql_bround('v', 4 * digits)} FROM t ORDER BY i").fetchall()
+        assert got == want
+        assert all(abs(a - v) <= 10**-digits for (a, _), v in zip(got, values) if v is not None)
+
+
+def test_clashing_columns_raise(spark):
+    left, right = spark.createDataFrame([(1, "L")], "k int, v string"), spark.createDataFrame([(1, "R")], "k int, v string")
+    with pytest.raises(ValueError, match="'v'"):
+        J.indicator_merge(left, right, ["k"])
+    assert J.indicator_merge(left, right, ["k"], drop_right=["v"]).first().v == "L"
+
+
+def test_size_proof_sees_the_data_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(10).write.parquet(path)
+    assert J.fits(spark.read.parquet(path), 100)
+    spark.range(1000).write.mode("overwrite").parquet(path)
+    assert not J.fits(spark.read.parquet(path), 100)
+
+
+def test_product_of_rates_at_and_below_minus_one(spark):
+    from panelmart.operators.windows import cum_product
+
+    df = spark.createDataFrame([("a", 1, 0.1), ("a", 2, -1.0), ("a", 3, 0.5), ("b", 1, 0.1), ("b", 2, -1.5), ("b", 3, None)],
+                               "s string, t int, r double")
+    got = [(x.s, x.t, None if x.p is None else round(x.p, 9)) for x in df.withColumn("p", cum_product("r", ["s"], "t")).orderBy("s", "t").collect()]
+    assert got == [("a", 1, 1.1), ("a", 2, 0.0), ("a", 3, 0.0), ("b", 1, 1.1), ("b", 2, None), ("b", 3, None)]
+
+
+def test_even_split_is_not_ranked_row_by_row(spark):
+    from panelmart.operators import percentiles as Q
+
+    df = spark.range(4000).select(F.lit("g").alias("g"), F.when(F.col("id") % 2 == 0, 1.0).otherwise(2.0).alias("v"))
+    out = Q.percentile_table(df, ["g"], [Q.median("v", "m"), Q.percentile("v", 0.9, "q")], accuracy=100, max_window=50).first()
+    assert (out.m, out.q) == (1.5, 2.0)
+
+
+def test_history_of_the_current_year(spark):
+    from panelmart.operators.sets import prefer_current
+
+    cur = spark.createDataFrame([("a", 2000, 1.0)], "s string, t int, v double")
+    hist = spark.createDataFrame([("a", 1999, 2.0), ("a", 2000, 3.0), ("b", 2000, 4.0), ("b", 2001, 5.0)], "s string, t int, v double")
+    got = sorted(tuple(r) for r in prefer_current(cur, hist, ["s", "t"], "t", 2000).collect())
+    assert got == [("a", 1999, 2.0), ("a", 2000, 1.0), ("b", 2000, 4.0)]
+
+
 def test_small_dim_broadcasts_only_behind_the_row_bound(spark):
     big = spark.range(5000).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k")
