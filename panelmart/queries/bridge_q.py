@@ -31,28 +31,25 @@ def _bridge_inputs(cat, group: str | None):
 
 
 def _bridge_sql(group_expr: str, top_n: int) -> str:
+    """Oracle: one row per group and step with its effect and the group's total change (windows over
+    the step sums); the remainder is the total less the shown effects."""
     return STEPS + f""",
-s AS (SELECT {group_expr} AS grp, step, year, value FROM line_steps WHERE year IN ({CUR}, {PREV})),
-eff AS (SELECT grp, step, sum(CASE WHEN year = {CUR} THEN value ELSE -value END) AS delta FROM s GROUP BY grp, step),
-base AS (SELECT grp, sum(value) AS base_value FROM s WHERE year = {PREV} GROUP BY grp),
-tot AS (SELECT grp, (sum(value) FILTER (WHERE year = {CUR}) - sum(value) FILTER (WHERE year = {PREV}))
-                    / nullif(sum(value) FILTER (WHERE year = {PREV}), 0) AS total_change FROM s GROUP BY grp),
-e AS (SELECT grp, step, delta / nullif(base_value, 0) AS effect FROM eff JOIN base USING (grp)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY abs(effect) DESC NULLS LAST, step ASC NULLS LAST) AS rn FROM e),
-sel AS (SELECT DISTINCT step FROM ranked WHERE rn <= {top_n}),
-ord AS (SELECT step, CAST(row_number() OVER (ORDER BY avg(abs(effect)) DESC NULLS LAST, step ASC) AS INTEGER) AS step_order
-        FROM e WHERE step IN (SELECT step FROM sel) GROUP BY step),
-cum AS (SELECT grp, step, effect, step_order,
-               sum(effect) OVER (PARTITION BY grp ORDER BY step_order) AS cumulative
-        FROM e JOIN ord USING (step)),
-lst AS (SELECT grp, cumulative AS last_cum FROM cum
-        QUALIFY row_number() OVER (PARTITION BY grp ORDER BY step_order DESC) = 1),
-rem AS (SELECT grp, 'Other changes' AS step, total_change - last_cum AS effect,
-               CAST((SELECT max(step_order) + 1 FROM ord) AS INTEGER) AS step_order, total_change AS cumulative
-        FROM tot JOIN lst USING (grp)),
-fin AS (SELECT grp, step, effect, step_order, cumulative FROM cum
-        UNION ALL SELECT grp, step, effect, step_order, cumulative FROM rem)
-SELECT *, {sql_pct_text('effect')} AS effect_text, {sql_pct_text('cumulative')} AS cumulative_text FROM fin"""
+sums AS (SELECT {group_expr} AS grp, step, coalesce(sum(value) FILTER (WHERE year = {CUR}), 0) AS now,
+                coalesce(sum(value) FILTER (WHERE year = {PREV}), 0) AS before
+         FROM line_steps WHERE year IN ({CUR}, {PREV}) GROUP BY ALL),
+drivers AS (SELECT grp, step, (now - before) / nullif(sum(before) OVER g, 0) AS effect,
+                   (sum(now) OVER g - sum(before) OVER g) / nullif(sum(before) OVER g, 0) AS whole
+            FROM sums WINDOW g AS (PARTITION BY grp)),
+shown AS (SELECT unnest(list(step ORDER BY abs(effect) DESC NULLS LAST, step)[1:{top_n}]) AS step FROM drivers GROUP BY grp),
+placed AS (SELECT step, CAST(row_number() OVER (ORDER BY avg(abs(effect)) DESC NULLS LAST, step) AS INTEGER) AS step_order
+           FROM drivers SEMI JOIN shown USING (step) GROUP BY step),
+bars AS (
+  SELECT grp, step, effect, step_order, sum(effect) OVER (PARTITION BY grp ORDER BY step_order) AS cumulative
+  FROM drivers JOIN placed USING (step)
+  UNION ALL
+  SELECT grp, 'Other changes', any_value(whole) - sum(effect), (SELECT count(*) FROM placed)::INTEGER + 1, any_value(whole)
+  FROM drivers SEMI JOIN placed USING (step) GROUP BY grp)
+SELECT *, {sql_pct_text('effect')} AS effect_text, {sql_pct_text('cumulative')} AS cumulative_text FROM bars"""
 
 
 @register("driver_bridge", _bridge_sql("region", 7), digits={"effect": RATIO, "cumulative": RATIO},
@@ -75,24 +72,17 @@ WATERFALL_STEPS = [("market", "market_value"), ("gross", "gross_value"), ("disco
 WATERFALL_LISTED = ["low", "mid"]
 
 
-@register("waterfall", UY + f"""
-, g AS (
-  SELECT CASE WHEN grouping(unit_type) = 1 THEN 'Total' ELSE unit_type END AS unit_type,
-         grouping(unit_type) AS gid,
-         {", ".join(f"avg({c}) AS s{i}" for i, (_, c) in enumerate(WATERFALL_STEPS, start=1))}
-  FROM unit_year WHERE year = {CUR} AND policy_value IS NOT NULL
-  GROUP BY GROUPING SETS ((unit_type), ())
-), f AS (SELECT * FROM g WHERE gid = 1 OR unit_type IN ({", ".join(f"'{c}'" for c in WATERFALL_LISTED)})),
-long AS (
-  SELECT unit_type, v.step, v.value, v.step_order FROM f CROSS JOIN LATERAL (VALUES
-    {", ".join(f"('{lab}', s{i}, {i})" for i, (lab, _) in enumerate(WATERFALL_STEPS, start=1))}
-  ) AS v(step, value, step_order)
-), pct AS (
-  SELECT *, value / nullif(first_value(value) OVER (PARTITION BY unit_type ORDER BY step_order), 0) AS percent FROM long
-)
-SELECT unit_type, step, value, percent, {sql_pct_text('percent')} AS text, step_order,
-       CASE WHEN step_order = 1 THEN 'absolute' WHEN step_order = {len(WATERFALL_STEPS)} THEN 'total' ELSE 'relative' END AS measure
-FROM pct""", digits={"value": MEAN, "percent": RATIO}, ids=("I12", "G1", "F10", "E8"))
+def _waterfall_bar(i: int, label: str, column: str) -> str:
+    measure = {1: "absolute", len(WATERFALL_STEPS): "total"}.get(i, "relative")
+    share = f"avg({column}) / nullif(avg({WATERFALL_STEPS[0][1]}), 0)"
+    return f"""SELECT coalesce(CASE WHEN grouping(unit_type) = 0 THEN unit_type END, 'Total') AS unit_type, '{label}' AS step, avg({column}) AS value,
+       {share} AS percent, {sql_pct_text(share)} AS text, {i} AS step_order, '{measure}' AS measure
+FROM valued GROUP BY ROLLUP (unit_type) HAVING grouping(unit_type) = 1 OR unit_type IN ({", ".join(f"'{c}'" for c in WATERFALL_LISTED)})"""
+
+
+@register("waterfall", UY + f", valued AS (SELECT * FROM unit_year WHERE policy_value IS NOT NULL AND year = {CUR})\n" + "\nUNION ALL\n".join(
+    _waterfall_bar(i, label, column) for i, (label, column) in enumerate(WATERFALL_STEPS, start=1)),
+          digits={"value": MEAN, "percent": RATIO}, ids=("I12", "G1", "F10", "E8"))
 def q_waterfall(cat):
     df = fact(cat, [CUR]).filter(F.col("policy_value").isNotNull())
     return waterfall(df, "unit_type", WATERFALL_LISTED, WATERFALL_STEPS)
@@ -144,28 +134,21 @@ INDEX_BASES = (1997, 1999)
 
 
 @register("cumulative_index", with_sql(UNIT_YEAR_SQL) + f"""
-, cur AS (
-  SELECT value_type AS valuation_type, year, rel_change AS rate
-  FROM ({VALUE_CHANGE_SQL}) vc WHERE value_kind = 'market' AND region = 'Total'
-), hist AS (
-  SELECT valuation_type, year, v / nullif(lag(v) OVER (PARTITION BY valuation_type ORDER BY year), 0) - 1 AS rate
-  FROM (SELECT valuation_type, year, avg(market_value) AS v FROM unit_year GROUP BY valuation_type, year) y
-), allr AS (
-  SELECT * FROM cur
-  UNION ALL
-  SELECT * FROM hist h WHERE year <= {CUR}
-    AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.valuation_type = h.valuation_type AND c.year = h.year)
-), idx AS (
-  SELECT valuation_type, year, rate, rate + 1 AS index_change,
-         exp(sum(ln(CASE WHEN rate IS NULL THEN 1.0 ELSE rate + 1.0 END)) OVER (
-             PARTITION BY valuation_type ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) * 100 AS "index",
-         {sql_pct_text('rate')} AS text
-  FROM allr
-)
-SELECT *, "index" / nullif(first_value("index") OVER (PARTITION BY valuation_type ORDER BY year
-           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) * 100 AS index_base_first,
-       {", ".join(f'"index" / nullif(max(CASE WHEN year = {b} THEN "index" END) OVER (PARTITION BY valuation_type), 0) * 100 AS index_base_{b}' for b in INDEX_BASES)}
-FROM idx""",
+, mean AS (SELECT valuation_type, year, avg(market_value) AS v FROM unit_year GROUP BY ALL),
+rates AS (
+  SELECT coalesce(c.value_type, h.valuation_type) AS valuation_type, coalesce(c.year, h.year) AS year,
+         CASE WHEN c.year IS NULL THEN h.rate ELSE c.rel_change END AS rate
+  FROM (SELECT valuation_type, year, v / nullif(lag(v) OVER (PARTITION BY valuation_type ORDER BY year), 0) - 1 AS rate FROM mean) h
+  FULL JOIN (SELECT value_type, year, rel_change FROM ({VALUE_CHANGE_SQL}) vc WHERE region = 'Total' AND value_kind = 'market') c
+    ON c.value_type = h.valuation_type AND c.year = h.year
+  WHERE coalesce(c.year, h.year) <= {CUR} OR c.year IS NOT NULL),
+grown AS (SELECT *, 100 * product(1 + coalesce(rate, 0)) OVER (PARTITION BY valuation_type ORDER BY year) AS "index" FROM rates)
+SELECT g.valuation_type, g.year, g.rate, 1 + g.rate AS index_change, g."index", {sql_pct_text('g.rate')} AS text,
+       100 * g."index" / nullif(b."first", 0) AS index_base_first,
+       {", ".join(f'100 * g."index" / nullif(b.base_{y}, 0) AS index_base_{y}' for y in INDEX_BASES)}
+FROM grown g JOIN (SELECT valuation_type, arg_min("index", year) AS "first",
+                          {", ".join(f'any_value("index") FILTER (WHERE year = {y}) AS base_{y}' for y in INDEX_BASES)}
+                   FROM grown GROUP BY valuation_type) b ON b.valuation_type IS NOT DISTINCT FROM g.valuation_type""",
           digits={"rate": RATIO, "index_change": RATIO, "index": INDEX, "index_base_first": INDEX,
                   **{f"index_base_{b}": INDEX for b in INDEX_BASES}},
           ids=("I14", "H7", "F7", "F8", "F9", "F12", "H12"))

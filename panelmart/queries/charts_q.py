@@ -25,13 +25,14 @@ _EXCL_SQL = f"SELECT n_name FROM nation WHERE n_regionkey = {EXCLUDED_REGION_KEY
 
 
 # ---------------------------------------------------------------- E2 / D12 (median per company, current vs prior)
+_MEDIANS = {y: f"median(market_value) FILTER (WHERE year = {y})" for y in (CUR, PREV)}
+
+
 @register("median_by_company_yoy", UY + f"""
-, m AS (SELECT year, company, median(market_value) AS median_value FROM unit_year
-        WHERE year IN ({CUR}, {PREV}) AND unit_type IN ('low', 'mid') AND model = 'Residential'
-        GROUP BY year, company)
-SELECT c.company, c.median_value, pr.median_value AS median_value_{PREV},
-       {sql_fround(f"(c.median_value - pr.median_value) / nullif(pr.median_value, 0)", 4)} AS median_growth
-FROM m c JOIN m pr ON c.company = pr.company AND c.year = {CUR} AND pr.year = {PREV}""",
+SELECT company, {_MEDIANS[CUR]} AS median_value, {_MEDIANS[PREV]} AS median_value_{PREV},
+       {sql_fround(f"({_MEDIANS[CUR]} - {_MEDIANS[PREV]}) / nullif({_MEDIANS[PREV]}, 0)", 4)} AS median_growth
+FROM unit_year WHERE model = 'Residential' AND unit_type IN ('low', 'mid')
+GROUP BY company HAVING bool_or(year = {CUR}) AND bool_or(year = {PREV})""",
           digits={"median_value": MONEY, f"median_value_{PREV}": MONEY}, ids=("E2", "D12"))
 def q_median_by_company_yoy(cat):
     f = fact(cat, [CUR, PREV]).filter(F.col("unit_type").isin("low", "mid")
@@ -44,15 +45,13 @@ def q_median_by_company_yoy(cat):
 
 # ---------------------------------------------------------------- C21 / E1 / C12 (spread per company)
 @register("spread_by_company", UY_PANEL + f"""
-, g AS (SELECT company, sum(policy_value) AS policy_value, sum({p('policy_value')}) AS {p('policy_value')}
-        FROM panel WHERE _merge = 'both' AND policy_value IS NOT NULL AND {p('policy_value')} IS NOT NULL
-          AND lower(trim(company)) NOT IN (SELECT lower(trim(n_name)) FROM ({_EXCL_SQL}) x)
-        GROUP BY company)
-SELECT *, policy_value - {p('policy_value')} AS abs_change,
-       (policy_value - {p('policy_value')}) / nullif({p('policy_value')}, 0) AS rel_change,
-       (policy_value - {p('policy_value')}) / nullif({p('policy_value')}, 0) * 100 + 100 AS index_change,
-       {sql_pct_text(f"(policy_value - {p('policy_value')}) / nullif({p('policy_value')}, 0)")} AS change_text
-FROM g""", digits={"policy_value": NET, p("policy_value"): NET, "abs_change": NET, "rel_change": RATIO,
+, paired AS (SELECT company, policy_value AS now, {p('policy_value')} AS before FROM panel
+             ANTI JOIN (SELECT upper(trim(n_name)) AS n FROM nation WHERE n_regionkey = {EXCLUDED_REGION_KEY}) x ON x.n = upper(trim(company))
+             WHERE _merge = 'both' AND policy_value + {p('policy_value')} IS NOT NULL),
+company_sum AS (SELECT company, sum(now) AS now, sum(before) AS before, sum(now) - sum(before) AS gain FROM paired GROUP BY company)
+SELECT company, now AS policy_value, before AS {p('policy_value')}, gain AS abs_change, gain / nullif(before, 0) AS rel_change,
+       100 + 100 * gain / nullif(before, 0) AS index_change, {sql_pct_text("gain / nullif(before, 0)")} AS change_text
+FROM company_sum""", digits={"policy_value": NET, p("policy_value"): NET, "abs_change": NET, "rel_change": RATIO,
                    "index_change": INDEX}, ids=("C21", "E1", "C12", "C13", "C14"))
 def q_spread_by_company(cat):
     m = matched(panel(cat), pred=F.col("policy_value").isNotNull() & F.col(p("policy_value")).isNotNull())

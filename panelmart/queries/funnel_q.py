@@ -36,21 +36,31 @@ def funnel_annotated(cat):
 
 
 _REGIONS_SQL = ", ".join(f"'{r}'" for r in EXCLUDED_REGIONS)
+# Oracle: one row per unit with the number of steps it survives.  Company and complex
+# facts are window aggregates over the base rows (a company or complex passes or fails
+# as a whole, so they hold at any later step too); only the last step counts survivors.
 FUNNEL_CTES = UY + f"""
-, base_data AS (SELECT * FROM unit_year WHERE year = {CUR} AND model = 'Residential'),
-company_full AS (SELECT company, avg(pct_full) AS m FROM base_data GROUP BY company),
-step_1 AS (SELECT b.* FROM base_data b JOIN company_full c ON b.company = c.company WHERE c.m > {FULL_SHARE_MIN}),
-busy AS (SELECT DISTINCT company, complex FROM step_1 WHERE n_orders >= 4),
-step_2 AS (SELECT t.* FROM step_1 t ANTI JOIN busy b ON t.company = b.company AND t.complex = b.complex),
-excl AS (SELECT DISTINCT company, complex FROM step_2 WHERE region IN ({_REGIONS_SQL})),
-step_3 AS (SELECT t.* FROM step_2 t ANTI JOIN excl e ON t.company = e.company AND t.complex = e.complex),
-step_4 AS (SELECT * FROM step_3 WHERE NOT (own_input = 1 AND (tax_value > 30000 OR discount_value > 60000 OR n_lines > 20))),
-counts AS (SELECT company FROM step_4 GROUP BY company HAVING count(*) > {MIN_UNITS}),
-step_5 AS (SELECT t.* FROM step_4 t JOIN counts c ON t.company = c.company)
+, judged AS (
+  SELECT *,
+         coalesce(avg(pct_full) OVER (PARTITION BY company) > {FULL_SHARE_MIN}, false) AS full_enough,
+         complex IS NULL OR NOT coalesce(bool_or(n_orders >= 4) OVER (PARTITION BY company, complex), false) AS calm,
+         complex IS NULL OR NOT coalesce(bool_or(region IN ({_REGIONS_SQL})) OVER (PARTITION BY company, complex), false) AS inside,
+         NOT (own_input = 1 AND greatest(tax_value / 30000, discount_value / 60000, n_lines / 20) > 1) AS plain_input
+  FROM unit_year WHERE year = {CUR} AND model = 'Residential'),
+funnel AS (
+  SELECT * EXCLUDE (survivors), CASE WHEN passed = 4 AND survivors > {MIN_UNITS} THEN 5 ELSE passed END AS reached
+  FROM (SELECT *, count(*) FILTER (WHERE passed = 4) OVER (PARTITION BY company) AS survivors
+        FROM (SELECT *, CASE WHEN NOT full_enough THEN 0 WHEN NOT calm THEN 1 WHEN NOT inside THEN 2
+                             WHEN plain_input IS NOT TRUE THEN 3 ELSE 4 END AS passed FROM judged) j) k)
 """
 
 
-@register("funnel", FUNNEL_CTES + "SELECT unit_id, company, complex, unit_type, market_value FROM step_5",
+def stage_sql(step: int) -> str:
+    """Units that survive ``step`` steps of the oracle's funnel."""
+    return f"(SELECT * FROM funnel WHERE reached >= {step})"
+
+
+@register("funnel", FUNNEL_CTES + "SELECT unit_id, company, complex, unit_type, market_value FROM funnel WHERE reached = 5",
           digits={"market_value": MONEY}, ids=("I6", "D8", "D10", "E12"))
 def q_funnel(cat):
     return FN.funnel_result(funnel_annotated(cat), len(FUNNEL_LABELS) - 1).select(
@@ -62,7 +72,7 @@ def q_funnel(cat):
        count(DISTINCT company || complex) AS n_sub_companies,
        count(DISTINCT company || complex || unit_type) AS n_complexes, count(*) AS n_units,
        CAST(floor(sum(market_value) / 1e9 * 10.0 + 0.5) / 10.0 AS DOUBLE) AS value_bn
-FROM {'base_data' if i == 0 else f'step_{i}'}""" for i, lab in enumerate(FUNNEL_LABELS)),
+FROM {stage_sql(i)} st""" for i, lab in enumerate(FUNNEL_LABELS)),
           ids=("I7", "E11", "K12"))
 def q_funnel_stats(cat):
     return FN.funnel_stats(funnel_annotated(cat), FUNNEL_LABELS, "company", "complex", "unit_type", "market_value")
@@ -188,16 +198,24 @@ prep AS (SELECT * FROM panel WHERE _merge = 'both')
 """
 
 
-def _i16_arm(cfg) -> str:
+LABELS = ("Basis", "Full", "Full (handbook)")
+
+
+def _labelled(cfg, by: str) -> str:
+    """Rows (by, label, now, before): each unit under its valuation type, full ones once more with the handbook's value."""
     b, h = cfg.basic or cfg.value, cfg.basic_prior or cfg.prior
-    return f"""SELECT '{cfg.name}' AS config, a.region, v.valuation_type, v.value
-FROM (SELECT region,
-        avg(CASE WHEN valuation_type = 'Basis' THEN {cfg.value} END) AS bc, avg(CASE WHEN valuation_type = 'Basis' THEN {cfg.prior} END) AS bp,
-        avg(CASE WHEN valuation_type = 'Full' THEN {cfg.value} END) AS fc, avg(CASE WHEN valuation_type = 'Full' THEN {cfg.prior} END) AS fp,
-        avg(CASE WHEN valuation_type = 'Full' THEN {b} END) AS hc, avg(CASE WHEN valuation_type = 'Full' THEN {h} END) AS hp
-      FROM prep WHERE {_cfg_sql(cfg)} GROUP BY region) a
-CROSS JOIN LATERAL (VALUES ('Basis', {_chg('bc', 'bp', cfg.diff)}), ('Full', {_chg('fc', 'fp', cfg.diff)}),
-                           ('Full (handbook)', {_chg('hc', 'hp', cfg.diff)})) AS v(valuation_type, value)"""
+    return f"""(SELECT {by}, valuation_type AS label, {cfg.value} AS now, {cfg.prior} AS before FROM prep
+               WHERE valuation_type IN ('Basis', 'Full') AND {_cfg_sql(cfg)}
+               UNION ALL BY NAME
+               SELECT {by}, '{LABELS[2]}' AS label, {b} AS now, {h} AS before FROM prep WHERE valuation_type = 'Full' AND {_cfg_sql(cfg)})"""
+
+
+def _i16_arm(cfg) -> str:
+    """Every region that has units at all shows every label, with NULL where it has none of that kind."""
+    return f"""SELECT '{cfg.name}' AS config, spine.region, spine.label AS valuation_type, {_chg('avg(now)', 'avg(before)', cfg.diff)} AS value
+FROM (SELECT DISTINCT region, unnest({list(LABELS)!r}) AS label FROM prep WHERE {_cfg_sql(cfg)}) spine
+LEFT JOIN {_labelled(cfg, 'region')} u ON u.region IS NOT DISTINCT FROM spine.region AND u.label = spine.label
+GROUP BY spine.region, spine.label"""
 
 
 @register("override_change", _PREP_SQL + "\nUNION ALL\n".join(_i16_arm(c) for c in _configs(False)),
@@ -207,11 +225,10 @@ def q_override_change(cat):
 
 
 def _i17_arm(cfg) -> str:
-    return f"""SELECT '{cfg.name}' AS config, a.company, a.valuation_type, v.calc_type, v.value
-FROM (SELECT company, valuation_type, avg({cfg.value}) AS lv,
-             {_chg(f'avg({cfg.value})', f'avg({cfg.prior})', cfg.diff)} AS ch
-      FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company, valuation_type) a
-CROSS JOIN LATERAL (VALUES ('level', lv), ('change', ch)) AS v(calc_type, value)"""
+    kinds = {"level": f"avg({cfg.value})", "change": _chg(f"avg({cfg.value})", f"avg({cfg.prior})", cfg.diff)}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{cfg.name}' AS config, company, valuation_type, '{kind}' AS calc_type, {value} AS value\n"
+        f"FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company, valuation_type" for kind, value in kinds.items())
 
 
 @register("override_level", _PREP_SQL + "\nUNION ALL\n".join(_i17_arm(c) for c in _configs(True)),
@@ -221,24 +238,10 @@ def q_override_level(cat):
 
 
 def _i18_arm(cfg) -> str:
-    b, h = cfg.basic or cfg.value, cfg.basic_prior or cfg.prior
-
-    def av(x, t):
-        return f"avg({x}) FILTER (WHERE valuation_type = '{t}')"
-
-    return f"""SELECT '{cfg.name}' AS config, a.company, v.valuation_type, v.measure, v.value
-FROM (SELECT company,
-        count(*) FILTER (WHERE valuation_type = 'Full') AS nf, count(*) FILTER (WHERE valuation_type = 'Basis') AS nb,
-        {av(cfg.value, 'Full')} AS fc, {av(cfg.prior, 'Full')} AS fp, {av(b, 'Full')} AS hc, {av(h, 'Full')} AS hp,
-        {av(cfg.value, 'Basis')} AS bc, {av(cfg.prior, 'Basis')} AS bp
-      FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company) a
-CROSS JOIN LATERAL (VALUES
-   ('Full', 'current', fc, nf), ('Full', 'prior', fp, nf), ('Full (handbook)', 'current', hc, nf),
-   ('Full (handbook)', 'prior', hp, nf), ('Full', 'Difference', {_chg('fc', 'fp', cfg.diff)}, nf),
-   ('Full (handbook)', 'Difference', {_chg('hc', 'hp', cfg.diff)}, nf),
-   ('Basis', 'current', bc, nb), ('Basis', 'prior', bp, nb), ('Basis', 'Difference', {_chg('bc', 'bp', cfg.diff)}, nb)
-) AS v(valuation_type, measure, value, row_count)
-WHERE v.row_count > 0"""
+    kinds = {"current": "avg(now)", "prior": "avg(before)", "Difference": _chg("avg(now)", "avg(before)", cfg.diff)}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{cfg.name}' AS config, company, label AS valuation_type, '{kind}' AS measure, {value} AS value\n"
+        f"FROM {_labelled(cfg, 'company')} u GROUP BY company, label" for kind, value in kinds.items())
 
 
 @register("override_box", _PREP_SQL + "\nUNION ALL\n".join(_i18_arm(c) for c in _configs(False)),

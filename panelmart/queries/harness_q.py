@@ -30,7 +30,7 @@ def q_sum_by_company_model(cat):
     return fact(cat).groupBy("company", "model").agg(F.sum("market_value").alias("total_value"), F.count(F.lit(1)).alias("n"))
 
 
-@register("validation_count", FUNNEL_CTES + "SELECT count(*) AS n FROM step_5", ids=("I6",))
+@register("validation_count", FUNNEL_CTES + "SELECT count(*) AS n FROM funnel WHERE reached = 5", ids=("I6",))
 def q_validation_count(cat):
     from ..plans.funnel import funnel_result
 

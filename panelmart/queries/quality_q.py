@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..registry import register
 from .common import CUR, MONEY, NET, RATIO, UY, UY_PANEL, fact, p, panel
-from .funnel_q import FUNNEL_CTES, FUNNEL_LABELS, funnel_annotated
+from .funnel_q import FUNNEL_CTES, FUNNEL_LABELS, funnel_annotated, stage_sql
 from .merge_q import geo_chain_plan
 from ..plans.funnel import funnel_result, funnel_stats
 
@@ -130,10 +130,10 @@ def q_dq_foreign_key(cat):
 
 
 @register("dq_subset_of", FUNNEL_CTES + f"""
-SELECT s.unit_id, s.company FROM step_5 s
+SELECT s.unit_id, s.company FROM {stage_sql(5)} s
 WHERE NOT EXISTS (SELECT 1 FROM unit_year u WHERE u.year = {CUR} AND u.unit_id = s.unit_id AND u.company = s.company)
 UNION ALL
-SELECT s.unit_id, s.company FROM step_5 s LEFT JOIN (SELECT * FROM unit_year WHERE year = {CUR}) u
+SELECT s.unit_id, s.company FROM {stage_sql(5)} s LEFT JOIN (SELECT * FROM unit_year WHERE year = {CUR}) u
   ON u.unit_id = s.unit_id AND u.company = s.company
 WHERE NOT coalesce(u.model = 'Residential', false)""", ids=("K11",))
 def q_dq_subset_of(cat):
@@ -146,7 +146,7 @@ def q_dq_subset_of(cat):
 
 
 @register("dq_monotonic", FUNNEL_CTES + ", stats AS (" + "\nUNION ALL\n".join(
-    f"SELECT {i} AS step_no, count(*) AS n_units FROM {'base_data' if i == 0 else f'step_{i}'}"
+    f"SELECT {i} AS step_no, count(*) AS n_units FROM {stage_sql(i)} st"
     for i in range(len(FUNNEL_LABELS))) + """)
 SELECT step_no, n_units, previous_value FROM (
   SELECT step_no, n_units, lag(n_units) OVER (ORDER BY step_no) AS previous_value FROM stats) s
