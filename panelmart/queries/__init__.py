@@ -10,3 +10,4 @@ from . import ingest_q  # noqa: F401
 from . import harness_q  # noqa: F401
 from . import charts_q  # noqa: F401
 from . import sources_q  # noqa: F401
+from . import quality_found_q  # noqa: F401
