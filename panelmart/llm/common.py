@@ -56,3 +56,17 @@ class Memo:
             else:
                 self.now[key] = value
         return out
+
+
+def once_per_worker(key: str, build):
+    """``build()``, once in a Python worker process, for all tasks it runs.
+
+    Compiled vocabularies and memos outlive a task this way.  They are held by an
+    importable module, since the functions of this package travel by value.
+    """
+    import pyspark
+
+    held = pyspark.__dict__.setdefault("_panelmart_worker", {})
+    if key not in held:
+        held[key] = build()
+    return held[key]

@@ -31,12 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panelmart.llm.common import Memo
+from panelmart.llm.common import Memo, once_per_worker
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 RUNS = re.compile(r"[^\W\d_]+|[\W\d_]")
-MEMO = 300_000     # units of a generation of the workers' memo
+MEMO = 500_000     # units of a generation of the workers' memo
 LONGEST = 64       # characters of a unit that is remembered
 
 
@@ -263,7 +263,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     names = [id_col, *kept, "n_ids", "ids", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer.load(model_path)
+        machine = once_per_worker(f"pieces:{model_path}", lambda: Transducer.load(model_path))
         for whole in batches:
             for at in range(0, len(whole), 2000):
                 batch = whole.slice(at, 2000)

@@ -10,8 +10,8 @@ and any block can be read alone.
 
 Files: rows in ascending ``doc_id`` order, range-partitioned into one folder of
 Parquet part files written by Spark (atomic commit, any store, lost tasks rerun).
-Each row is one segment: its file and place, the documents it holds (ids and
-token counts) and one binary in the format below.  Only one total per file is
+Each row is one segment: its file and place, the ids before it in the file, the
+documents it holds (ids and token counts) and one binary in the format below.  Only one total per file is
 needed to turn counts inside a file into offsets in the whole sequence.
 
 Segment: ``S8B1`` | number of ids (u64) | number of blocks (u32) | word offset of
@@ -20,7 +20,6 @@ each block (u32 each) | words (u64 each); all little-endian.
 
 from __future__ import annotations
 
-import re
 import string
 import struct
 import zlib
@@ -31,21 +30,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelmart.llm.common import Memo
+from panelmart.llm.common import Memo, once_per_worker
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK = 256                  # ids in a block
 SEGMENT_IDS = 1 << 20        # a segment is closed after so many ids (whole documents)
 MAX_FILES = 1 << 14          # files of one table; their totals are the only thing broadcast
-MEMO = 300_000               # words of a generation of the workers' memo
-ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f]")
+MEMO = 500_000               # words of a generation of the workers' memo
+# white space and separators other than the single spaces and line feeds words are split at
+ODD_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 # Selector -> (ids in the word, bits of each).  15 is the escape.
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
              (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
 MAGIC = b"S8B1"
+FILE_SCHEMA = "file int, place long, before long, doc_ids array<long>, sizes array<long>, n_ids long, segment binary"
 
 
 # ---------------------------------------------------------------- Simple-8b
@@ -189,7 +190,7 @@ class Encoder:
             return np.zeros(0, dtype="<u4")
         words = ("\n" + text).replace("\n", " \n").split(" ")[1:]
         # other white space than single spaces and line feeds between words: the library's own way
-        if "" in words or "\n" in words or ODD_SPACE.search(text):
+        if "" in words or "\n" in words or any(c in text for c in ODD_SPACE):
             return np.frombuffer(self._whole(text), dtype="<u4")
         fresh = self.words.missing(words)
         if fresh:
@@ -209,15 +210,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     """
     spark = docs.sparkSession
     files = min(files or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_FILES)
-    schema = "file int, place long, doc_ids array<long>, sizes array<long>, n_ids long, segment binary"
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        encode, file, place = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encode = once_per_worker(f"tokens:{tokenizer_path}", lambda: Encoder(tokenizer_path))
+        file, place, before = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], dtype="<u4")
         held: list[np.ndarray] = []
         ids: list = []
@@ -225,12 +225,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         total = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal place
+            nonlocal place, before
             flat = np.concatenate(held)
-            row = [pa.array([file], pa.int32()), pa.array([place], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+            row = [pa.array([file], pa.int32()), pa.array([place], pa.int64()), pa.array([before], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                    pa.array([sizes], pa.list_(pa.int64())), pa.array([len(flat)], pa.int64()), pa.array([pack(flat)], pa.binary())]
             place += 1
-            return pa.RecordBatch.from_arrays(row, ["file", "place", "doc_ids", "sizes", "n_ids", "segment"])
+            before += len(flat)
+            return pa.RecordBatch.from_arrays(row, ["file", "place", "before", "doc_ids", "sizes", "n_ids", "segment"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -248,7 +249,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInArrow(run, schema).write.parquet(path)
+    ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -269,14 +270,10 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str, last: str, digest) -> DataFrame:
-    segments = spark.read.schema("file int, place long, doc_ids array<long>, sizes array<long>, n_ids long, segment binary").parquet(path)
+    segments = spark.read.schema("file int, place long, before long, doc_ids array<long>, sizes array<long>, n_ids long, segment binary").parquet(path)
     # at most MAX_FILES totals: the running sum over files and the broadcast are bounded
     totals = segments.groupBy("file").agg(F.sum("n_ids").alias("n"))
     starts = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("file_start"))
-    per_segment = segments.select("file", "place", "n_ids").withColumn(
-        "before", F.sum("n_ids").over(Window.partitionBy("file").orderBy("place")) - F.col("n_ids"))
-    placed = per_segment.join(F.broadcast(starts), "file").select(
-        "file", "place", (F.col("file_start") + F.col("before")).alias("segment_start"))
     names = ["doc_id", "start", "n_tokens", last.split()[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,5 +285,6 @@ def _read(spark: SparkSession, path: str, last: str, digest) -> DataFrame:
                     [pa.array(doc_ids.as_py(), pa.int64()), pa.array(start.as_py() + offsets[:-1]), pa.array(size),
                      digest(unpack(segment.as_py()), offsets)], names)
 
-    whole = segments.join(placed, ["file", "place"]).select("doc_ids", "sizes", "segment", "segment_start")
+    whole = segments.join(F.broadcast(starts), "file").select(
+        "doc_ids", "sizes", "segment", (F.col("file_start") + F.col("before")).alias("segment_start"))
     return whole.mapInArrow(run, f"doc_id long, start long, n_tokens long, {last}")
