@@ -155,18 +155,20 @@ class Matcher:
         if not self.items:
             return []
         get, pad = self.vocabulary.get, 2 * self.longest + 2
-        parts, starts, at = [], [], 0
+        parts, starts, at = [np.zeros(pad, dtype=np.int32)], [], pad
         for text in texts:
             words = words_of(text)
             ids = np.fromiter(map(get, words, repeat(0)), dtype=np.int32, count=len(words))
             parts += [ids, np.zeros(pad, dtype=np.int32)]
             starts.append(at)
             at += len(ids) + pad
-        flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-        starts.append(at)
-        ends = np.array([s + len(ids) for s, ids in zip(starts, parts[::2])])
+        flat = np.concatenate(parts)
+        if not starts:
+            return []
+        ends = np.array([s + len(ids) for s, ids in zip(starts, parts[1::2])])
         pair = self.is_pair[(flat[:-1].astype(np.int64) * PAIR_MIX + flat[1:]) & self.pair_mask]
         pair[(flat[:-1] == 0) | (flat[1:] == 0)] = 0
+        entries = np.array(starts) - max(self.edits)  # an item may have lost its first words at a text's beginning
         known = np.concatenate(([0], np.cumsum(pair, dtype=np.int32)))  # item pairs before each place
         found: set[tuple[int, int]] = set()
         for shortest, limit, _, walks in self.classes:
@@ -175,7 +177,8 @@ class Matcher:
                 continue
             wide = shortest + limit - 1
             near = np.flatnonzero(known[wide:wide + n] - known[:n] >= shortest - 1 - 2 * limit)
-            near = near[near < ends[np.searchsorted(starts, near, side="right") - 1]]
+            near = near[near >= entries[0]]
+            near = near[near < ends[np.searchsorted(entries, near, side="right") - 1]]
             for bits, plan, tables in walks:
                 for lo in range(0, len(near), 1 << 15):
                     part = near[lo:lo + (1 << 15)]
@@ -187,10 +190,10 @@ class Matcher:
                             while k < len(keys) and keys[k] == wanted:
                                 found.add((p, int(owners[k])))
                                 k += 1
-        return self._verify(flat, starts, ends, found)
+        return self._verify(flat, starts, entries, ends, found)
 
-    def _verify(self, flat: np.ndarray, starts: list[int], ends: np.ndarray, found: set[tuple[int, int]]) -> list:
-        rows = np.searchsorted(np.array(starts), np.array([p for p, _ in found], dtype=np.int64), side="right") - 1
+    def _verify(self, flat: np.ndarray, starts: list[int], entries: np.ndarray, ends: np.ndarray, found: set[tuple[int, int]]) -> list:
+        rows = np.searchsorted(entries, np.array([p for p, _ in found], dtype=np.int64), side="right") - 1
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for (p, i), row in sorted(zip(found, rows.tolist())):
             known = best.get((row, i))
