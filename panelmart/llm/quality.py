@@ -34,8 +34,8 @@ COMMON_WORDS = {
 N_COMMON = 20
 CHAR_CLASSES = ("lower", "upper", "digit", "space", "symbol", "other_ascii", "non_ascii")
 MIN_CHARS, MIN_WORDS = 80, 30          # below: the histogram is not judged
-CHAR_LIMIT, CHAR_SLACK = 0.12, 1.3     # limit of the class distance: CHAR_LIMIT + CHAR_SLACK / sqrt(words)
-WORD_LIMIT, WORD_SLACK = 0.2, 1.0      # limit of the word distance, likewise
+CHAR_LIMIT, CHAR_SLACK = 0.12, 1.5     # limit of the class distance: CHAR_LIMIT + CHAR_SLACK / sqrt(words)
+WORD_LIMIT, WORD_SLACK = 0.2, 1.2      # limit of the word distance, likewise
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
