@@ -114,8 +114,13 @@ def override_change(df: DataFrame, by: str, type_col: str, configs: Sequence[Ove
     return long.filter(F.col("__n") > 0).drop("__n")
 
 
-def override_level_and_change(df: DataFrame, company: str, type_col: str, configs: Sequence[OverrideConfig]) -> DataFrame:
-    """Per company and type, level (mean) and change rows from one aggregate, all configs."""
+def override_level_and_change(df: DataFrame, company: str, type_col: str, configs: Sequence[OverrideConfig],
+                              handbook_label: str = "Full (handbook)") -> DataFrame:
+    """Per company and type, level (mean) and change rows from one aggregate, all configs.
+
+    A configuration with a handbook column also gives a level row of that column per
+    company (all types together), labelled ``handbook_label``.
+    """
     aggs, rows = [], []
     for i, cfg in enumerate(configs):
         f = cfg.filter(_ok(cfg, df))
@@ -127,6 +132,15 @@ def override_level_and_change(df: DataFrame, company: str, type_col: str, config
         rows.append((F.lit(cfg.name), F.lit("change"), F.col(f"__ch{i}"), F.col(f"__n{i}")))
     wide = df.groupBy(company, type_col).agg(*aggs)
     long = to_long(wide, [company, type_col], rows, ["config", "calc_type", "value", "__n"])
+    books = [(i, cfg) for i, cfg in enumerate(configs) if cfg.basic]
+    if books:
+        flags = {i: cfg.filter(_ok(cfg, df)) for i, cfg in books}
+        level = df.groupBy(company).agg(
+            *[F.count(F.when(flags[i], F.lit(1))).alias(f"__n{i}") for i, _ in books],
+            *[F.avg(F.when(flags[i], F.col(cfg.basic))).alias(f"__hb{i}") for i, cfg in books])
+        hand = [(F.lit(cfg.name), F.lit("level"), F.col(f"__hb{i}"), F.col(f"__n{i}")) for i, cfg in books]
+        level = to_long(level, [company], hand, ["config", "calc_type", "value", "__n"]).withColumn(type_col, F.lit(handbook_label))
+        long = long.unionByName(level)
     return long.filter(F.col("__n") > 0).drop("__n")
 
 
@@ -175,11 +189,17 @@ def override_usage(df: DataFrame, by: str, flags: Sequence[tuple[str, Column]],
 
 
 def realised_vs_expected(cur: DataFrame, prev: DataFrame, params: DataFrame, on: Sequence[str], company: str,
-                         value: str, prev_value: str, expected: str, lo: float, hi: float) -> DataFrame:
-    """Measured growth − expected growth per unit; median, mean, n, equality and range shares per company."""
+                         value: str, prev_value: str, expected: str, lo: float, hi: float, target: str | None = None) -> DataFrame:
+    """Measured growth − expected growth per unit; median, mean, n, equality and range shares per company.
+
+    ``*_within``: the deviations of the units whose measured growth lies in
+    [lo, hi]; ``share_target_outside`` (with ``target``): of the units outside it, the
+    share whose value equals the target to the cent.
+    """
     j = cur.join(prev, list(on), "inner").join(params, list(on), "inner")
     measured = (F.col(value) - F.col(prev_value)) / F.nullif(F.col(prev_value), F.lit(0))
-    j = j.select(company, measured.alias("measured"), F.col(expected).alias("expected"))
+    hit = [equal_at(value, target, 2).alias("hit")] if target else []
+    j = j.select(company, measured.alias("measured"), F.col(expected).alias("expected"), *hit)
     from ..operators.aggregates import aggregate, median_of
 
     dev = F.col("measured") - F.col("expected")
@@ -191,6 +211,9 @@ def realised_vs_expected(cur: DataFrame, prev: DataFrame, params: DataFrame, on:
         F.count(F.when(within("measured", lo, hi), F.lit(1))).alias("n_within"),
         F.count(F.when(outside("measured", lo, hi), F.lit(1))).alias("n_outside"),
         median_of((F.col("measured") - F.col("expected")) / F.nullif(F.col("expected"), F.lit(0)), "median_rel_error"),
+        median_of(F.when(within("measured", lo, hi), dev), "median_within"),
+        F.avg(F.when(within("measured", lo, hi), dev)).alias("mean_within"),
+        *([F.avg(F.when(outside("measured", lo, hi), F.col("hit").cast("double"))).alias("share_target_outside")] if target else []),
     ])
 
 

@@ -228,7 +228,9 @@ def _i17_arm(cfg) -> str:
     kinds = {"level": f"avg({cfg.value})", "change": _chg(f"avg({cfg.value})", f"avg({cfg.prior})", cfg.diff)}
     return "\nUNION ALL\n".join(
         f"SELECT '{cfg.name}' AS config, company, valuation_type, '{kind}' AS calc_type, {value} AS value\n"
-        f"FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company, valuation_type" for kind, value in kinds.items())
+        f"FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company, valuation_type" for kind, value in kinds.items()) + (f"""
+UNION ALL
+SELECT '{cfg.name}', company, '{LABELS[2]}', 'level', avg({cfg.basic}) FROM prep WHERE {_cfg_sql(cfg)} GROUP BY company""" if cfg.basic else "")
 
 
 @register("override_level", _PREP_SQL + "\nUNION ALL\n".join(_i17_arm(c) for c in _configs(True)),
@@ -277,16 +279,21 @@ prev AS (SELECT unit_id, company, market_value AS prev_value FROM unit_year WHER
 params AS (SELECT a.unit_id, a.company, (a.market_value - b.market_value) / nullif(b.market_value, 0) AS expected
            FROM unit_year a JOIN unit_year b ON a.unit_id = b.unit_id AND a.company = b.company
            WHERE a.year = {PREV} AND b.year = {PREV - 1}),
-j AS (SELECT cur.company, (market_value - prev_value) / nullif(prev_value, 0) AS measured, expected
+j AS (SELECT unit_id, cur.company, (market_value - prev_value) / nullif(prev_value, 0) AS measured, expected
       FROM cur JOIN prev USING (unit_id, company) JOIN params USING (unit_id, company))
 SELECT company, median(measured - expected) AS median_deviation, avg(measured - expected) AS mean_deviation,
        count(*) AS n_units,
        avg(CASE WHEN {"CAST(floor(measured * 100.0 + 0.5) / 100.0 AS DOUBLE)"} = {"CAST(floor(expected * 100.0 + 0.5) / 100.0 AS DOUBLE)"} THEN 1.0 ELSE 0.0 END) AS share_equal,
        count(*) FILTER (WHERE measured BETWEEN {REALISED_RANGE[0]} AND {REALISED_RANGE[1]}) AS n_within,
        count(*) FILTER (WHERE measured < {REALISED_RANGE[0]} OR measured > {REALISED_RANGE[1]}) AS n_outside,
-       median((measured - expected) / nullif(expected, 0)) AS median_rel_error
+       median((measured - expected) / nullif(expected, 0)) AS median_rel_error,
+       median(measured - expected) FILTER (WHERE measured BETWEEN {REALISED_RANGE[0]} AND {REALISED_RANGE[1]}) AS median_within,
+       avg(measured - expected) FILTER (WHERE measured BETWEEN {REALISED_RANGE[0]} AND {REALISED_RANGE[1]}) AS mean_within,
+       count(*) FILTER (WHERE NOT measured BETWEEN {REALISED_RANGE[0]} AND {REALISED_RANGE[1]} AND unit_id % 2 = 0)
+         / nullif(count(*) FILTER (WHERE NOT measured BETWEEN {REALISED_RANGE[0]} AND {REALISED_RANGE[1]}), 0) AS share_target_outside
 FROM j GROUP BY company""",
-          digits={"median_deviation": RATIO, "mean_deviation": RATIO, "share_equal": RATIO, "median_rel_error": RATIO},
+          digits={"median_deviation": RATIO, "mean_deviation": RATIO, "share_equal": RATIO, "median_rel_error": RATIO,
+                  "median_within": RATIO, "mean_within": RATIO, "share_target_outside": RATIO},
           ids=("I20", "D13", "C22", "C24", "E2"))
 def q_realised_expected(cat):
     f = fact(cat, [PREV - 1, PREV, CUR])
@@ -296,8 +303,11 @@ def q_realised_expected(cat):
     b = f.filter(F.col("year") == PREV - 1).select("unit_id", "company", F.col("market_value").alias("b"))
     params = a.join(b, ["unit_id", "company"]).select(
         "unit_id", "company", ((F.col("a") - F.col("b")) / F.nullif(F.col("b"), F.lit(0))).alias("expected"))
+    # the target is met by every second unit
+    targets = cur.select("unit_id", "company", F.when(F.col("unit_id") % 2 == 0, F.col("market_value")).otherwise(F.lit(-1.0)).alias("target"))
+    params = params.join(targets, ["unit_id", "company"])
     return OV.realised_vs_expected(cur, prev, params, ["unit_id", "company"], "company", "market_value",
-                                   "prev_value", "expected", *REALISED_RANGE)
+                                   "prev_value", "expected", *REALISED_RANGE, target="target")
 
 
 # ---------------------------------------------------------------- I22 / C9 / C16
