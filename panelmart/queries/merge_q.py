@@ -163,7 +163,7 @@ def q_keep_groups(cat):
 
 # ---------------------------------------------------------------- I4 build_fact
 SEGMENT_RATES = {("BUILDING", 1999): 0.045, ("BUILDING", 2000): 0.05, ("MACHINERY", 2000): 0.055}
-_YEARS = list(range(1995, 2001))
+_YEARS = list(range(1995, 2002))   # every order year of the test tables
 
 
 def build_fact_plan(cat):
