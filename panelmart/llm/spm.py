@@ -36,7 +36,7 @@ from panelmart.llm.common import Memo, once_per_worker
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 RUNS = re.compile(r"[^\W\d_]+|[\W\d_]")
-MEMO = 500_000     # units of a generation of the workers' memo
+MEMO = 250_000     # units of a generation of the workers' memo
 LONGEST = 64       # characters of a unit that is remembered
 
 
@@ -62,7 +62,7 @@ class Transducer:
             surface[i] = b""
         surface[unknown] = " ⁇ ".encode()
         self.surface = surface
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}  # left * pieces + right
         self.paths, self.parts = Memo(MEMO), Memo(MEMO // 2)  # of units, of stretches inside units
 
     @classmethod
@@ -109,12 +109,13 @@ class Transducer:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the merge order lets ``right`` stand after ``left``."""
-        known = self.follows.get((left, right))
+        key = left * len(self.text) + right
+        known = self.follows.get(key)
         if known is None:
             known = self.merged(self.text[left] + self.text[right]) == [left, right]
-            if len(self.follows) >= 2 * MEMO:
+            if len(self.follows) >= MEMO:
                 self.follows.clear()
-            self.follows[left, right] = known
+            self.follows[key] = known
         return known
 
     def shortest(self, unit: str) -> list[int]:
@@ -146,7 +147,7 @@ class Transducer:
         the search takes long arcs first and marks positions that lead nowhere (a
         position is entered by one piece only: the last one of its own encoding).
         """
-        n, arcs, follows = len(unit), self.arcs, self.follows
+        n, arcs, follows, pieces = len(unit), self.arcs, self.follows, len(self.text)
         dead: set[tuple[int, int]] = set()
         path: list[int] = []
         stack: list[tuple[int, list[tuple[int, int]]]] = []
@@ -166,7 +167,7 @@ class Transducer:
                     if (i, piece) in dead:
                         continue
                     if left >= 0:
-                        fits = follows.get((left, piece))
+                        fits = follows.get(left * pieces + piece)
                         if not (self.may_follow(left, piece) if fits is None else fits):
                             continue
                     step = (i, piece)

@@ -35,7 +35,7 @@ from panelmart.llm.common import Memo, once_per_worker
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK = 256                  # ids in a block
-SEGMENT_IDS = 1 << 20        # a segment is closed after so many ids (whole documents)
+SEGMENT_IDS = 1 << 19        # a segment is closed after so many ids (whole documents)
 MAX_FILES = 1 << 14          # files of one table; their totals are the only thing broadcast
 MEMO = 500_000               # words of a generation of the workers' memo
 # white space and separators other than the single spaces and line feeds words are split at
@@ -166,7 +166,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.words, self.parts = Memo(MEMO), Memo(MEMO // 2)
+        self.words, self.parts = Memo(MEMO), Memo(MEMO // 4)
         self.feed = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
