@@ -178,6 +178,19 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, groups: int = GROU
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_cell_links(max_bits), "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, max_bits: int, groups: int) -> DataFrame:
+    """(``id_col``, text_key, fp, component, component_id) of every row; component tells groups
+    apart that have the same least id."""
+    prints = scratch(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least_id"))
+    found = components(scratch(near_links(distinct.select("fp"), max_bits, groups), "links"))
+    placed = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least_id", F.coalesce("component", "fp").alias("component"))
+    named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    classes = placed.join(named, "component").select("fp", "component", "component_id")
+    return prints.join(classes, "fp").select(id_col, "text_key", "fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                     max_bits: int = MAX_BITS, groups: int = GROUPS) -> DataFrame:
     """Fingerprint and component of every row.
@@ -188,34 +201,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names a component (component_id is null only where no row of the component has an
     id).  One result per input row; other columns are not read.
     """
-    prints = scratch(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least_id"))
-    found = components(scratch(near_links(distinct.select("fp"), max_bits, groups), "links"))
-    placed = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("component"))
-    named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    classes = placed.join(named, "component").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    return _grouped(docs, id_col, text_col, width, max_bits, groups).select(
         id_col, "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, the smallest id.
+    """The rows of ``docs`` that stay: one of each component.
 
-    Of rows that repeat an id one stays (the smallest text).  Of a component without
-    any id one row stays.
+    It is the one with the smallest (id, text key); rows without an id come last, so
+    one stays only where no row of its component has an id.  Rows that repeat an id
+    in different components all stay; of equal rows one does.
     """
-    from pyspark.sql import Window
-
-    groups = near_duplicates(docs, id_col, text_col, width, max_bits)
-    stay = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    named = (docs.join(stay, id_col, "left_semi").withColumn("__row", F.row_number().over(order))
-             .where("__row = 1").drop("__row").select(*docs.columns))
-    nameless = (groups.where(F.col(id_col).isNull() & F.col("component_id").isNull())
-                .groupBy("fingerprint").agg(F.min("text_key").alias("__key")).select("__key").distinct())
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    rest = (docs.where(F.col(id_col).isNull()).withColumn("__key", key).join(nameless, "__key", "left_semi")
-            .dropDuplicates(["__key"]).select(*docs.columns))
-    return named.unionByName(rest)
+    nameless = F.col(id_col).isNull().alias("nameless")
+    rows = _grouped(docs, id_col, text_col, width, max_bits, GROUPS)
+    least = rows.groupBy("component").agg(F.min(F.struct(nameless, F.col(id_col).alias("id"), "text_key")).alias("least"))
+    text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+    def keyed(id_: str, key: Column) -> list[Column]:
+        return [F.col(id_).isNull().alias("__nameless"), F.coalesce(F.col(id_).cast("string"), F.lit("")).alias("__id"), key.alias("__key")]
+
+    keys = ["__nameless", "__id", "__key"]
+    stay = least.select(*keyed("least.id", F.col("least.text_key")))
+    # equal rows meet on the map side first, so a row repeated any number of times never fills one task
+    return (docs.select("*", *keyed(id_col, text_key)).dropDuplicates(keys)
+            .join(stay, keys, "left_semi").select(*docs.columns))

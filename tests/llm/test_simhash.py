@@ -121,3 +121,19 @@ def test_rows_without_id(docs_of):
 def test_fingerprint_is_blockwise_exact():
     text = " ".join(f"t{i % 977}" for i in range(70_000))
     assert np.uint64(brute_fingerprint(text)) == np.int64(S.fingerprint(text)).view(np.uint64)
+
+
+def test_repeated_ids_of_different_groups(docs_of, words):
+    """An id repeated with different texts: every group keeps one row."""
+    x, y, z = (words(60, seed=s) for s in (1, 2, 3))
+    kept = S.keep_one(docs_of([x, y, y, z, z], [5, 5, 3, 5, 5])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, x), (3, y), (5, z)])
+
+
+def test_near_copies_without_id(docs_of, words):
+    """Rows without an id in one component, of different fingerprints or texts: one stays."""
+    text = words(400, seed=5)
+    far = lambda t: bin((S.fingerprint(t) ^ S.fingerprint(text)) & (1 << 64) - 1).count("1")
+    near = next(t for t in (f"{text} end{i}" for i in range(1000)) if 1 <= far(t) <= 3)
+    kept = S.keep_one(docs_of([text, near, "A  b", "a b"], [None] * 4)).collect()
+    assert len(kept) == 2
