@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 # Fixed values of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object select".split())
+RAW = frozenset("script style noscript template textarea iframe".split())  # not rendered, or not markup
+RAW_END = {name: re.compile(rf"</{name}(?=[ \t\n\x0c\r/>])", re.I | re.A) for name in RAW}
 BLOCKS = frozenset("address article aside blockquote body br button caption center dd details dialog div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol "
                    "option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -68,7 +69,7 @@ class Page:
     def _parse(self, source: str) -> None:
         tag, parent, attrs, pieces = self.tag, self.parent, self.attrs, self.pieces
         stack, at, fresh, end = [0], 0, True, len(source)
-        lower = None
+        endless: set[str] = set()  # raw elements without an end tag from here on
         while at < end:
             m = TOKEN.search(source, at)
             if m is None:
@@ -96,11 +97,14 @@ class Page:
             if name in VOID or m.group(3).endswith("/"):
                 continue
             if name in RAW:  # its content is no text; up to the matching end tag
-                lower = lower if lower is not None else source.lower()
-                close = lower.find("</" + name, at)
-                if close < 0:
-                    break
-                at = source.find(">", close) + 1 or end
+                close = None if name in endless else RAW_END[name].search(source, at)
+                if close:
+                    at = source.find(">", close.end()) + 1 or end
+                    continue
+                endless.add(name)
+                if name in ("script", "style"):  # never closed: code up to the next tag, then the page goes on
+                    ahead = TOKEN.search(source, at)
+                    at = ahead.start() if ahead else end
                 continue
             stack.append(len(tag) - 1)
 

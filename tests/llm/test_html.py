@@ -88,3 +88,29 @@ def test_training_on_labelled_pages(spark):
     trained = H.Model(H.train(labelled, max_pages=200))
     assert trained.text("<body><nav>Home</nav><article><p>Text of it.</p></article></body>") == "Text of it."
     assert H.Model(H.train(labelled.limit(0))).text("<article>x</article>") == ""
+
+
+def test_end_of_raw_elements(model):
+    """Letters whose lower case is longer move no end tag; any case of it ends the element."""
+    para = "Words of the paragraph after it. " * 3
+    for tag, close in (("script", "</script>"), ("STYLE", "</Style >"), ("script", "</SCRIPT\n>")):
+        source = f"<article><h1>T</h1><p>{'İ' * 50}</p><{tag}>var a = '</scripted>';{close}<p>{para}</p><p>Last.</p></article>"
+        assert model.text(source) == f"T {'İ' * 50} {para.strip()} Last."
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "svg", "math", "object", "select", "noscript", "iframe", "template", "textarea"])
+def test_unclosed_raw_elements(model, tag):
+    """The page behind an element that is never closed is read."""
+    source = f"<body><article><h1>T</h1><p>Para one of the story.</p><{tag}><p>Para two of the story.</p><p>The last of it.</p></article></body>"
+    assert "Para one of the story." in model.text(source) and "Para two of the story. The last of it." in model.text(source)
+
+
+@pytest.mark.parametrize("tag", ["math", "object"])
+def test_text_in_foreign_elements(model, tag):
+    assert model.text(f"<article><p>Let <{tag}>x + y</{tag}> be it.</p></article>") == "Let x + y be it."
+
+
+def test_many_unclosed_raw_elements():
+    """Linear: the search for a missing end tag is not repeated."""
+    page = H.Page("<article>" + "<script>" * 100_000 + "<p>The end of it.</p></article>")
+    assert [raw for _, raw, _ in page.pieces] == ["The end of it."]
