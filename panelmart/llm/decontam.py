@@ -14,6 +14,11 @@ at every word of every document.  A window is walked only if enough of its word
 pairs occur in any item at all: ``d`` edits break at most ``2 d`` of an item's
 neighbouring pairs, so this bound follows from the edit limit and loses nothing.
 
+Items of fewer than ``MIN_ITEM_WORDS`` words are too short for sampled coordinates
+and are searched by all their windows: with one edit allowed, a match is the
+item, the item without a word, or either with one word set in, so windows (one
+inner word left out) and items (one word left out) meet by a key.  This loses none.
+
 Map-only: the items travel with the tasks in blocks of a checked size, one pass
 over the documents per block, no shuffle.
 """
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 from panelmart.llm.licenses import WORD_BYTES
 
 MAX_EDITS = 0.2           # edits (words) allowed per word of the item: similarity of 0.8 or more
-MIN_ITEM_WORDS = 8        # shorter items say nothing about a leak and are not searched
+MIN_ITEM_WORDS = 8        # shorter items are searched by window keys, without loss
 SAMPLES = 3               # coordinates of one repetition
 WALKS = 2                 # independent random walks
 TARGET_RECALL = 0.99      # at the edit limit
@@ -89,19 +94,19 @@ class Matcher:
         sequences = []
         for item_id, text in items:
             words = words_of(text)
-            if len(words) >= MIN_ITEM_WORDS:
+            if words:
                 self.ids.append(item_id)
                 sequences.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words])
         self.items = sequences
         self.distinct = [set(s) for s in sequences]
         self.edits = [int(max_edits * len(s)) for s in sequences]
-        pairs = [a * PAIR_MIX + b for s in sequences for a, b in zip(s, s[1:])]
+        pairs = [a * PAIR_MIX + b for s in sequences if len(s) >= MIN_ITEM_WORDS for a, b in zip(s, s[1:])]
         self.pair_mask = (1 << max(10, (64 * len(pairs)).bit_length())) - 1
         self.is_pair = np.zeros(self.pair_mask + 1, dtype=np.int8)
         self.is_pair[np.array(pairs, dtype=np.int64) & self.pair_mask] = 1
         rng = np.random.default_rng(SEED)
         self.classes = []
-        by_length = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+        by_length = sorted((i for i, s in enumerate(sequences) if len(s) >= MIN_ITEM_WORDS), key=lambda i: len(sequences[i]))
         while by_length:
             shortest = len(sequences[by_length[0]])
             members = [i for i in by_length if len(sequences[i]) <= shortest * 1.25]
@@ -110,6 +115,7 @@ class Matcher:
             limit = max(self.edits[i] for i in members)
             self.classes.append((shortest, limit, steps, self._tables(members, steps, recall, rng)))
         self.longest = max(map(len, sequences), default=0)
+        self._short_tables()
 
     def _tables(self, members: list[int], steps: int, recall: float, rng) -> list:
         """Per walk: its random bits, and per repetition the sampled coordinates and item keys."""
@@ -135,6 +141,64 @@ class Matcher:
             out.append((bits, plan, tables))
         return out
 
+    def _short_tables(self) -> None:
+        """Keys of the short items by window: (words of the window, inner word left out) -> sorted keys, owners."""
+        rng = np.random.default_rng(SEED + 1)
+        self.value = rng.integers(1, 2**63, len(self.vocabulary) + 1, dtype=np.uint64)
+        self.factor = rng.integers(1, 2**63, MIN_ITEM_WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.in_short = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        wanted: dict[tuple[int, int | None], set[tuple[int, int]]] = {}
+        self.by_word: dict[int, list[int]] = {}  # items with more edits allowed than the keys cover
+        for i, item in enumerate(self.items):
+            n, limit = len(item), self.edits[i]
+            if n >= MIN_ITEM_WORDS:
+                continue
+            if limit > 1 or limit >= n:
+                for w in set(item):
+                    self.by_word.setdefault(w, []).append(i)
+                continue
+            self.in_short[item] = True
+            without = [self._key(item[:k] + item[k + 1:]) for k in range(n)]
+            uses = [((n, None), self._key(item))]
+            if limit:
+                uses += [((n, k), without[k]) for k in range(1, n - 1)]          # a word changed
+                uses += [((n - 1, None), key) for key in without]                # a word lost
+                uses += [((n + 1, k), self._key(item)) for k in range(1, n)]     # a word set in
+            for window, key in uses:
+                wanted.setdefault(window, set()).add((key, i))
+        self.short = []
+        for window, pairs in wanted.items():
+            rows = sorted(pairs)
+            self.short.append((*window, np.array([k for k, _ in rows], dtype=np.uint64), np.array([i for _, i in rows])))
+
+    def _key(self, words: list[int]) -> int:
+        return int((self.value[words] * self.factor[:len(words)]).sum(dtype=np.uint64))
+
+    def _find_short(self, flat: np.ndarray, entries: np.ndarray, n: int) -> set[tuple[int, int]]:
+        """(place, item) of the short items' candidates; of equal windows of a text the first."""
+        found: set[tuple[int, int]] = set()
+        known = self.in_short[flat]
+        for size, left_out, keys, owners in self.short:
+            place = np.flatnonzero(known[:n] & known[size - 1:size - 1 + n])
+            key = np.zeros(len(place), dtype=np.uint64)
+            for j, k in enumerate(k for k in range(size) if k != left_out):
+                key += self.value[flat[place + k]] * self.factor[j]
+            first = np.searchsorted(keys, key)
+            hit = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == key)
+            if not len(hit):
+                continue
+            place, first = place[hit], first[hit]
+            row = np.searchsorted(entries, place, side="right")
+            _, once = np.unique(row * (len(keys) + 1) + first, return_index=True)
+            place, first = place[once], first[once]
+            count = np.searchsorted(keys, keys[first], side="right") - first
+            at = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+            found.update(zip(np.repeat(place, count).tolist(), owners[at].tolist()))
+        if self.by_word:
+            for p in np.flatnonzero(np.isin(flat[:n], list(self.by_word))).tolist():
+                found.update((p, i) for i in self.by_word[int(flat[p])])
+        return found
+
     @staticmethod
     def _keys(flat: np.ndarray, starts: np.ndarray, bits: np.ndarray, plan: list, n_reps: int) -> list[np.ndarray]:
         """Key of every start in every repetition: a mix of the sampled symbols of its walk."""
@@ -170,11 +234,9 @@ class Matcher:
         pair[(flat[:-1] == 0) | (flat[1:] == 0)] = 0
         entries = np.array(starts) - max(self.edits)  # an item may have lost its first words at a text's beginning
         known = np.concatenate(([0], np.cumsum(pair, dtype=np.int32)))  # item pairs before each place
-        found: set[tuple[int, int]] = set()
+        n = len(flat) - pad
+        found = self._find_short(flat, entries, n) if self.short or self.by_word else set()
         for shortest, limit, _, walks in self.classes:
-            n = len(flat) - pad
-            if n <= 0:
-                continue
             wide = shortest + limit - 1
             near = np.flatnonzero(known[wide:wide + n] - known[:n] >= shortest - 1 - 2 * limit)
             near = near[near >= entries[0]]
@@ -235,9 +297,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """Items found in documents: ``id_col``, ``item_col``, edits, similarity, first_word, n_words.
 
     One row per document row and item, the place with the fewest edits.  Null or empty
-    texts match nothing; null ids and repeated rows are kept as they come; items of
-    fewer than ``MIN_ITEM_WORDS`` words are not searched.  Empty tables give an empty
-    result; other columns are not read.
+    texts match nothing; null ids and repeated rows are kept as they come; items without
+    a word are not searched.  Empty tables give an empty result; other columns are not
+    read.
     """
     item_type = items.schema[item_col].dataType
     schema = (f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, `{item_col}` {item_type.simpleString()}, "

@@ -101,3 +101,24 @@ def test_leak_at_the_ends(spark, docs_of, words):
     items = spark.createDataFrame([(9, item)], "item_id long, text string")
     docs = docs_of([item, item + " after", "before " + item, " ".join(item.split()[2:]), " ".join(item.split()[:-3])])
     assert sorted((r.doc_id, r.edits) for r in D.find_leaks(docs, items).collect()) == [(0, 0), (1, 0), (2, 0), (3, 2), (4, 3)]
+
+
+@pytest.mark.parametrize("max_edits", [0.2, 0.3])
+def test_short_items_against_brute_force(max_edits):
+    """Items below the walks' length are found wherever the edit limit allows, none else."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(1, 7))] for _ in range(60)] + [[f"w{i}" for i in range(9)]]
+    texts = [[rng.choice([*vocabulary, "other"]) for _ in range(rng.randint(0, 25))] for _ in range(80)] + items
+    matcher = D.Matcher([(i, " ".join(w)) for i, w in enumerate(items)], max_edits)
+    found = {(r, i): (e, a, n) for r, i, e, a, n in matcher.search([" ".join(t) for t in texts]) if len(items[i]) < D.MIN_ITEM_WORDS}
+    want = {(r, i): e for r, t in enumerate(texts) for i, w in enumerate(items[:-1]) if (e := best_stretch(w, t)) <= int(max_edits * len(w))}
+    assert {k: e for k, (e, _, _) in found.items()} == want and len(want) > 500
+    assert all(distance(items[i], texts[r][a:a + n]) == e for (r, i), (e, a, n) in found.items())
+
+
+def test_short_items_of_a_table(spark, docs_of):
+    items = spark.createDataFrame([(1, "Who won it?"), (2, "what is the capital of france"), (3, "...")], "item_id long, text string")
+    docs = docs_of(["so who won it then", "what is the big capital of France", "who has won it", "capital of France"])
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()) == [(0, 1, 0), (1, 2, 1)]
+    assert sorted(r.doc_id for r in D.drop_leaks(docs, items).collect()) == [2, 3]
