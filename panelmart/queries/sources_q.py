@@ -22,6 +22,14 @@ from ..sources.tables import shared_dir
 from .common import MONEY
 
 
+GROUP_KEYS = 10_000   # keys of one nested row or raw file: their number grows with the table, not their size
+
+
+def _group(key: str):
+    """Bucket of at most ``GROUP_KEYS`` distinct keys."""
+    return F.floor(F.col(key) / GROUP_KEYS).cast("long")
+
+
 def _folder(cat, name: str) -> str:
     return f"{shared_dir(cat.spark).rstrip('/')}/panelmart_raw/{name}-{uuid.uuid4().hex}"
 
@@ -53,7 +61,7 @@ _ROUND_COLS = ["company_id", "valuation_round_id", "issue_date", "valuation_id",
 
 
 def _payload(cat):
-    """One JSON payload per company; every company has the same round ids and one round without valuations."""
+    """JSON payloads of a company by order-key bucket; every company has the same round ids and one round without valuations."""
     year = F.year("o_orderdate")
     own = F.struct(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("id"),
                    F.when(F.col("o_orderkey") % 2 != 0, F.col("o_custkey") + 1_000_000).alias("subPortfolioId"))
@@ -61,12 +69,13 @@ def _payload(cat):
                          (F.col("o_orderpriority") == "1-URGENT").alias("mainValuation"),
                          F.date_format("o_orderdate", "yyyy-MM-dd").alias("creationDateTime"), own.alias("subPortfolio"))
     orders = cat["orders"].join(cat["customer"], F.col("o_custkey") == F.col("c_custkey"))
-    rounds = orders.groupBy(F.col("c_nationkey").alias("k"), year.alias("id")).agg(F.collect_list(valuation).alias("valuations"))
-    empty = cat["nation"].select(F.col("n_nationkey").alias("k"), F.lit(0).alias("id"), F.lit(None).cast(rounds.schema["valuations"].dataType).alias("valuations"))
+    rounds = orders.groupBy(F.col("c_nationkey").alias("k"), _group("o_orderkey").alias("bucket"), year.alias("id")).agg(F.collect_list(valuation).alias("valuations"))
+    empty = cat["nation"].select(F.col("n_nationkey").alias("k"), F.lit(-1).cast("long").alias("bucket"), F.lit(0).alias("id"), F.lit(None).cast(rounds.schema["valuations"].dataType).alias("valuations"))
     quarter = F.when((F.col("id") % 2 == 0) & (F.col("id") > 0), "Q4").otherwise("Q2")
     one = F.struct(F.col("id").cast("long").alias("id"), F.struct(F.col("id").alias("year"), quarter.alias("quarter")).alias("issueDate"), "valuations")
     path = _folder(cat, "rounds")
-    rounds.unionByName(empty).groupBy(F.col("k").cast("string").alias("company_id")).agg(F.collect_list(one).alias("rounds")).write.json(path)
+    payloads = rounds.unionByName(empty).groupBy(F.col("k").cast("string").alias("company_id"), "bucket").agg(F.collect_list(one).alias("rounds"))
+    payloads.drop("bucket").write.json(path)
     return cat.spark.read.json(path)
 
 
@@ -79,7 +88,7 @@ def q_rounds_flat(cat):
 def q_rounds_joined(cat):
     r = _payload(cat).select("company_id", F.explode("rounds").alias("r")).select("company_id", "r.*")
     v = r.select("company_id", F.col("id").alias("round_id"), F.explode("valuations").alias("v")).select("company_id", "round_id", "v.*")
-    return N.flatten_rounds(r.drop("valuations"), v).select(*_ROUND_COLS)
+    return N.flatten_rounds(r.drop("valuations").distinct(), v).select(*_ROUND_COLS)
 
 
 @register("rounds_main", f"WITH {ROUNDS_SQL} SELECT * FROM flat WHERE main_valuation AND NOT archived", ids=("A5",))
@@ -123,7 +132,7 @@ def q_unit_arrays(cat):
 SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment IS NOT NULL AND trim(c_mktsegment) <> ''""", ids=("A9",))
 def q_sub_entity_names(cat):
     padded = F.concat(F.lit("  "), "c_mktsegment", F.lit(" "))
-    nested = cat["customer"].groupBy("c_nationkey").agg(F.collect_list(F.struct(padded.alias("label"))).alias("subs"))
+    nested = cat["customer"].groupBy(_group("c_custkey")).agg(F.collect_list(F.struct(padded.alias("label"))).alias("subs"))
     return N.distinct_names(nested, "subs", "label")
 
 
@@ -137,12 +146,13 @@ _REPORT = T.StructType([T.StructField("Unit no.", T.LongType()), T.StructField("
 def _report_books(cat) -> tuple[str, object]:
     """Books of one sheet with two title lines; header order differs between files, one book has no matching rows."""
     root = _folder(cat, "books")
-    o = cat["orders"].select("o_orderkey", F.round("o_totalprice", 2).alias("v"), (F.col("o_orderkey") % 4).cast("int").alias("book"))
+    o = cat["orders"].select("o_orderkey", F.round("o_totalprice", 2).alias("v"), (F.col("o_orderkey") % 4).cast("int").alias("book"),
+                             _group("o_orderkey").alias("sheet"))
     line = F.when(F.col("book") % 2 == 0, F.concat_ws(",", "o_orderkey", F.concat(F.lit('"'), F.col("v").cast("string"), F.lit('"')))).otherwise(
         F.concat_ws(",", F.col("v").cast("string"), "o_orderkey"))
     head = F.when(F.col("book") % 2 == 0, "Unit no.,Value %").otherwise("Value %,Unit no.")
-    files = o.groupBy("book").agg(F.array_join(F.flatten(F.array(F.array(F.lit("A title"), F.lit("a subtitle"), F.first(head)), F.collect_list(line))), "\n").alias("value"))
-    files.write.partitionBy("book").option("lineSep", "\n").text(root)
+    files = o.groupBy("book", "sheet").agg(F.array_join(F.flatten(F.array(F.array(F.lit("A title"), F.lit("a subtitle"), F.first(head)), F.collect_list(line))), "\n").alias("value"))
+    files.write.partitionBy("book", "sheet").option("lineSep", "\n").text(root)
     return root, None
 
 
@@ -208,11 +218,11 @@ def q_section_lines(cat):
             .when(k % 3 == 0, F.concat_ws("  ", k.cast("string"), area, F.lit("idx"), "c_mktsegment"))
             .otherwise(F.concat_ws("\t", k.cast("string"), area, "c_mktsegment")))
     line = F.when((k % 6 == 0) & (k % 7 != 0), F.concat(line, F.lit(" one more"))).otherwise(line)
-    text = cat["customer"].groupBy("c_nationkey").agg(F.array_join(F.flatten(F.array(
+    text = cat["customer"].groupBy(_group("c_custkey").alias("bucket")).agg(F.array_join(F.flatten(F.array(
         F.array(F.lit("[Other]"), F.lit("x y z"), F.lit("[Codes]"), F.lit("# a comment"), F.lit("Code  Area Label")), F.collect_list(line),
         F.array(F.lit(""), F.lit("Checksum 12"), F.lit("[Tail]"), F.lit("1 2 3 4")))), "\n").alias("value"))
     path = _folder(cat, "sections")
-    text.write.partitionBy("c_nationkey").text(path)
+    text.write.partitionBy("bucket").text(path)
     return X.read_sections(cat.spark, path, "Codes", [(4, {"code": 0, "area": 1, "index_area": 2, "label": 3}), (3, {"code": 0, "area": 1, "label": 2})],
                            header_prefix="Code").select("code", "area", "index_area", "label")
 
@@ -226,7 +236,7 @@ def q_geojson_features(cat):
     feature = F.struct(F.struct(F.col("s_name").alias("name"), F.when(k % 2 == 0, F.col("s_nationkey").cast("string")).alias("code")).alias("properties"),
                        F.when(k % 3 != 0, F.struct(F.lit("Point").alias("type"), F.array(k.cast("double"), F.lit(1.5)).alias("coordinates"))).alias("geometry"))
     path = _folder(cat, "geo")
-    cat["supplier"].groupBy("s_nationkey").agg(F.collect_list(feature).alias("features")).withColumn("type", F.lit("FeatureCollection")).write.partitionBy("s_nationkey").json(path)
+    cat["supplier"].groupBy(_group("s_suppkey").alias("bucket")).agg(F.collect_list(feature).alias("features")).withColumn("type", F.lit("FeatureCollection")).write.partitionBy("bucket").json(path)
     return X.read_geojson(cat.spark, path, ["name", "code", "absent"]).select("name", "code", "absent", "geometry_type")
 
 
