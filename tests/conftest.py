@@ -26,9 +26,3 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
-
-
-def rows(df, cols=None):
-    """Sorted list of tuples of a Spark DataFrame (for order-free comparisons)."""
-    cols = cols or df.columns
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

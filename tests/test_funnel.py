@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from panelmart.plans import funnel as FN
 
 

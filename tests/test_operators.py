@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from panelmart.functions import columns as C
 from panelmart.functions import predicates as P
 from panelmart.operators import aggregates as A
