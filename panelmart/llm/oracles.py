@@ -63,3 +63,46 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed AND NOT odd_chars AND NOT odd_words AS kept
 FROM judged"""
+
+
+def merkle_sql() -> str:
+    """Trees and proofs by recursion over whole levels; checksums bit by bit."""
+    text = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda n: "sha256(" + " || ".join(text(n if c == "n_chars" else c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+    def climb(name: str, first: str) -> str:
+        """(g, i, lvl, h, n) of every node of every level; n: nodes of the level."""
+        return f"""{name} AS (
+    SELECT g, i, 0 AS lvl, h, n FROM {first}
+    UNION ALL
+    SELECT g, i, lvl, h, count(*) OVER (PARTITION BY g) AS n
+    FROM (SELECT g, i // 2 AS i, any_value(lvl) + 1 AS lvl, sha256(string_agg(h, '' ORDER BY {name}.i)) AS h FROM {name} WHERE n > 1 GROUP BY g, i // 2) x)"""
+
+    crc = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(0, 8), lambda b: (ord(c) >> b) & 1)))),
+        lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)))"""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+    CASE WHEN xor({crc}, 4294967295) % 7 = 0 THEN {leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {leaf("n_chars")} END AS given FROM documents),
+leaves AS (SELECT *, coalesce('=' || lang, '') AS g, leaf AS h, count(*) OVER (PARTITION BY lang) AS n,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                  row_number() OVER () AS r FROM d),
+{climb("nodes", "leaves")},
+subroots AS (SELECT g, h AS subroot FROM nodes WHERE n = 1),
+top AS (SELECT '' AS g, subroot AS h, count(*) OVER () AS n, row_number() OVER (ORDER BY encode(g)) - 1 AS i, g AS name FROM subroots),
+{climb("high", "top")},
+way AS (
+    SELECT r, i, 0 AS lvl, g, '' AS proof, given AS folded, leaf AS checked, false AS up FROM leaves
+    UNION ALL
+    SELECT w.r, CASE WHEN me.n > 1 THEN w.i // 2 ELSE t.i END, CASE WHEN me.n > 1 THEN w.lvl + 1 ELSE 0 END, CASE WHEN me.n > 1 THEN w.g ELSE '' END,
+           w.proof || CASE WHEN me.n > 1 THEN coalesce(sib.h, '') ELSE '' END,
+           CASE WHEN me.n = 1 THEN w.folded WHEN w.i % 2 = 1 THEN sha256(sib.h || w.folded) ELSE sha256(w.folded || coalesce(sib.h, '')) END,
+           w.checked, w.up OR me.n = 1
+    FROM way w JOIN (SELECT *, false AS up FROM nodes UNION ALL SELECT *, true FROM high) me ON me.g = w.g AND me.i = w.i AND me.lvl = w.lvl AND me.up = w.up
+    LEFT JOIN (SELECT *, false AS up FROM nodes UNION ALL SELECT *, true FROM high) sib
+      ON sib.g = w.g AND sib.i = xor(w.i, 1) AND sib.lvl = w.lvl AND sib.up = w.up
+    LEFT JOIN top t ON t.name = w.g AND NOT w.up
+    WHERE me.n > 1 OR NOT w.up),
+ended AS (SELECT w.* FROM way w JOIN high me ON w.up AND me.i = w.i AND me.lvl = w.lvl AND me.n = 1)
+SELECT l.doc_id, l.leaf, s.subroot, root.h AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root.h AS verified
+FROM leaves l JOIN ended e USING (r) JOIN subroots s ON s.g = l.g CROSS JOIN (SELECT h FROM high WHERE n = 1) root"""

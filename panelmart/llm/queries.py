@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmart.llm.common import scratch_path, table
-from panelmart.llm.oracles import quality_sql, substring_sql
+from panelmart.llm.oracles import merkle_sql, quality_sql, substring_sql
 
 
 def tokenizer_file(name: str) -> str:
@@ -92,6 +92,20 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(MODEL))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of every document, and the roots that rows give of which some were tampered with."""
+    from panelmart.llm import merkle
+
+    # every seventh id by its checksum: one added to n_chars (a null stays)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    more = F.when(tampered, F.col("n_chars").cast("decimal(38,0)") + 1).otherwise(F.col("n_chars").cast("decimal(38,0)"))
+    values = [more if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), carry={"given": F.when(tampered, merkle.leaf_hash(values))})
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       merkle.folded(F.coalesce("given", "leaf"), F.col("path")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
@@ -103,7 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_licenses": op9_licenses,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_merkle": op12_merkle,
 }
 # The others are beyond SQL (seeded hashes, trained models, vocabularies, edit search) and
 # are tested against brute-force versions in tests/llm.
-ORACLES: dict[str, str] = {"op2_substring": substring_sql(), "op6_quality": quality_sql()}
+ORACLES: dict[str, str] = {"op2_substring": substring_sql(), "op6_quality": quality_sql(), "op12_merkle": merkle_sql()}
