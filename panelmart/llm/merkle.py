@@ -86,20 +86,23 @@ def _climb(nodes: DataFrame, fanout: int, levels: int) -> DataFrame:
     comes to) and path (array of before, after: the siblings of each level that has any)."""
     digits = [f"slot{n}" for n in range(levels)]
     rows = nodes.withColumns({
-        "block": F.floor(F.col("i") / F.lit(fanout ** levels)).cast("long"),
+        "block": F.floor(F.col("i") / F.lit(fanout ** levels)).cast("long"), "top": F.col("h"),
         **{d: F.pmod(F.floor(F.col("i") / F.lit(fanout ** n)).cast("long"), F.lit(fanout)).cast("int") for n, d in enumerate(digits)}})
-    rows = rows.repartition("grp", "block").sortWithinPartitions("grp", "block", *reversed(digits)).withColumn("top", F.col("h"))
+    rows = rows.repartition("grp", "block").sortWithinPartitions("grp", "block", *reversed(digits))
+    slots = [f"child{j}" for j in range(fanout)]
+    query = "{rows}"
     for n, own in enumerate(digits):
-        parent = Window.partitionBy("grp", "block", *reversed(digits[n + 1:]))
-        slots = [f"child{j}" for j in range(fanout)]
-        rows = rows.withColumns({s: F.max(F.when(F.col(own) == j, F.col("top"))).over(parent) for j, s in enumerate(slots)})
-        several = F.col("size") > fanout ** n   # nodes of this level
-        side = lambda keep: F.concat_ws("", *[F.when(keep(F.col(own), j), F.col(s)) for j, s in enumerate(slots)])  # noqa: B023, E731
-        rows = rows.withColumns({
-            f"step{n}": F.when(several, F.struct(side(lambda o, j: o > j).alias("before"), side(lambda o, j: o < j).alias("after"))),
-            "top": F.when(several, digest(F.concat_ws("", *slots))).otherwise(F.col("top"))}).drop(*slots)
-    path = F.filter(F.array(*[f"step{n}" for n in range(levels)]), lambda s: s.isNotNull())
-    return rows.withColumn("path", path).drop(*digits, *[f"step{n}" for n in range(levels)])
+        parent = f"OVER (PARTITION BY {', '.join(['grp', 'block', *reversed(digits[n + 1:])])})"
+        pivot = ", ".join(f"max(IF({own} = {j}, top, NULL)) {parent} AS {s}" for j, s in enumerate(slots))
+        before, after = (", ".join(f"IF({own} {sign} {j}, {s}, NULL)" for j, s in enumerate(slots)) for sign in "><")
+        several = f"size > {fanout ** n}"   # nodes of this level
+        query = f"""SELECT * EXCEPT (top, {', '.join(slots)}),
+            IF({several}, struct(concat_ws('', {before}) AS before, concat_ws('', {after}) AS after), NULL) AS step{n},
+            IF({several}, sha2(concat_ws('', {', '.join(slots)}), 256), top) AS top FROM (SELECT *, {pivot} FROM {query})"""
+        query = f"({query})"
+    steps = [f"step{n}" for n in range(levels)]
+    return nodes.sparkSession.sql(f"SELECT * EXCEPT ({', '.join(digits + steps)}), filter(array({', '.join(steps)}), s -> s IS NOT NULL) AS path FROM {query}",
+                                  rows=rows)
 
 
 def _tree(nodes: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame, int]:
