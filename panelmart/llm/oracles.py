@@ -106,3 +106,19 @@ way AS (
 ended AS (SELECT w.* FROM way w JOIN high me ON w.up AND me.i = w.i AND me.lvl = w.lvl AND me.n = 1)
 SELECT l.doc_id, l.leaf, s.subroot, root.h AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root.h AS verified
 FROM leaves l JOIN ended e USING (r) JOIN subroots s ON s.g = l.g CROSS JOIN (SELECT h FROM high WHERE n = 1) root"""
+
+
+def jaccard_sql() -> str:
+    """Shared shingles counted pair by pair, components by recursion."""
+    lower = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.replace("(t,", f"({lower},")} AS w FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) x),
+shingles AS (SELECT DISTINCT r, array_to_string(w[s:s + 4], ' ') AS k
+             FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0) y),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b USING (k) WHERE a.r < b.r GROUP BY a.r, b.r),
+linked AS (SELECT x, y FROM common JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+ways AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, ways.y FROM reach JOIN ways ON ways.x = reach.y)
+SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(e.doc_id) AS component_id
+FROM d JOIN reach ON reach.x = d.r JOIN d e ON e.r = reach.y LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r, d.doc_id"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmart.llm.common import scratch_path, table
-from panelmart.llm.oracles import merkle_sql, quality_sql, substring_sql
+from panelmart.llm.oracles import jaccard_sql, merkle_sql, quality_sql, substring_sql
 
 
 def tokenizer_file(name: str) -> str:
@@ -106,6 +106,13 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with alike shingle sets."""
+    from panelmart.llm.jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
@@ -118,7 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_sentencepiece": op10_sentencepiece,
     "op12_merkle": op12_merkle,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 # The others are beyond SQL (seeded hashes, trained models, vocabularies, edit search) and
 # are tested against brute-force versions in tests/llm.
-ORACLES: dict[str, str] = {"op2_substring": substring_sql(), "op6_quality": quality_sql(), "op12_merkle": merkle_sql()}
+ORACLES: dict[str, str] = {"op2_substring": substring_sql(), "op6_quality": quality_sql(), "op12_merkle": merkle_sql(),
+                           "op13_ngram_jaccard": jaccard_sql()}
