@@ -92,6 +92,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(MODEL))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document aligned over two tokenizers."""
+    from panelmart.llm.align import A_FILE, B_FILE, align
+
+    return align(table(spark, sf_dir, "documents"), tokenizer_file(A_FILE), tokenizer_file(B_FILE))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of every document, and the roots that rows give of which some were tampered with."""
     from panelmart.llm import merkle
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_licenses": op9_licenses,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_alignment": op11_alignment,
     "op12_merkle": op12_merkle,
     "op13_ngram_jaccard": op13_ngram_jaccard,
 }
