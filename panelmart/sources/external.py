@@ -53,12 +53,15 @@ def read_sections(spark: SparkSession, path: str, section: str, layouts: Sequenc
     Blank, comment, header (``header_prefix``) and checksum lines are dropped.  A line
     splits on white space; the first layout ``(n, {column: position})`` whose ``n`` it
     reaches gives its columns (longer lines are no error), lines too short for any
-    layout are dropped.  Lines are read one by one: a line belongs to the section if
-    the last ``[...]`` line before it in its file names it.
+    layout are dropped.  A line belongs to the section if the last ``[...]`` line before
+    it in its file names it; a section that a file repeats counts each time.  A file is
+    one row while it is cut into lines.
     """
     raw = spark.read.text(path, wholetext=True).select(F.col("value"), F.input_file_name().alias("source_file"))
-    body = F.regexp_extract("value", rf"(?s)(?:^|\n)[ \t]*\[{section}\][ \t]*\r?\n(.*?)(?:\n[ \t]*\[|\z)", 1)
-    lines = raw.select("source_file", F.explode(F.split(body, r"\r?\n")).alias("line"))
+    quoted = "\\Q" + section.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    pattern = rf"(?s)(?:^|\n)[ \t]*\[{quoted}\][ \t]*\r?(?=\n|\z)(.*?)(?=\n[ \t]*\[|\z)"
+    bodies = raw.select("source_file", F.explode(F.regexp_extract_all("value", F.lit(pattern), 1)).alias("body"))
+    lines = bodies.select("source_file", F.explode(F.split("body", r"\r?\n")).alias("line"))
     line = F.col("line")
     lines = lines.select("source_file", F.trim(F.regexp_replace(line, r"\s+", " ")).alias("line")).filter(
         (line != "") & ~line.startswith(comment) & ~line.startswith(header_prefix) & ~line.startswith(checksum_prefix))

@@ -2,7 +2,8 @@
 
 * A24: partition-scoped replace — dynamic partition overwrite rewrites only
   the partitions present in the new data (one company's rows); partition
-  values are escaped by Spark, so names with quotes are safe.
+  values are escaped by Spark, so names with quotes are safe.  Where the load
+  names its partitions, one that it has no rows for loses its old rows.
 * A25: ``materialize_table`` (in ``tables``) for table models; views are
   lazy DataFrames / temp views.
 * A26: load statistics with ``DataFrame.observe`` — counted while the data is
@@ -13,15 +14,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Overwrite only the partitions present in ``df``."""
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
+                       requested: Sequence[Sequence] | None = None) -> None:
+    """Overwrite only the partitions present in ``df``.
+
+    ``requested`` lists the partitions (values in the order of ``partition_by``) that the
+    load stands for: a row of another partition fails the load before anything is written,
+    and a requested partition without rows is emptied.  The new rows are in place before
+    the empty partitions go, so a lost executor never leaves less than was loaded.
+    """
+    spark = df.sparkSession
+    empty = None
+    if requested is not None:
+        kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in partition_by)
+        wanted = spark.createDataFrame([tuple(v) for v in requested], kinds).distinct()
+        same = lambda a, b: reduce(and_, (F.col(f"{a}.`{c}`").eqNullSafe(F.col(f"{b}.`{c}`")) for c in partition_by))
+        present = df.select(*[F.col(f"`{c}`") for c in partition_by]).distinct()
+        other = present.alias("p").join(wanted.alias("w"), same("p", "w"), "left_anti").first()
+        if other is not None:
+            raise ValueError(f"rows of a partition that was not requested: {other.asDict()}")
+        # at most as many rows as were requested
+        left = wanted.alias("w").join(present.alias("p"), same("w", "p"), "left_anti")
+        empty = left.select(*[F.col(f"`{c}`").cast("string") for c in partition_by]).collect()
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).format(fmt).save(path))
+    if empty:
+        jvm = spark._jvm
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for values in empty:
+            folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *(name(c, v) for c, v in zip(partition_by, values))]))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:

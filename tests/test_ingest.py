@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from support import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -318,3 +319,27 @@ def test_dedupe_and_entity_coverage(spark):
     ds = FL.latest_dataset(spark.createDataFrame([("x", None, 3), ("x", None, 5), ("y", 2, 9)],
                                                  "c string, given long, id long"), ["c"], "given", "id")
     assert sorted((r.c, r.dataset_id) for r in ds.collect()) == [("x", 5), ("y", 2)]
+
+
+def test_replace_requested_partitions(spark, tmp_path):
+    """One company without rows, one with fewer, one with a quote in its name, one left alone."""
+    path, schema = str(tmp_path / "t"), "company string, v int"
+    old = [("a", 1), ("a", 2), ("b", 3), ("b", 4), ("o'x", 5), ("keep", 6)]
+    S.replace_partitions(spark.createDataFrame(old, schema), path, ["company"])
+    new = spark.createDataFrame([("b", 7)], schema)
+    S.replace_partitions(new, path, ["company"], requested=[("a",), ("b",), ("o'x",)])
+    assert rows(spark.read.schema(schema).parquet(path), ["company", "v"]) == [("b", 7), ("keep", 6)]
+    S.replace_partitions(new.limit(0), path, ["company"], requested=[("b",)])
+    assert rows(spark.read.schema(schema).parquet(path), ["company", "v"]) == [("keep", 6)]
+    with pytest.raises(ValueError, match="not requested"):
+        S.replace_partitions(new, path, ["company"], requested=[("keep",)])
+    assert spark.read.schema(schema).parquet(path).count() == 1
+
+
+def test_repeated_section(spark, tmp_path):
+    """Every section of the name counts; its name is no pattern; an empty one has no lines."""
+    (tmp_path / "a.txt").write_text("[Codes]\nID NAME\n1 x\n[Other]\n9 z\n[Codes]\n[Codes]\r\n2 y\r\n# no\nChecksum 3\n")
+    (tmp_path / "b.txt").write_text("[C.des]\n3 w\n")
+    got = lambda name: rows(X.read_sections(spark, str(tmp_path), name, [(2, {"id": 0, "name": 1})], "ID"), ["id", "name"])
+    assert got("Codes") == [("1", "x"), ("2", "y")]
+    assert got("C.des") == [("3", "w")]
