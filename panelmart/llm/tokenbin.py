@@ -157,15 +157,15 @@ class Encoder:
 
     Byte-level BPE splits a text into pre-tokens first; with single separators no
     pre-token crosses a place before a space or around a line feed, so words are
-    encoded on their own (each distinct word once).  Texts with other white space
-    go to the library whole.
+    encoded on their own (each distinct word once).  Texts with other white space, or
+    with the string of an added token (one id, as the library has it), go to it whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words, self.parts = Memo(MEMO), Memo(MEMO // 4)
         self.feed = self._whole("\n")
 
@@ -190,7 +190,7 @@ class Encoder:
             return np.zeros(0, dtype="<u4")
         words = ("\n" + text).replace("\n", " \n").split(" ")[1:]
         # other white space than single spaces and line feeds between words: the library's own way
-        if "" in words or "\n" in words or any(c in text for c in ODD_SPACE):
+        if "" in words or "\n" in words or any(c in text for c in ODD_SPACE) or any(t in text for t in self.added):
             return np.frombuffer(self._whole(text), dtype="<u4")
         fresh = self.words.missing(words)
         if fresh:

@@ -40,7 +40,6 @@ def test_encoder_matches_library():
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_file(T.TOKENIZER))
-    library.encode_special_tokens = True
     encode = T.Encoder(tokenizer_file(T.TOKENIZER))
     rng = random.Random(4)
     bits = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "'s", " b", "é", "1", "234", "!", "?.", "中", "😀", "<|endoftext|>", "\xa0", "'", "\r\n", "_",
@@ -54,7 +53,6 @@ def brute(rows):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_file(T.TOKENIZER))
-    library.encode_special_tokens = True
     out, start = [], 0
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
