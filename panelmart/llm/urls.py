@@ -3,7 +3,9 @@
 Everything runs as column expressions and Spark ML: host and path are cut out
 by one regular expression, the lexical features (length, depth, digit ratio,
 entropy, parameter counts, host-suffix statistics) are built-in functions, and
-``GBTClassifier`` is fitted on a bounded, documented sample of labelled URLs.
+``GBTClassifier`` is fitted on a bounded, documented sample of labelled URLs.  The
+suffix statistics count all labelled URLs; they are a table that is joined, however
+many suffixes there are.
 Labels come from a seed list of host terms; the terms themselves are no
 feature, so the trees must find the lexical traits that go with them.
 """
@@ -18,6 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelmart.llm.common import scratch
+
 # The rules (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -26,7 +30,7 @@ SEED_TERMS = ["spam", "pills", "bets", "casino", "adult", "porn", "viagra", "lot
 
 SAMPLE_ROWS = 20_000    # most labelled URLs the trees are fitted on
 TREES, DEPTH, SEED = 10, 3, 42
-MAX_SUFFIXES = 64       # suffixes with statistics of their own
+SMOOTHING = 20          # labelled URLs of average rate that every suffix counts besides its own
 FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens",
             "entropy", "params", "query_length", "vowel_ratio", "suffix_rate", "suffix_log_count"]
 
@@ -85,39 +89,36 @@ def _suffix(host: Column) -> Column:
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS):
-    """Trees and suffix statistics from a labelled table (url, label 0/1).
+    """(trees, suffix statistics, share of label 1) from a labelled table (url, label 0/1).
 
-    At most ``sample_rows`` rows are used: those with the smallest keyed hash of
-    their URL, so the sample does not depend on file order.  Returns None where
-    the sample lacks one of the two classes.
+    Statistics cover all rows.  The trees see at most ``sample_rows`` rows, half of them a
+    class: those with the smallest keyed hash of their URL, so the sample does not depend
+    on file order, weighted so that the classes keep their shares.  Returns None where
+    the table lacks one of the two classes.
     """
-    host, path = url_host(F.col("url")), url_path(F.col("url"))
-    sample = (labelled.select("url", F.col("label").cast("double").alias("label"))
-              .orderBy(F.xxhash64(F.col("url"), F.lit(SEED)), "url", "label").limit(sample_rows)
-              .select("url", "label", host.alias("host"), path.alias("path"))
-              .withColumns({k: v for k, v in lexical(F.col("url"), F.col("host"), F.col("path")).items()})
-              .withColumn("suffix", _suffix(F.col("host")))
-              .repartition(1).sortWithinPartitions("url", "label").persist())
-    try:
-        by_suffix = sample.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
-        top = by_suffix.orderBy(F.desc("n"), "suffix").limit(MAX_SUFFIXES).collect()
-        total, bad = sum(r.n for r in top), sum(r.bad for r in top)
-        if not 0 < bad < total:
-            return None
-        stats = {r.suffix: ((r.bad + 20 * bad / total) / (r.n + 20), float(r.n) / total) for r in top}
-        model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH,
-                              seed=SEED, maxBins=32, subsamplingRate=1.0).fit(_assembled(sample, stats, bad / total))
-        return model, stats, bad / total
-    finally:
-        sample.unpersist()
-
-
-def _assembled(df: DataFrame, stats: dict, prior: float) -> DataFrame:
-    rate, share = F.lit(prior), F.lit(0.0)
-    for suffix, (r, n) in stats.items():
-        rate = F.when(F.col("suffix") == suffix, r).otherwise(rate)
-        share = F.when(F.col("suffix") == suffix, n).otherwise(share)
-    df = df.withColumns({"suffix_rate": rate, "suffix_log_count": F.log1p(share)})
+    rows = labelled.select("url", F.col("label").cast("double").alias("label"))
+    rows = rows.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))}).withColumn("suffix", _suffix(F.col("host")))
+    by_suffix = scratch(rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")), "url-suffixes")
+    total, bad = by_suffix.agg(F.sum("n"), F.sum("bad")).first()
+    if not total or not 0 < bad < total:
+        return None
+    prior = bad / total
+    stats = by_suffix.select("suffix", ((F.col("bad") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)).alias("suffix_rate"),
+                             F.log1p(F.col("n") / total).alias("suffix_log_count"))
+    half = max(sample_rows // 2, 1)
+    parts = [rows.where(F.col("label") == label).orderBy(F.xxhash64(F.col("url"), F.lit(SEED)), "url").limit(half)
+             .withColumn("weight", F.lit(max(n / half, 1.0))) for label, n in ((0.0, total - bad), (1.0, bad))]
+    sample = parts[0].unionByName(parts[1])
+    sample = sample.withColumns(lexical(F.col("url"), F.col("host"), F.col("path")))
+    ready = _assembled(sample, stats, prior).repartition(1).sortWithinPartitions("url", "label")
+    model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
+                          seed=SEED, maxBins=32, subsamplingRate=1.0).fit(ready)
+    return model, stats, prior
+
+
+def _assembled(df: DataFrame, stats: DataFrame, prior: float) -> DataFrame:
+    """The feature vector; a suffix without labelled URLs has the average rate and no count."""
+    df = df.join(stats, "suffix", "left").na.fill({"suffix_rate": prior, "suffix_log_count": 0.0})
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
 

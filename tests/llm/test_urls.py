@@ -69,3 +69,35 @@ def test_features(spark):
         *[v.alias(k) for k, v in U.lexical(c, U.url_host(c), U.url_path(c)).items()]).first()
     assert (row.url_length, row.host_length, row.depth, row.hyphens, row.params, row.query_length) == (38, 15, 2, 1, 2, 8)
     assert abs(row.digit_ratio - 4 / 38) < 1e-12 and 3.0 < row.entropy < 3.6
+
+
+def _spread_urls(rng, good_suffixes, bad_suffixes, n_good, n_bad):
+    good = [f"http://www.{rng.choice(['news', 'library', 'garden', 'museum'])}.{rng.choice(good_suffixes)}/{rng.choice('abcd')}/page" for _ in range(n_good)]
+    bad = [f"http://{rng.randrange(10**6)}-{rng.choice(U.SEED_TERMS)}-{rng.randrange(10**6)}.{rng.choice(bad_suffixes)}/?id={rng.randrange(10**6)}&r=1"
+           for _ in range(n_bad)]
+    return good, bad
+
+
+def test_many_suffixes(spark):
+    """Unwanted URLs in rare suffixes, among 70 larger ones, and in suffixes never labelled."""
+    rng = random.Random(7)
+    common, rare, unseen = [f"g{i}" for i in range(70)], [f"b{i}" for i in range(200)], [f"u{i}" for i in range(50)]
+    good, bad = _spread_urls(rng, common, rare, 7000, 400)
+    labelled = spark.createDataFrame([(u, 0) for u in good] + [(u, 1) for u in bad], "url string, label int").distinct()
+    held_good, held_bad = _spread_urls(rng, common, unseen, 500, 200)
+    for table, options in (([*good, *bad], {}), ([*held_good, *held_bad], {"labelled": labelled})):
+        pages = spark.createDataFrame([(i, u) for i, u in enumerate(table)], "page_id long, url string")
+        got = {r.page_id: r.verdict for r in U.filter_urls(pages, rules=[], **options).collect()}
+        n_good = len(good) if not options else len(held_good)
+        assert all(got[i] == "allow" for i in range(n_good))
+        assert sum(got[i] == "block" for i in range(n_good, len(table))) >= 0.95 * (len(table) - n_good)
+
+
+def test_sample_keeps_the_rare_class(spark):
+    """The bound on rows holds for each class: a rare one is not sampled away."""
+    rng = random.Random(8)
+    good, bad = _spread_urls(rng, ["com", "net"], ["com", "net"], 4000, 60)
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*good, *bad])], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.filter_urls(pages, rules=[], sample_rows=100).collect()}
+    assert sum(got[len(good) + i] == "block" for i in range(len(bad))) >= 0.95 * len(bad)
+    assert sum(got[i] == "allow" for i in range(len(good))) >= 0.99 * len(good)
