@@ -25,8 +25,8 @@ FROM d LEFT JOIN kept USING (r)"""
 
 
 def quality_sql() -> str:
-    """Base counts and both Jensen-Shannon distances from histogram rows."""
-    forms = ", ".join(f"('{lang}', {i}, '{form.decode()}')" for lang, words in [*Q.COMMON_WORDS.items(), ("", Q._pooled(Q.COMMON_WORDS))]
+    """Base counts and both Jensen-Shannon distances from histogram rows; references by median shares."""
+    forms = ", ".join(f"('{lang}', {i}, '{form.decode()}')" for lang, words in Q.COMMON_WORDS.items()
                       for form, i in Q._forms(words))
     count = lambda pattern: f"length(regexp_replace(t, '{pattern}', '', 'g'))"
     classes = [count("[^a-z]"), count("[^A-Z]"), count("[^0-9]"), count(r"[^\x20\x09-\x0D]"), count("[^#*$%&|<>]"), "0", count(r"[\x00-\x7F]")]
@@ -50,8 +50,12 @@ hist AS (SELECT r, g, 'c' AS part, unnest(range(0, {len(classes)})) AS bin, unne
          SELECT r, g, 'w', z.bin, CASE WHEN z.bin < {Q.N_COMMON} THEN coalesce(hit.c, 0) ELSE n_words - coalesce(whole.c, 0) END
          FROM (SELECT r, g, n_words, unnest(range(0, {Q.N_COMMON + 1})) AS bin FROM base) z LEFT JOIN hit USING (r, bin)
          LEFT JOIN (SELECT r, sum(c) AS c FROM hit GROUP BY r) whole USING (r)),
-ref AS (SELECT g, part, bin, sum(c) / nullif(sum(sum(c)) OVER (PARTITION BY g, part), 0) AS q FROM hist GROUP BY g, part, bin),
-share AS (SELECT hist.r, part, c / nullif(sum(c) OVER (PARTITION BY hist.r, part), 0) AS p, coalesce(q, 0) AS q FROM hist JOIN ref USING (g, part, bin)),
+own AS (SELECT hist.r, hist.g, part, bin, c / nullif(sum(c) OVER (PARTITION BY hist.r, part), 0) AS p FROM hist),
+steps AS (SELECT own.g, part, bin, floor({Q.STEPS} * p + 0.5) AS v FROM own JOIN base USING (r)
+          WHERE own.g <> '' AND n_words >= {Q.MIN_WORDS} AND n_chars >= {Q.MIN_CHARS} AND 100 * n_repeat_words <= 20 * n_words),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g, part, bin ORDER BY v) AS k, count(*) OVER (PARTITION BY g, part, bin) AS n FROM steps),
+ref AS (SELECT g, part, bin, v / nullif(sum(v) OVER (PARTITION BY g, part), 0) AS q FROM ranked WHERE k = (n + 1) // 2),
+share AS (SELECT own.r, part, p, q FROM own JOIN ref USING (g, part, bin) WHERE q IS NOT NULL),
 distance AS (SELECT r, part, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
                                              + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS js
              FROM share WHERE p IS NOT NULL GROUP BY r, part),

@@ -1,12 +1,14 @@
 """Quality rules by distribution divergence.
 
 Every document gets two histograms: its character classes and its language's
-common words (plus one bin for all other words).  The references are the same
-histograms summed over all documents of a language.  A document whose
-Jensen-Shannon distance from its language's reference exceeds a limit is
-rejected; documents too short for a histogram to mean anything are guarded by
-minimum lengths, and both limits fall with the length since the sampling error
-of a histogram falls with its size.
+common words (plus one bin for all other words).  A language's reference holds the
+median share of every bin over its documents that pass the base rules and are long
+enough to be judged, each document once: neither long texts nor a source below half of
+them moves it.  A document whose Jensen-Shannon distance from its language's reference
+exceeds a limit is rejected; documents too short for a histogram to mean anything are
+guarded by minimum lengths, and both limits fall with the length since the sampling
+error of a histogram falls with its size.  Languages without a list of common words
+have no reference: the base rules alone judge them.
 
 One pass over the text (Arrow batches) makes the counts, which are written to
 the shared folder; references and distances are plain aggregates and column
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmart.llm.common import scratch
@@ -32,6 +34,7 @@ COMMON_WORDS = {
     "es": "de la que el en y los se del las un por con no su una para es al lo".split(),
 }
 N_COMMON = 20
+STEPS = 1000                           # medians are taken over shares in steps of 1 / STEPS
 CHAR_CLASSES = ("lower", "upper", "digit", "space", "symbol", "other_ascii", "non_ascii")
 MIN_CHARS, MIN_WORDS = 80, 30          # below: the histogram is not judged
 CHAR_LIMIT, CHAR_SLACK = 0.12, 1.5     # limit of the class distance: CHAR_LIMIT + CHAR_SLACK / sqrt(words)
@@ -85,11 +88,6 @@ def _forms(words: list[str]) -> list[tuple[bytes, int]]:
             for w in dict.fromkeys((word, word.capitalize())) for end in ("", ".", ",", ";", ":", "!", "?")]
 
 
-def _pooled(common_words: dict[str, list[str]]) -> list[str]:
-    """Bins of the languages without a list of their own: the most common words of all."""
-    return list(dict.fromkeys(w for i in range(N_COMMON) for ws in common_words.values() for w in ws[i:i + 1]))[:N_COMMON]
-
-
 def count_text(text: str | None, forms: list[tuple[bytes, int]]) -> list:
     """Base counts, then the character-class and common-word histograms."""
     data = (text or "").encode()
@@ -148,11 +146,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
               + ", ".join(f"{c} long" for c in BASE) + ", chars array<long>, common array<long>")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = {lang: _forms(ws) for lang, ws in common_words.items()}
-        rest = _forms(_pooled(common_words))
         kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
         for batch in batches:
             langs = [x if x in forms else "" for x in batch.column(3).to_pylist()]
-            out = [count_text(t.as_py(), forms.get(g, rest)) for t, g in zip(batch.column(2), langs)]
+            out = [count_text(t.as_py(), forms.get(g, [])) for t, g in zip(batch.column(2), langs)]
             cols = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), *cols],
                                              [id_col, "text_key", "language", *BASE, "chars", "common"])
@@ -162,16 +159,36 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                        F.col(lang_col).cast("string").alias("__lang")).mapInArrow(run, schema)
 
 
-def references(counts: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS) -> dict[str, tuple[list, list]]:
-    """Summed histograms over all rows of each language; '' holds every other language.
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
+def references(counts: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
+    """Shares of both histograms of every listed language, by the lower median of each bin.
 
-    At most ``len(common_words) + 1`` rows come to the driver.
+    Shares in steps of ``1 / STEPS`` are counted (at most STEPS + 1 values a bin, summed
+    map-side), so a median is exact and no task holds a language's documents.  One row a
+    language and bin comes to the driver.  A language without a judged document has none.
     """
-    sums = [F.sum(F.col("chars")[i]) for i in range(len(CHAR_CLASSES))]
-    sums += [F.sum(F.col("common")[i]) for i in range(N_COMMON + 1)]
+    def steps(hist: Column) -> Column:
+        total = F.aggregate(hist, F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.transform(hist, lambda x: F.floor(STEPS * (x.cast("double") / total) + 0.5).cast("int"))
+
+    n_chars = F.aggregate(F.col("chars"), F.lit(0).cast("long"), lambda a, x: a + x)
+    judged = counts.where((F.col("language") != "") & ~_base_failed() & (F.col("n_words") >= MIN_WORDS) & (n_chars >= MIN_CHARS))
+    values = judged.select("language", F.posexplode(F.concat(steps(F.col("chars")), steps(F.col("common")))).alias("bin", "value"))
+    values = values.groupBy("language", "bin", "value").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("language", "bin")
+    reached = F.sum("n").over(whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    middle = values.withColumns({"reached": reached, "all": F.sum("n").over(whole)}).where(2 * F.col("reached") >= F.col("all"))
+    found: dict[str, list[int]] = {}
+    for row in middle.groupBy("language", "bin").agg(F.min("value").alias("value")).collect():
+        found.setdefault(row.language, [0] * (len(CHAR_CLASSES) + N_COMMON + 1))[row.bin] = row.value
     out = {}
-    for row in counts.groupBy("language").agg(F.array(*sums).alias("s")).collect():
-        out[row.language] = (row.s[:len(CHAR_CLASSES)], row.s[len(CHAR_CLASSES):])
+    for lang, medians in found.items():
+        parts = medians[:len(CHAR_CLASSES)], medians[len(CHAR_CLASSES):]
+        if all(map(sum, parts)):
+            out[lang] = tuple([x / sum(p) for x in p] for p in parts)
     return out
 
 
@@ -188,12 +205,10 @@ def _js_distance(hist: Column, ref: Column) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(value, F.lit(0.0)))).otherwise(F.lit(0.0))
 
 
-def _by_language(refs: dict[str, tuple[list, list]], part: int) -> Column:
+def _by_language(refs: dict[str, tuple[list[float], list[float]]], part: int) -> Column:
     out = F.lit(None).cast("array<double>")
     for lang, pair in refs.items():
-        total = sum(pair[part]) or 1
-        shares = F.array(*[F.lit(float(x) / total) for x in pair[part]])
-        out = F.when(F.col("language") == lang, shares).otherwise(out)
+        out = F.when(F.col("language") == lang, F.array(*map(F.lit, pair[part]))).otherwise(out)
     return out
 
 
@@ -205,19 +220,21 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Returns ``id_col``, text_key, the base counts, char_distance, word_distance,
     base_failed (fewer than 10 words, or over 20 % of the words in repeated
     5-word windows) and kept.  Null or empty text: all counts 0, distances 0, base
-    failed.  A null or unknown language is compared with the pooled rest.  One
+    failed.  A null or unlisted language has no reference: distances 0, judged by the base
+    rules alone; so is a listed one none of whose documents is long enough.  One
     result per input row, repeated rows and null ids included; an empty table gives
     an empty result; other columns are not read.
     """
     counts = scratch(measure(docs, id_col, text_col, lang_col, common_words), "quality-counts")
-    refs = references(counts, common_words)
+    refs = references(counts)
     n = F.col("n_words")
+    known = F.col("language").isin(*refs)
+    distance = lambda hist, part: F.when(known, _js_distance(F.col(hist), _by_language(refs, part))).otherwise(0.0)
     measured = counts.withColumns({
-        "char_distance": _js_distance(F.col("chars"), _by_language(refs, 0)) if refs else F.lit(0.0),
-        "word_distance": _js_distance(F.col("common"), _by_language(refs, 1)) if refs else F.lit(0.0),
+        "char_distance": distance("chars", 0), "word_distance": distance("common", 1),
         "n_chars": F.aggregate(F.col("chars"), F.lit(0).cast("long"), lambda a, x: a + x),
     })
-    base_failed = (n < 10) | (100 * F.col("n_repeat_words") > 20 * n)
+    base_failed = _base_failed()
     odd_chars = (F.col("n_chars") >= MIN_CHARS) & (
         F.col("char_distance") > char_limit + CHAR_SLACK / F.sqrt(F.greatest(n, F.lit(1)).cast("double")))
     odd_words = (n >= MIN_WORDS) & (F.col("word_distance") > word_limit + WORD_SLACK / F.sqrt(F.greatest(n, F.lit(1)).cast("double")))
@@ -234,15 +251,14 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
     id_free = docs.select(F.lit(0).alias("__row"), F.col(text_col), F.col(lang_col))
-    refs = {lang: tuple(np.array(h, dtype=float) / (sum(h) or 1) for h in pair)
-            for lang, pair in references(measure(id_free, "__row", text_col, lang_col, common_words), common_words).items()}
+    refs = {lang: tuple(map(np.array, pair))
+            for lang, pair in references(measure(id_free, "__row", text_col, lang_col, common_words)).items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = {lang: _forms(ws) for lang, ws in common_words.items()}
-        rest = _forms(_pooled(common_words))
         for batch in batches:
             langs = [x if x in forms else "" for x in batch.column(lang_at).to_pylist()]
-            keep = [verdict(count_text(t.as_py(), forms.get(g, rest)), refs.get(g)) for t, g in zip(batch.column(at), langs)]
+            keep = [verdict(count_text(t.as_py(), forms.get(g, [])), refs.get(g)) for t, g in zip(batch.column(at), langs)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -80,3 +80,32 @@ def test_odd_rows(odd_docs):
     kept = Q.keep_good(odd_docs)
     assert kept.columns == odd_docs.columns
     assert Q.judge(odd_docs.limit(0)).count() == 0 and Q.keep_good(odd_docs.limit(0)).count() == 0
+
+
+def _prose(rng, words, n=60):
+    return " ".join(rng.choice(words) for _ in range(n)) + "."
+
+
+def test_unlisted_languages_stay(spark):
+    """Clean documents of languages without a reference are judged by the base rules alone."""
+    rng = random.Random(5)
+    italian = [f"{a}{b}" for a in ("par", "cant", "bel", "gatt", "tavol", "strad") for b in ("o", "a", "i", "ando", "ezza", "ità")]
+    chinese = [a + b for a in "天地人山水火风云日月" for b in "大小上下左右中来去好"]
+    rows = [(i, _prose(rng, italian), "it") for i in range(100)] + [(100 + i, _prose(rng, chinese), "zh") for i in range(100)]
+    rows += [(200, "one two", "it"), (201, "the same five words here " * 30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in Q.judge(docs).where("kept").collect()}
+    assert kept == set(range(200)) == {r.doc_id for r in Q.keep_good(docs).collect()}
+
+
+def test_a_source_of_tables_moves_no_reference(spark):
+    """Prose stays, tables go, though long tables are a third of the rows and most characters."""
+    rng = random.Random(6)
+    common, others = Q.COMMON_WORDS["en"], [f"{a}{b}" for a in ("mar", "ten", "sol", "riv", "hous") for b in ("ing", "er", "ed", "ly", "ation")]
+    zipf = [1 / (i + 1) for i in range(len(common))]
+    word = lambda: rng.choices(common, zipf)[0] if rng.random() < 0.35 else rng.choice(others)
+    rows = [(i, " ".join(word() for _ in range(200)) + ".", "en") for i in range(200)]
+    rows += [(200 + i, " ".join(f"|{rng.randrange(10**6)}|" for _ in range(400)), "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in Q.judge(docs).where("kept").collect()}
+    assert kept == set(range(200)) == {r.doc_id for r in Q.keep_good(docs).collect()}
