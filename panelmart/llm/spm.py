@@ -15,8 +15,8 @@ the merges give.  (The plain sum of BPE scores would rank paths wrongly.)
 Pairs are tested once and memoised.  Vocabularies trained as unigram models
 have no constraint: the shortest path is the Viterbi segmentation.
 
-Texts are composed piecewise: no piece spans a place before a run of U+2581 or
-between two characters that no piece has side by side, so the path through a
+Texts are composed piecewise: no piece spans a place before a run of U+2581, beside
+a line feed (where no piece holds one), after a run of letters (likewise) or between two characters that no piece has side by side, so the path through a
 whole text is the join of the paths through such units; a bounded memo keeps
 the paths of frequent units.  Map-only: no shuffle, one row at a time.
 """
@@ -36,7 +36,8 @@ from panelmart.llm.common import Memo, once_per_worker
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 RUNS = re.compile(r"[^\W\d_]+|[\W\d_]")
-MEMO = 250_000     # units of a generation of the workers' memo
+LETTER = re.compile(r"[^\W\d_]")
+MEMO = 350_000     # units of a generation of the workers' memo
 LONGEST = 64       # characters of a unit that is remembered
 
 
@@ -55,6 +56,13 @@ class Transducer:
         self.pairs = {p[i:i + 2] for p in self.lexicon for i in range(len(p) - 1)}
         self.chars = {c for p in self.lexicon for c in p}
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.lexicon)
+        # units end beside a line feed (where no piece holds one) and after a run of letters,
+        # unless it ends with a letter that some piece has before another character
+        feed = "" if "\n" in self.chars else "\n"
+        joined = "".join(sorted({re.escape(p[0]) for p in self.pairs if LETTER.match(p) and not LETTER.match(p[1])}))
+        letters, other = r"[^\W\d_]", rf"(?:[^\w{SPACE}{feed}]|[\d_])"
+        more = f"(?:(?<=[{joined}]){other}+{letters}*)*" if joined else ""
+        self.units = re.compile("|".join([f"{SPACE}*{other}*{letters}+{more}", f"{SPACE}*{other}+", f"{SPACE}+", *([f"{feed}+"] if feed else [])]))
         surface = [p.replace(SPACE, " ").encode() for p in self.text]
         for b, i in byte_ids.items():
             surface[i] = bytes([b])
@@ -63,7 +71,7 @@ class Transducer:
         surface[unknown] = " ⁇ ".encode()
         self.surface = surface
         self.follows: dict[int, bool] = {}  # left * pieces + right
-        self.paths, self.parts = Memo(MEMO), Memo(MEMO // 2)  # of units, of stretches inside units
+        self.paths, self.parts = Memo(MEMO), Memo(MEMO // 8)  # of units, of stretches inside units
 
     @classmethod
     def load(cls, path: str) -> Transducer:
@@ -75,6 +83,11 @@ class Transducer:
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(sp.serialized_model_proto())
         n = sp.get_piece_size()
+        norm = proto.normalizer_spec
+        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not (norm.add_dummy_prefix and norm.escape_whitespaces):
+            raise ValueError(f"{path}: only the identity normaliser with a dummy prefix and escaped spaces is compiled")
+        if proto.trainer_spec.treat_whitespace_as_suffix or any(p.type == p.USER_DEFINED for p in proto.pieces):
+            raise ValueError(f"{path}: suffix spaces and user-defined pieces are not compiled")
         return cls([(sp.id_to_piece(i), sp.get_score(i)) for i in range(n)],
                    {i for i in range(n) if sp.is_control(i) or sp.is_unused(i)},
                    {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)},
@@ -200,7 +213,7 @@ class Transducer:
 
     def path(self, unit: str) -> bytes:
         """Ids of one unit as little-endian 32-bit integers."""
-        parts = RUNS.findall(unit)
+        parts = [unit] if unit.lstrip(SPACE).isalpha() and unit[1:2] != SPACE else RUNS.findall(unit)
         if len(parts) > 1:  # join runs that a piece may span
             runs, parts = parts, [parts[0]]
             for run in runs[1:]:
@@ -234,7 +247,7 @@ class Transducer:
         if not text:
             return np.zeros(0, dtype="<i4")
         normal = SPACE + text.replace(" ", SPACE)
-        units = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", normal) if self.by_word else [normal]
+        units = self.units.findall(normal) if self.by_word else [normal]
         if max(map(len, units)) > LONGEST:  # rare: stretches too long to remember
             return np.frombuffer(b"".join(map(self.path, units)), dtype="<i4")
         for unit in self.paths.missing(units):

@@ -7,7 +7,7 @@ from panelmart.llm import spm as P
 from panelmart.llm.queries import tokenizer_file
 
 BITS = [" " * 37, "ሀሁ", "a", "b", "the ", "  ", "   ", " ", "\n", "\t", "é", "ﬁ", "ｆ", ".com", "http://", "1", "234", "!", "😀", "x" * 40, "中", "́", "<s>",
-        "</s>", "<unk>", "<0x0A>", "'s", "▁"]
+        "</s>", "<unk>", "<0x0A>", "'s", "▁", "m²", "².", "².a", ",b\n", "_x1", "1²"]
 
 
 @pytest.fixture(scope="module")
