@@ -166,6 +166,22 @@ def q_report_manifest(cat):
     return rows.select(F.col("`Unit no.`").alias("unit_no"), F.col("`Value %`").alias("value"), "company", "year")
 
 
+@register("report_records", """
+SELECT c_custkey AS k, 'first line' || chr(10) || c_name || ', "' || c_mktsegment || '"' AS note, CAST(c_nationkey AS VARCHAR) AS code, c_mktsegment AS code_again
+FROM customer""", ids=("A13",))
+def q_report_records(cat):
+    """Cells with line breaks, commas and quotes under a title of two lines and a repeated header name."""
+    root = _folder(cat, "records")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.concat(F.lit("first line\n"), "c_name", F.lit(', "'), "c_mktsegment", F.lit('"'))
+    record = F.concat_ws(",", "c_custkey", quoted(note), "c_nationkey", "c_mktsegment")
+    lines = cat["customer"].groupBy(_group("c_custkey").alias("part")).agg(F.collect_list(record).alias("l"))
+    head = F.array(F.lit('"A title\nof two lines"'), F.lit("a subtitle"), F.lit("k,note,code,code"))
+    lines.select("part", F.array_join(F.concat(head, "l"), "\n").alias("value")).write.partitionBy("part").text(root)
+    schema = T.StructType([T.StructField("k", T.LongType()), *(T.StructField(c, T.StringType()) for c in ("note", "code", "code.1"))])
+    return FL.read_sheet(cat.spark, root, schema=schema, skip_rows=2).select("k", "note", "code", F.col("`code.1`").alias("code_again"))
+
+
 @register("report_sheets", """
 SELECT c_custkey AS k, 'units' AS output FROM customer UNION ALL SELECT s_suppkey, 'other' FROM supplier""", ids=("A11", "A12"))
 def q_report_sheets(cat):

@@ -49,9 +49,8 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
                skip_rows: int = 0, header: bool = True) -> DataFrame:
     """Read one sheet folder; identifiers stay exact strings when a schema declares them.
 
-    ``skip_rows`` leading report lines (A13) are dropped per file before the
-    header is parsed: the text is read line by line with its position in the
-    file, so the skip is exact per file and runs in the executors.
+    ``skip_rows`` leading report records (A13) are dropped per file before the
+    header is parsed, in the executors: a quoted cell may hold line breaks.
     """
     reader = spark.read
     if fmt == "csv" and skip_rows:
@@ -65,26 +64,42 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
     return reader.parquet(path)
 
 
+# a record: plain stretches and quoted cells (line breaks inside stay; an open quote runs to the end) up to a line end
+_RECORD = r'((?:[^"\r\n]++|"[^"]*+(?:"|\z))*+)(?:\r\n|\n|\r|\z)'
+_CSV = {"escape": '"'}   # a quote inside a quoted cell is doubled
+
+
+def _header_names(cells: Column) -> Column:
+    """Trimmed header cells; the n-th repeat of a name gets ``.n`` behind it, an empty cell stays NULL."""
+    cells = F.transform(cells, lambda x: F.nullif(F.trim(x), F.lit("")))
+    earlier = lambda x, i: F.size(F.filter(F.slice(cells, 1, i), lambda y: y == x))
+    return F.transform(cells, lambda x, i: F.when(earlier(x, i) > 0, F.concat(x, F.lit("."), earlier(x, i).cast("string"))).otherwise(x))
+
+
 def _csv_skipping(spark: SparkSession, path, skip_rows: int, schema: T.StructType | None, keep_file: bool = False) -> DataFrame:
-    """Drop the first ``skip_rows`` lines of every file, then parse the header + rows.
+    """Drop the first ``skip_rows`` records of every file, then parse the header + rows.
 
     ``wholetext`` gives one row per file (files of a report are small; each
-    file is one task).  Every file has its own header: header and rows are split by
+    file is one task).  Records, not lines, are skipped and parsed: a quoted cell may
+    hold line breaks.  Every file has its own header: header and rows are split by
     the same CSV parser and a row's cells are looked up by their header name, so the
-    column order may differ from file to file and names may hold any character.
+    column order may differ from file to file and names may hold any character; repeated
+    names are told apart by ``.1``, ``.2`` …
     """
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), F.split(F.col("value"), r"\r?\n").alias("l"))
-    lines = raw.select("source_file", F.filter(F.slice("l", skip_rows + 1, F.greatest(F.size("l") - skip_rows, F.lit(0))),
-                                lambda x: F.trim(x) != "").alias("l")).filter(F.size("l") > 0)
-    widest = lines.select(F.max(F.size(F.split(F.element_at("l", 1), ","))).alias("n")).first().n
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"),
+                                                       F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1)).alias("l"))
+    records = raw.select("source_file", F.filter(F.slice("l", skip_rows + 1, F.greatest(F.size("l") - skip_rows, F.lit(0))),
+                                                 lambda x: F.trim(x) != "").alias("l")).filter(F.size("l") > 0)
+    widest = records.select(F.max(F.size(F.split(F.element_at("l", 1), ","))).alias("n")).first().n
     if widest is None:
         return spark.createDataFrame([], schema or T.StructType([]))
     cells = ", ".join(f"c{i} string" for i in range(widest))
-    split = lambda line: F.from_csv(line, cells)
-    rows = lines.select("source_file", split(F.element_at("l", 1)).alias("h"), F.explode(F.slice("l", 2, F.size("l"))).alias("line"))
-    rows = rows.select("source_file", "h", split(F.col("line")).alias("r"))
-    pairs = F.arrays_zip(F.array(*[F.trim(f"h.c{i}").alias("k") for i in range(widest)]).alias("k"),
-                         F.array(*[F.col(f"r.c{i}") for i in range(widest)]).alias("v"))
+    split = lambda record: F.from_csv(record, cells, _CSV)
+    rows = records.select("source_file", split(F.element_at("l", 1)).alias("h"), "l")
+    rows = rows.select("source_file", _header_names(F.array(*[f"h.c{i}" for i in range(widest)])).alias("k"),
+                       F.explode(F.slice("l", 2, F.size("l"))).alias("record"))
+    rows = rows.select("source_file", "k", split(F.col("record")).alias("r"))
+    pairs = F.arrays_zip(F.col("k"), F.array(*[F.col(f"r.c{i}") for i in range(widest)]).alias("v"))
     cell = F.map_from_entries(F.filter(pairs, lambda x: x["k"].isNotNull()))
     rows = rows.select("source_file", cell.alias("row"))
     if schema is None:

@@ -137,6 +137,18 @@ def test_headers_of_every_file(spark, tmp_path):
     assert got == [("1", "x", "2.5"), ("2", "y, z", None)]
 
 
+def test_records_with_line_breaks_and_repeated_headers(spark, tmp_path):
+    """Records are skipped and parsed, not lines; repeated header names are told apart."""
+    (tmp_path / "a.csv").write_text('"a title\nof two lines"\n\nid,note,note, note ,\n1,"two\nlines","say ""x, y""",z,w\r\n\n2,,"\n",\n')
+    (tmp_path / "b.csv").write_text("title\nsubtitle\nnote,id\nlast,3")
+    out = FL.read_sheet(spark, str(tmp_path), skip_rows=2)
+    got = sorted((r["id"], r["note"], r["note.1"], r["note.2"]) for r in out.collect())
+    assert got == [("1", "two\nlines", 'say "x, y"', "z"), ("2", None, "\n", None), ("3", "last", None, None)]
+    (tmp_path / "open").mkdir()
+    (tmp_path / "open" / "c.csv").write_text('t\nid,note\n4,"never closed\n5,x')
+    assert [(r["id"], r["note"]) for r in FL.read_sheet(spark, str(tmp_path / "open"), skip_rows=1).collect()] == [("4", "never closed\n5,x")]
+
+
 def test_numbers_in_text(spark):
     df = spark.createDataFrame([("12D", "1", "1.7"), ("3f", "nan", "2"), ("4", "2", " 3 "), ("5x", "None", "1e3")], "code string, mostly string, whole string")
     out = C.coerce_numeric(df)
