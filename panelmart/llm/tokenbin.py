@@ -20,7 +20,8 @@ each block (u32 each) | words (u64 each); all little-endian.
 
 from __future__ import annotations
 
-import string
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,9 +38,12 @@ END_ID = 2
 BLOCK = 256                  # ids in a block
 SEGMENT_IDS = 1 << 19        # a segment is closed after so many ids (whole documents)
 MAX_FILES = 1 << 14          # files of one table; their totals are the only thing broadcast
-MEMO = 500_000               # words of a generation of the workers' memo
-# white space and separators other than the single spaces and line feeds words are split at
-ODD_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+MEMO = 400_000               # pre-tokens of a generation of the workers' memo
+# Characters whose class no Unicode version changes: ASCII, Latin letters, common punctuation.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ſ"
+PLAIN = re.compile(rf"[\n\x20-\x7E{_LATIN}¡§«»¿–—‘’“”„…€]*")
+# The pre-token pattern of byte-level BPE, over those characters.
+PRE_TOKENS = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+")
 
 # Selector -> (ids in the word, bits of each).  15 is the escape.
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
@@ -153,49 +157,60 @@ def unpack(segment: bytes) -> np.ndarray:
 # ---------------------------------------------------------------- tokenising
 
 class Encoder:
-    """The library's ids of a text, with a memo of frequent words.
+    """The library's ids of a text, with a memo of frequent pre-tokens.
 
-    Byte-level BPE splits a text into pre-tokens first; with single separators no
-    pre-token crosses a place before a space or around a line feed, so words are
-    encoded on their own (each distinct word once).  Texts with other white space, or
-    with the string of an added token (one id, as the library has it), go to it whole.
+    Byte-level BPE splits a text into pre-tokens first and never merges across them, so
+    each distinct pre-token is encoded once, by the library.  Texts with other characters
+    than the plain ones, or with the string of an added token (one id, as the library has
+    it), go to the library whole; so do all texts where the file names another pre-token
+    pattern.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        file = json.loads(self.library.to_str())
+        split = file["pre_tokenizer"] or {}
+        self.cut = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+                    and not file["normalizer"] and file["model"]["type"] == "BPE")
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words, self.parts = Memo(MEMO), Memo(MEMO // 4)
-        self.feed = self._whole("\n")
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words as they stand in a line: after a space, or after a line feed."""
-        texts = {w: w[1:] if w[0] == "\n" else " " + w for w in words}
-        # letters or digits and the punctuation after them are pre-tokens of their own
-        ends = {t: len(core) for t in texts.values() if (core := t.rstrip(string.punctuation)) != t and core and core[-1].isalnum()}
-        parts = [part for t in texts.values() for part in ((t[:ends[t]], t[ends[t]:]) if t in ends else (t,))]
-        asked, known = self.parts.missing(parts), self.parts.now
-        for part, enc in zip(asked, self.library.encode_batch_fast(asked, add_special_tokens=False)):
-            known[part] = struct.pack(f"<{len(ids := enc.ids)}I", *ids)
-        for w, t in texts.items():
-            ids = known[t[:ends[t]]] + known[t[ends[t]:]] if t in ends else known[t]
-            self.words.now[w] = self.feed + ids if w[0] == "\n" else ids
+        self.ids = Memo(MEMO)
+        self.feed = self.library.encode("\n", add_special_tokens=False).ids[-1]
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<u4")
-        words = ("\n" + text).replace("\n", " \n").split(" ")[1:]
-        # other white space than single spaces and line feeds between words: the library's own way
-        if "" in words or "\n" in words or any(c in text for c in ODD_SPACE) or any(t in text for t in self.added):
-            return np.frombuffer(self._whole(text), dtype="<u4")
-        fresh = self.words.missing(words)
-        if fresh:
-            self._learn(fresh)
-        return np.frombuffer(b"".join(map(self.words.now.__getitem__, words)), dtype="<u4")[len(self.feed) // 4:]
+        if not self.cut or not PLAIN.fullmatch(text) or any(t in text for t in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        parts, known = PRE_TOKENS.findall(text), self.ids.now
+        ids = list(map(known.get, parts))
+        if None in ids:
+            fresh = self.ids.missing([p for p, i in zip(parts, ids) if i is None])
+            if self.ids.now is not known:  # a new generation: the other parts move over, too
+                fresh += self.ids.missing([p for p, i in zip(parts, ids) if i is not None])
+            if fresh:
+                self._learn(fresh)
+            ids = map(self.ids.now.__getitem__, parts)
+        return np.frombuffer(b"".join(ids), dtype="<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of pre-tokens: all with a mark in one call, a line feed (one pre-token) between two."""
+        known = self.ids.now
+        solid = [p for p in parts if not p.isspace()]
+        if solid:
+            enc = self.library.encode_batch_fast(["\n".join(solid)], add_special_tokens=False)[0]
+            ids = np.array(enc.ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))  # no marked pre-token holds a line feed
+            if len(ends) != len(solid):
+                raise ValueError("the library cuts pre-tokens elsewhere")
+            data, begin = ids.tobytes(), 0
+            for part, end in zip(solid, (4 * ends).tolist()):
+                known[part] = data[begin:end]
+                begin = end + 4
+        blank = [p for p in parts if p.isspace()]
+        for part, enc in zip(blank, self.library.encode_batch_fast(blank, add_special_tokens=False)):
+            known[part] = np.array(enc.ids, dtype="<u4").tobytes()
 
 
 # ---------------------------------------------------------------- files
@@ -205,7 +220,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     """Write the token files of a table in ascending ``id_col`` order below ``path``.
 
     Null text is encoded as empty (the end id alone); null ids come first; rows that
-    repeat an id follow each other in order of their text.  An empty table writes no
+    repeat an id follow each other in order of their text's hash, then text.  An empty table writes no
     segment.  A document is never split over segments; its ids are held whole.
     """
     spark = docs.sparkSession
@@ -247,8 +262,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
+    # the text's hash is part of the range: rows that repeat an id (or have none) are no single task
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
+    ordered = rows.repartitionByRange(files, *order[:2]).sortWithinPartitions(*order)
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
