@@ -5,7 +5,7 @@ ids packed into 64-bit words: a 4-bit selector says how many ids of how many
 bits share the other 60 bits.  A selector of its own is the escape: the next
 word holds one id too large for 60 bits as it is.  Ids are coded in blocks of
 ``BLOCK`` ids, and a segment stores the word offset of every block, so all
-blocks of a segment are coded and decoded side by side with array operations
+blocks of a segment are coded and decoded together with array operations
 and any block can be read alone.
 
 Files: rows in ascending ``doc_id`` order, range-partitioned into one folder of
@@ -24,6 +24,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelmart.llm.common import Memo, once_per_worker
+from panelmart.llm.common import once_per_worker
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -55,9 +56,16 @@ FILE_SCHEMA = "file int, place long, before long, doc_ids array<long>, sizes arr
 
 # ---------------------------------------------------------------- Simple-8b
 
+_COUNTS = np.array([c for c, _ in SELECTORS] + [0, 1])
+_WIDTHS = np.array([w for _, w in SELECTORS] + [0, 0])
+_DENSEST = np.array([ESCAPE, *reversed(range(len(SELECTORS)))])  # of so many that fit
+
+
 def _bit_lengths(ids: np.ndarray) -> np.ndarray:
-    bits = np.zeros(len(ids), dtype=np.int8)
     top = int(ids.max()).bit_length() if len(ids) else 0
+    if top <= 53:  # exact as doubles
+        return np.frexp(ids.astype(np.float64))[1].astype(np.int8)
+    bits = np.zeros(len(ids), dtype=np.int8)
     for width in range(top):
         bits += ids >= np.uint64(1 << width)
     return bits
@@ -67,100 +75,126 @@ def pack(ids: np.ndarray) -> bytes:
     """One segment of the ids (unsigned 64-bit)."""
     ids = np.asarray(ids, dtype=np.uint64)
     n, n_blocks = len(ids), -(-len(ids) // BLOCK)
-    # 60 empty places after the last id, so that no look-ahead leaves the arrays
-    padded = np.concatenate((ids, np.zeros(60, dtype=np.uint64)))
-    bits = np.concatenate((_bit_lengths(ids), np.zeros(60, dtype=np.int8)))
-    fitting = np.full(61, ESCAPE)      # ids in a word -> densest selector with at most so many
-    for selector, (count, _) in reversed(list(enumerate(SELECTORS))):
-        fitting[count:] = selector
-    width_of = np.array([w for _, w in SELECTORS] + [0, 0])
-    count_of = np.array([c for c, _ in SELECTORS] + [0, 1])
-    words_of, block_of = [], []
-    at = np.arange(n_blocks) * BLOCK
-    end = np.minimum(at + BLOCK, n)
-    active = np.arange(n_blocks)
-    while len(active):  # one word of every unfinished block per round
-        here, stop = at[active], end[active]
-        selector = np.full(len(active), ESCAPE)
-        widest = np.zeros(len(active), dtype=np.int64)
-        lanes = np.arange(len(active))
-        for k in range(60):  # the longest run of ids that fits one word; past the block's end places are empty
-            place = here[lanes] + k
-            size = np.where(place < stop[lanes], bits[np.minimum(place, n)], 0)
-            widest[lanes] = np.maximum(widest[lanes], size)
-            room = (k + 1) * widest[lanes] <= 60
-            lanes = lanes[room]
-            if not len(lanes):
-                break
-            fits = fitting[k + 1]
-            exact = lanes[widest[lanes] <= width_of[fits]] if count_of[fits] == k + 1 else lanes[:0]
-            selector[exact] = fits
-        count, width = count_of[selector], width_of[selector].astype(np.uint64)
-        word = selector.astype(np.uint64) << np.uint64(60)
-        lanes = np.flatnonzero(selector != ESCAPE)
-        k = 0
-        while len(lanes):
-            word[lanes] |= padded[here[lanes] + k] << (width[lanes] * np.uint64(k))
-            k += 1
-            lanes = lanes[(k < count[lanes]) & (here[lanes] + k < stop[lanes])]
-        words_of.append(word)
-        block_of.append(active)
-        escaped = selector == ESCAPE
-        if escaped.any():
-            words_of.append(ids[here[escaped]])
-            block_of.append(active[escaped])
-        at[active] = np.minimum(here + count, stop)
-        active = active[at[active] < end[active]]
-    blocks = np.concatenate(block_of) if block_of else np.zeros(0, dtype=np.int64)
-    order = np.argsort(blocks, kind="stable")
-    words = (np.concatenate(words_of) if words_of else np.zeros(0, dtype=np.uint64))[order]
-    offsets = np.concatenate(([0], np.cumsum(np.bincount(blocks, minlength=n_blocks))))[:n_blocks]
-    return b"".join([MAGIC, struct.pack("<QI", n, n_blocks), offsets.astype("<u4").tobytes(), words.astype("<u8").tobytes()])
+    # every block is followed by 60 empty places, so that no word looks into the next one
+    stride = BLOCK + 60
+    flat, bits = np.zeros(n_blocks * stride, dtype=np.uint64), np.zeros(n_blocks * stride, dtype=np.int8)
+    for grid, values in ((flat, ids), (bits, _bit_lengths(ids))):
+        rows = grid.reshape(n_blocks, stride)
+        full = n // BLOCK
+        rows[:full, :BLOCK] = values[:full * BLOCK].reshape(full, BLOCK)
+        rows[full:, :n - full * BLOCK] = values[full * BLOCK:]
+    # at every place: the densest selector whose ids, from there on, are all narrow enough; with
+    # one that fits, all sparser ones fit
+    fitting, widest, size = np.zeros(len(flat), dtype=np.int8), bits.copy(), 1
+    for count, width in reversed(SELECTORS):
+        for shift in range(size, count):
+            np.maximum(widest[:-shift], bits[shift:], out=widest[:-shift])
+        size = count
+        fitting += widest <= width
+    # places where words begin: all blocks are walked side by side
+    step = _COUNTS[_DENSEST]
+    begin = np.arange(n_blocks) * stride
+    end = begin + np.minimum(BLOCK, n - np.arange(n_blocks) * BLOCK)
+    at, walked = begin, []
+    while len(at):
+        walked.append(at)
+        at = at + step[fitting[at]]
+        left = at < end
+        at, end = at[left], end[left]
+    heads = np.sort(np.concatenate(walked)) if walked else begin
+    selector = _DENSEST[fitting[heads]]
+    count, width = _COUNTS[selector], _WIDTHS[selector].astype(np.uint64)
+    word = selector.astype(np.uint64) << np.uint64(60)
+    escaped = selector == ESCAPE
+    lanes, k = np.flatnonzero(~escaped), 0
+    while len(lanes):
+        word[lanes] |= flat[heads[lanes] + k] << (width[lanes] * np.uint64(k))
+        k += 1
+        lanes = lanes[k < count[lanes]]
+    ends = np.cumsum(1 + escaped)
+    places = ends - 1 - escaped
+    words = np.zeros(int(ends[-1]) if n else 0, dtype="<u8")
+    words[places] = word
+    words[places[escaped] + 1] = flat[heads[escaped]]
+    offsets = places[np.searchsorted(heads, begin)]
+    return b"".join([MAGIC, struct.pack("<QI", n, n_blocks), offsets.astype("<u4").tobytes(), words.tobytes()])
 
 
 def unpack(segment: bytes) -> np.ndarray:
-    """The ids of a segment; all blocks are decoded together."""
+    """The ids of a segment; all words are decoded together."""
     if segment[:4] != MAGIC:
         raise ValueError("not a token segment")
     n, n_blocks = struct.unpack_from("<QI", segment, 4)
     offsets = np.frombuffer(segment, dtype="<u4", count=n_blocks, offset=16).astype(np.int64)
     words = np.frombuffer(segment, dtype="<u8", offset=16 + 4 * n_blocks)
     out = np.zeros(n, dtype=np.uint64)
-    at = np.arange(n_blocks) * BLOCK
-    end = np.minimum(at + BLOCK, n)
-    word_at = offsets.copy()
-    active = np.arange(n_blocks)
-    while len(active):
-        word = words[word_at[active]]
-        selector = (word >> np.uint64(60)).astype(np.int64)
-        used = np.ones(len(active), dtype=np.int64)
-        step = np.ones(len(active), dtype=np.int64)
-        for s in np.unique(selector):
-            rows = np.flatnonzero(selector == s)
-            here = at[active[rows]]
-            if s == ESCAPE:
-                out[here] = words[word_at[active[rows]] + 1]
-                used[rows] = 2
-                continue
-            count, width = SELECTORS[s]
-            mask = np.uint64((1 << width) - 1)
-            for k in range(count):
-                inside = here + k < end[active[rows]]
-                out[here[inside] + k] = (word[rows][inside] >> np.uint64(k * width)) & mask
-            step[rows] = count
-        word_at[active] += used
-        at[active] = np.minimum(at[active] + step, end[active])
-        active = active[at[active] < end[active]]
+    selector = (words >> np.uint64(60)).astype(np.int64)
+    head = np.ones(len(words), dtype=bool)
+    for place in np.flatnonzero(selector == ESCAPE).tolist():
+        if head[place]:  # the word after an escape is an id
+            head[place + 1] = False
+    heads = np.flatnonzero(head)
+    selector, word = selector[heads], words[heads]
+    count, width = _COUNTS[selector], _WIDTHS[selector]
+    # a word's first id: its block's, and the ids of the block's words before it
+    first = np.searchsorted(heads, offsets)
+    block = np.repeat(np.arange(n_blocks), np.diff(np.append(first, len(heads))))
+    before = np.cumsum(count) - count
+    at = before - before[first][block] + block * BLOCK
+    count = np.minimum(count, np.minimum((block + 1) * BLOCK, n) - at)
+    escaped = np.flatnonzero(selector == ESCAPE)
+    out[at[escaped]] = words[heads[escaped] + 1]
+    mask = (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)
+    lanes, k = np.flatnonzero(selector != ESCAPE), 0
+    while len(lanes):
+        out[at[lanes] + k] = (word[lanes] >> (k * width[lanes]).astype(np.uint64)) & mask[lanes]
+        k += 1
+        lanes = lanes[k < count[lanes]]
     return out
 
 
 # ---------------------------------------------------------------- tokenising
 
+# The character that byte-level BPE writes for each byte.
+_KEPT = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _KEPT)}
+
+
+def byte_chars(part: str) -> str:
+    """A pre-token as byte-level BPE writes it."""
+    if part.isascii() and part.isprintable():  # the blank is the one such character that changes
+        return part.replace(" ", _BYTE_CHARS[32])
+    return part.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
+class PreTokens(dict):
+    """Ids (bytes of unsigned 32-bit integers) of pre-tokens; the library's model encodes one when it is first asked for.
+
+    Two generations of at most ``size`` entries: a full one becomes the old one, and what
+    is still asked for moves over.
+    """
+
+    def __init__(self, model, size: int):
+        super().__init__()
+        self.tokenize, self.size, self.old = model.tokenize, size, {}
+
+    def __missing__(self, part: str) -> bytes:
+        data = self.old.get(part)
+        if data is None:
+            tokens = self.tokenize(byte_chars(part))
+            data = array("I", [t.id for t in tokens]).tobytes()
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[part] = data
+        return data
+
+
 class Encoder:
     """The library's ids of a text, with a memo of frequent pre-tokens.
 
     Byte-level BPE splits a text into pre-tokens first and never merges across them, so
-    each distinct pre-token is encoded once, by the library.  Texts with other characters
+    each distinct pre-token is encoded once, by the library's model.  Texts with other characters
     than the plain ones, or with the string of an added token (one id, as the library has
     it), go to the library whole; so do all texts where the file names another pre-token
     pattern.
@@ -175,42 +209,14 @@ class Encoder:
         self.cut = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
                     and not file["normalizer"] and file["model"]["type"] == "BPE")
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.ids = Memo(MEMO)
-        self.feed = self.library.encode("\n", add_special_tokens=False).ids[-1]
+        self.ids = PreTokens(self.library.model, MEMO)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<u4")
         if not self.cut or not PLAIN.fullmatch(text) or any(t in text for t in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        parts, known = PRE_TOKENS.findall(text), self.ids.now
-        ids = list(map(known.get, parts))
-        if None in ids:
-            fresh = self.ids.missing([p for p, i in zip(parts, ids) if i is None])
-            if self.ids.now is not known:  # a new generation: the other parts move over, too
-                fresh += self.ids.missing([p for p, i in zip(parts, ids) if i is not None])
-            if fresh:
-                self._learn(fresh)
-            ids = map(self.ids.now.__getitem__, parts)
-        return np.frombuffer(b"".join(ids), dtype="<u4")
-
-    def _learn(self, parts: list[str]) -> None:
-        """Ids of pre-tokens: all with a mark in one call, a line feed (one pre-token) between two."""
-        known = self.ids.now
-        solid = [p for p in parts if not p.isspace()]
-        if solid:
-            enc = self.library.encode_batch_fast(["\n".join(solid)], add_special_tokens=False)[0]
-            ids = np.array(enc.ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))  # no marked pre-token holds a line feed
-            if len(ends) != len(solid):
-                raise ValueError("the library cuts pre-tokens elsewhere")
-            data, begin = ids.tobytes(), 0
-            for part, end in zip(solid, (4 * ends).tolist()):
-                known[part] = data[begin:end]
-                begin = end + 4
-        blank = [p for p in parts if p.isspace()]
-        for part, enc in zip(blank, self.library.encode_batch_fast(blank, add_special_tokens=False)):
-            known[part] = np.array(enc.ids, dtype="<u4").tobytes()
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, PRE_TOKENS.findall(text))), dtype=np.uint32)
 
 
 # ---------------------------------------------------------------- files

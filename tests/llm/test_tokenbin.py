@@ -85,3 +85,25 @@ def test_odd_rows(spark, odd_docs):
     want = brute([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert digest(spark, odd_docs)[1] == want
     assert digest(spark, odd_docs.limit(0))[1] == []
+
+
+def test_missed_pre_tokens_cost_one_model_call():
+    """A part the memo holds, or has held in the generation before, is not encoded again."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_file(T.TOKENIZER))
+    memo, asked = T.PreTokens(library.model, 4), []
+    model = memo.tokenize
+    memo.tokenize = lambda part: asked.append(part) or model(part)
+    parts = [" the", "the", " été", "\n\n", " the", " a", "'s", "--", " the", " a"]
+    got = [memo[p] for p in parts]
+    assert got == [np.array(library.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes() for p in parts]
+    assert len(asked) == len(set(parts)) and len(memo) <= 4 and len(memo.old) <= 4
+
+
+def test_segment_bytes_are_fixed():
+    """The format as written before: mixed widths, escapes, a short last block."""
+    rng = np.random.default_rng(8)
+    ids = rng.integers(0, 2**63, 1500, dtype=np.uint64) >> rng.integers(0, 64, 1500).astype(np.uint64)
+    ids[::7] = 2**64 - 1
+    assert zlib.crc32(T.pack(ids)) == 1644854478
