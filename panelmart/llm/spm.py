@@ -18,11 +18,13 @@ have no constraint: the shortest path is the Viterbi segmentation.
 Texts are composed piecewise: no piece spans a place before a run of U+2581, beside
 a line feed (where no piece holds one), after a run of letters (likewise) or between two characters that no piece has side by side, so the path through a
 whole text is the join of the paths through such units; a bounded memo keeps
-the paths of frequent units.  Map-only: no shuffle, one row at a time.
+the paths of frequent units, and between tasks only ``HELD`` of them: a worker that waits
+or runs another stage holds little.  Map-only: no shuffle, one row at a time.
 """
 
 from __future__ import annotations
 
+import marshal
 import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -38,6 +40,7 @@ SPACE = "▁"
 RUNS = re.compile(r"[^\W\d_]+|[\W\d_]")
 LETTER = re.compile(r"[^\W\d_]")
 MEMO = 350_000     # units of a generation of the workers' memo
+HELD = 30_000      # units that outlive a task
 LONGEST = 64       # characters of a unit that is remembered
 
 
@@ -254,6 +257,13 @@ class Transducer:
             self.paths.now[unit] = self.path(unit)
         return np.frombuffer(b"".join(map(self.paths.now.__getitem__, units)), dtype="<i4")
 
+    def rest(self) -> None:
+        """Forget all but ``HELD`` early asked units; what is left is packed, so that memory goes back."""
+        left = marshal.dumps((self.paths.early(HELD), self.parts.early(HELD // 8), self.follows))
+        self.paths, self.parts, self.follows = Memo(MEMO), Memo(MEMO // 8), {}
+        self.paths.now, self.parts.now, self.follows = marshal.loads(left)
+        pa.default_memory_pool().release_unused()
+
     def decode(self, ids) -> str:
         """The inverse transducer: pieces and bytes to text, without the dummy prefix."""
         surface = self.surface
@@ -278,16 +288,19 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = once_per_worker(f"pieces:{model_path}", lambda: Transducer.load(model_path))
-        for whole in batches:
-            for at in range(0, len(whole), 2000):
-                batch = whole.slice(at, 2000)
-                ids = [machine.encode(t.as_py()) for t in batch.column(len(kinds))]
-                sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-                flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<i4")
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                decoded = pa.array([machine.decode(x.tolist()) for x in ids], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:len(kinds)], pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), decoded], names)
+        try:
+            for whole in batches:
+                for at in range(0, len(whole), 2000):
+                    batch = whole.slice(at, 2000)
+                    ids = [machine.encode(t.as_py()) for t in batch.column(len(kinds))]
+                    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                    flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<i4")
+                    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                    decoded = pa.array([machine.decode(x.tolist()) for x in ids], pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns[:len(kinds)], pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), decoded], names)
+        finally:
+            machine.rest()
 
     # the text travels under a name of its own: ``keep`` may hold a column of the same name
     return docs.select(id_col, *kept, docs[text_col].alias("__text")).mapInArrow(run, schema)

@@ -82,3 +82,28 @@ def test_memo_stays_bounded(machine):
         for key in memo.missing([f"k{i}", "often"]):
             memo.now[key] = key
         assert memo.now["often"] == "often" and len(memo.now) <= 11 and len(memo.old) <= 11
+
+
+def test_a_worker_holds_little_after_a_task(spark, docs_of):
+    texts = [" ".join(f"{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}{chr(97 + d)}" for c in range(26) for d in range(26)) for a in range(8) for b in range(10)]
+    got = P.encode_documents(docs_of(texts).coalesce(1), tokenizer_file(P.MODEL))
+    assert all(r.decoded == texts[r.doc_id] for r in got.collect())
+
+    def held(batches):
+        import pyarrow as pa
+        import pyspark
+
+        for _ in batches:
+            machines = [m for k, m in pyspark.__dict__.get("_panelmart_worker", {}).items() if k.startswith("pieces:")]
+            yield pa.RecordBatch.from_arrays([pa.array([len(m.paths.now) + len(m.paths.old) for m in machines], pa.int64())], ["n"])
+
+    sizes = [r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()]
+    assert 0 < max(sizes) <= P.HELD    # 54,080 units were learned
+
+
+def test_paths_are_the_same_after_a_rest():
+    machine = P.Transducer.load(tokenizer_file(P.MODEL))
+    texts = [f"word{i} other{i % 7} Ünïcode  x\n{i}" for i in range(200)]
+    before = [machine.encode(t).tolist() for t in texts]
+    machine.rest()
+    assert machine.paths.old == {} and [machine.encode(t).tolist() for t in texts] == before
