@@ -11,7 +11,8 @@ and any block can be read alone.
 Files: rows in ascending ``doc_id`` order, range-partitioned into one folder of
 Parquet part files written by Spark (atomic commit, any store, lost tasks rerun).
 Each row is one segment: its file and place, the ids before it in the file, the
-documents it holds (ids and token counts) and one binary in the format below.  Only one total per file is
+documents it holds (ids and token counts) and one binary in the format below; a row group
+holds a few segments, so that memory does not grow with a file.  Only one total per file is
 needed to turn counts inside a file into offsets in the whole sequence.
 
 Segment: ``S8B1`` | number of ids (u64) | number of blocks (u32) | word offset of
@@ -39,6 +40,11 @@ END_ID = 2
 BLOCK = 256                  # ids in a block
 SEGMENT_IDS = 1 << 19        # a segment is closed after so many ids (whole documents)
 MAX_FILES = 1 << 14          # files of one table; their totals are the only thing broadcast
+GROUP_BYTES = 4 << 20        # bytes of a row group, of a few segments
+# Rows are segments of about a megabyte.  By default the size of pages and row groups is looked at
+# after a hundred rows only, so that writer and readers would hold all the segments of a file at once.
+WRITE_OPTIONS = {"parquet.block.size": GROUP_BYTES, "parquet.block.size.row.check.min": 1,
+                 "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 MEMO = 400_000               # pre-tokens of a generation of the workers' memo
 # Characters whose class no Unicode version changes: ASCII, Latin letters, common punctuation.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ſ"
@@ -271,7 +277,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     # the text's hash is part of the range: rows that repeat an id (or have none) are no single task
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     ordered = rows.repartitionByRange(files, *order[:2]).sortWithinPartitions(*order)
-    ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(run, FILE_SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

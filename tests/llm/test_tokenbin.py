@@ -107,3 +107,21 @@ def test_segment_bytes_are_fixed():
     ids = rng.integers(0, 2**63, 1500, dtype=np.uint64) >> rng.integers(0, 64, 1500).astype(np.uint64)
     ids[::7] = 2**64 - 1
     assert zlib.crc32(T.pack(ids)) == 1644854478
+
+
+def test_files_are_written_and_read_in_small_groups(spark, docs_of):
+    """A file's writer and readers hold a few segments, however many the file has."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(11)
+    vocabulary = [f" {a}{b}" for a in ("the", "of", "and", "house", "river", "stone") for b in range(400)]
+    texts = ["".join(rng.choices(vocabulary, k=30_000)) for _ in range(80)]
+    path, got = digest(spark, docs_of(texts), files=1)
+    assert got == brute(list(enumerate(texts)))
+    files = [pq.ParquetFile(f).metadata for f in Path(path.removeprefix("file:")).glob("*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 8  # segments, more than a group's bytes in all
+    assert sum(g.total_byte_size for g in groups) > 2 * (4 << 20)
+    assert all(g.total_byte_size < 6 << 20 for g in groups)
